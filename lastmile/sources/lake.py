@@ -13,7 +13,7 @@ from lastmile.schemas import RAW
 CREATED_DATE = "created_date"
 
 
-def _ts(value: dt.datetime | dt.date | str) -> Column:
+def ts_literal(value: dt.datetime | dt.date | str) -> Column:
     """A zone-less timestamp literal (no session time zone is involved)."""
     if isinstance(value, dt.datetime):
         text = value.replace(tzinfo=None).isoformat(sep=" ")
@@ -27,7 +27,7 @@ def _ts(value: dt.datetime | dt.date | str) -> Column:
 def slice_filter(start, end, column: str = "created_at") -> Column:
     """Half-open interval ``start <= column < end``; rows with a null time drop out."""
     c = F.col(column)
-    return (c >= _ts(start)) & (c < _ts(end))
+    return (c >= ts_literal(start)) & (c < ts_literal(end))
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
@@ -45,7 +45,7 @@ def read_raw_slice(spark: SparkSession, path: str, start, end, partitioned: bool
     if not partitioned:
         return read_raw(spark, path).filter(slice_filter(start, end))
     schema = RAW.add(CREATED_DATE, "date")
-    s, e = _ts(start), _ts(end)
+    s, e = ts_literal(start), ts_literal(end)
     day = F.col(CREATED_DATE)
     return (
         spark.read.schema(schema)
