@@ -104,6 +104,11 @@ def number_within_groups(
         ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)]
     )
     local = ranged.mapInArrow(_local_numbers(list(keys)), out_schema)
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
+        # Both branches below must see the same range partitioning. Normally Spark
+        # reuses the one exchange; without reuse, materialise the numbered rows once
+        # in the session's reliable checkpoint folder (partition ids become data).
+        local = local.checkpoint(eager=True)
 
     key_struct = F.struct(*[F.col(k) for k in keys])
     edges = local.groupBy(_PART).agg(
