@@ -4,11 +4,9 @@
 their keys, nation through the customer), one raw row per line item. The column
 rules are fixed so the DuckDB oracle can rebuild the same table (see FIXTURES.md §4).
 
-Join shape: the small dimensions (nation, region, supplier) are joined to their
-immediate partners first, so Spark can broadcast them by its size estimate; the two
-large joins (customer into orders, orders into lines) are sort-merge joins, the
-last one on the order key, which leaves the raw rows hash-partitioned by order id -
-the key most later steps group on.
+Join shape: lines meet orders first (sort-merge on the order key); customers (with
+nation and region), parts and suppliers join afterwards. Spark broadcasts each
+dimension only when its size estimate is under the broadcast threshold.
 """
 
 from __future__ import annotations
@@ -50,13 +48,19 @@ def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
         .select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "n_name", "r_name")
     )
-    orders = t["orders"].join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = (
+    # Lines and orders are the two fact-sized tables: they are sort-merge joined on the
+    # order key (the plan Spark picks for them at scale anyway, stated as a hint so
+    # small inputs get it too). The rows come out hash-partitioned by order id, which
+    # the order-keyed windows and aggregations downstream reuse without a re-shuffle.
+    # The string-heavy dimensions join afterwards (broadcast when Spark's size check
+    # allows, sort-merge otherwise).
+    rows = (
         t["lineitem"]
+        .join(t["orders"].hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
         .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
     )
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     line_no = F.col("l_linenumber")
     odate = F.col("o_orderdate")
