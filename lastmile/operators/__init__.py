@@ -3,6 +3,7 @@ keyed upsert and data-quality checks."""
 
 from lastmile.operators.checks import (
     assert_checks_pass,
+    check_discount_range,
     check_foreign_keys,
     check_nonempty,
     check_not_null,
@@ -14,6 +15,7 @@ from lastmile.operators.upsert import upsert
 
 __all__ = [
     "assert_checks_pass",
+    "check_discount_range",
     "check_foreign_keys",
     "check_nonempty",
     "check_not_null",
