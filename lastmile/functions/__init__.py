@@ -4,9 +4,11 @@ from lastmile.functions.columns import (
     SERVICE_CANCEL_REASONS,
     assignment_id,
     calendar_columns,
-    city_of,
-    flag,
+    calendar_sql,
+    city_sql,
+    flag_sql,
     order_item_id,
+    service_cancel_sql,
 )
 from lastmile.functions.conform import conform, decimals_as_double
 from lastmile.functions.measures import item_measures
@@ -15,10 +17,12 @@ __all__ = [
     "SERVICE_CANCEL_REASONS",
     "assignment_id",
     "calendar_columns",
-    "city_of",
+    "calendar_sql",
+    "city_sql",
     "conform",
     "decimals_as_double",
-    "flag",
+    "flag_sql",
+    "service_cancel_sql",
     "item_measures",
     "order_item_id",
 ]

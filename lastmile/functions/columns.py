@@ -14,7 +14,7 @@ NO_START = "no_start"
 
 def order_item_id(order_id: str = "order_id", item_id: str = "item_id", seq: str = "row_num") -> Column:
     """``<order_id>_<item_id>_<n>``: n numbers repeats of one item inside one order."""
-    return F.concat_ws("_", F.col(order_id), F.col(item_id), F.col(seq))
+    return F.expr(f"concat_ws('_', {order_id}, {item_id}, {seq})")
 
 
 def assignment_id(
@@ -23,30 +23,33 @@ def assignment_id(
     started_at: str = "delivery_started_at",
 ) -> Column:
     """``<order_id>_<driver_id>_<start timestamp text or "no_start">``."""
-    return F.concat_ws(
-        "_",
-        F.col(order_id),
-        F.col(driver_id),
-        F.coalesce(F.col(started_at).cast("string"), F.lit(NO_START)),
-    )
+    return F.expr(f"concat_ws('_', {order_id}, {driver_id}, coalesce(CAST({started_at} AS STRING), '{NO_START}'))")
 
 
-def calendar_columns(ts: str = "created_at") -> dict[str, Column]:
-    """Date and its parts of a (zone-less) timestamp."""
-    c = F.col(ts)
+def calendar_sql(ts: str = "created_at") -> dict[str, str]:
+    """Date and its parts of a (zone-less) timestamp, as SQL expressions."""
     return {
-        "order_date": F.to_date(c),
-        "order_year": F.year(c),
-        "order_month": F.month(c),
-        "order_day": F.dayofmonth(c),
+        "order_date": f"to_date({ts})",
+        "order_year": f"year({ts})",
+        "order_month": f"month({ts})",
+        "order_day": f"dayofmonth({ts})",
     }
 
 
-def city_of(address: Column) -> Column:
+def calendar_columns(ts: str = "created_at") -> dict[str, Column]:
+    return {name: F.expr(sql) for name, sql in calendar_sql(ts).items()}
+
+
+def city_sql(address: str) -> str:
     """City = the trimmed text before the first comma of a store address."""
-    return F.trim(F.split(address, ",").getItem(0))
+    return f"trim(split({address}, ',')[0])"
 
 
-def flag(condition: Column) -> Column:
+def flag_sql(condition: str) -> str:
     """1 when the condition holds, 0 when it is false or unknown."""
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
+    return f"CASE WHEN {condition} THEN 1 ELSE 0 END"
+
+
+def service_cancel_sql(reason: str) -> str:
+    reasons = ", ".join(f"'{r}'" for r in SERVICE_CANCEL_REASONS)
+    return flag_sql(f"{reason} IN ({reasons})")

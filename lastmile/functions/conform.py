@@ -12,12 +12,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Missing columns raise (a silent null column would hide a bug); extra columns are
     dropped. Casts run under the session's ANSI setting, so an overflow fails the job
-    the way the warehouse would reject the insert.
+    the way the warehouse would reject the insert. A frame that already has the
+    schema's names and types in order is returned as is.
     """
-    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    current = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in schema.fields if f.name not in current]
     if missing:
         raise ValueError(f"Columns missing for the target schema: {missing}")
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    if [(n, t) for n, t in current.items()] == [(f.name, f.dataType) for f in schema.fields]:
+        return df
+    return df.select(
+        [
+            F.col(f.name) if current[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def decimals_as_double(df: DataFrame) -> DataFrame:

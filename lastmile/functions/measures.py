@@ -15,37 +15,26 @@ Amounts stay unrounded decimals here; they are summed exactly and rounded once.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 
-def _dec(v: int) -> F.Column:
-    return F.lit(Decimal(v))
+# Inputs coalesced to zero (0BD is a decimal literal, so money never becomes double).
+_INPUTS = {
+    "item_quantity": "coalesce(item_quantity, 0)",
+    "item_canceled_quantity": "coalesce(item_canceled_quantity, 0)",
+    "item_price": "coalesce(item_price, 0BD)",
+    "item_discount": "coalesce(item_discount, 0BD)",
+}
+MEASURES = {
+    "item_paid_quantity": "item_quantity - item_canceled_quantity",
+    "gross_amount": "item_quantity * item_price",
+    "discount_amount": "item_quantity * item_price * item_discount",
+    "turnover_amount": "item_quantity * item_price * (1BD - item_discount)",
+    "canceled_amount": "item_canceled_quantity * item_price * (1BD - item_discount)",
+    "revenue_amount": "(item_quantity - item_canceled_quantity) * item_price * (1BD - item_discount)",
+}
 
 
 def item_measures(items: DataFrame) -> DataFrame:
     """Add the six item measures to an ``order_items`` frame (inputs coalesced to 0)."""
-    q = F.coalesce(F.col("item_quantity"), F.lit(0))
-    c = F.coalesce(F.col("item_canceled_quantity"), F.lit(0))
-    p = F.coalesce(F.col("item_price"), _dec(0))
-    d = F.coalesce(F.col("item_discount"), _dec(0))
-    net = _dec(1) - d
-    return items.withColumns(
-        {
-            "item_quantity": q,
-            "item_canceled_quantity": c,
-            "item_price": p,
-            "item_discount": d,
-        }
-    ).withColumns(
-        {
-            "item_paid_quantity": q - c,
-            "gross_amount": q * p,
-            "discount_amount": q * p * d,
-            "turnover_amount": q * p * net,
-            "canceled_amount": c * p * net,
-            "revenue_amount": (q - c) * p * net,
-        }
-    )
+    inputs = [f"{_INPUTS[c]} AS {c}" if c in _INPUTS else f"`{c}`" for c in items.columns]
+    return items.selectExpr(*inputs).selectExpr("*", *[f"{sql} AS {name}" for name, sql in MEASURES.items()])

@@ -1,16 +1,23 @@
-"""Deterministic "keep one row per key" operators."""
+"""Deterministic "keep one row per key" operators.
+
+Orders are SQL sort items (``"created_at DESC NULLS LAST"``); keys are column names.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _RN = "__rn"
 
 
-def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def row_number_expr(keys: Sequence[str], order: Sequence[str]) -> str:
+    return f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"
+
+
+def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the first row of each ``keys`` group under ``order``.
 
     Written as ``row_number() = 1`` so Catalyst plans a partial ``WindowGroupLimit``
@@ -18,8 +25,7 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     holding a large share of the rows never reaches one reducer whole. Callers pass
     an order that is total over the columns they keep, so the result is deterministic.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+    return df.withColumn(_RN, F.expr(row_number_expr(keys, order))).filter(f"{_RN} = 1").drop(_RN)
 
 
 def dedupe_by_key(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -29,5 +35,5 @@ def dedupe_by_key(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFra
     with map-side combine) first collapses the copies cheaply; the top-1 then only
     sorts the few distinct variants of each key.
     """
-    variants = df.filter(F.col(key).isNotNull()).select(key, *attributes).distinct()
-    return first_per_group(variants, [key], [F.col(a).asc_nulls_last() for a in attributes])
+    variants = df.filter(f"{key} IS NOT NULL").select(key, *attributes).distinct()
+    return first_per_group(variants, [key], [f"{a} ASC NULLS LAST" for a in attributes])

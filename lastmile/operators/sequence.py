@@ -1,18 +1,25 @@
 """``row_number() over (partition by keys order by ...)`` keeping every row, skew-safe.
 
-A plain window sends every row of a group to one task. When a group may hold a large
-share of the table that task becomes the whole job, so the numbering is computed
-in three distributed steps instead:
-
-1. Range-partition on ``keys + order`` and sort inside each partition. The range
-   bounds include the ordering columns, so one hot group is cut into many
-   consecutive partitions.
-2. In each partition, number the rows of every key run locally (one Arrow pass, no
-   per-row Python).
-3. Only the first key of a partition can have rows in earlier partitions. A tiny
-   per-partition summary (first key, last key, rows of the last key) gives, with
-   a running sum, the offset to add to that first key. The summary has one row per
-   partition, so it is broadcast with a proven bound: the partition count.
+A plain window sends every row of a group to one task. That is right for ordinary
+groups, and it stays on the JVM with whole-stage codegen. A group holding a large share
+of the table would make one task the whole job, so hot groups take a split path:
+
+* **Finding hot groups.** A deterministic sample (rows picked by a hash of their
+  content, so every evaluation picks the same rows) is counted per key. Keys whose
+  sampled share is at least ``hot_share`` are hot. There are at most
+  ``1 / hot_share`` of them, so the hot key set is broadcast with a proven bound.
+  Each group goes wholly to one path, so a sampling miss only costs balance, never
+  correctness.
+* **Ordinary groups.** A plain window.
+* **Hot groups.**
+  1. Range-partition on ``keys + order`` and sort inside each partition. The bounds
+     include the ordering columns, so a hot group is cut into many consecutive
+     partitions.
+  2. Number each key run locally in one Arrow pass per partition (no per-row Python).
+  3. Only the first key of a partition can have rows in earlier partitions. A
+     per-partition summary (first key, last key, rows of the last key) gives the
+     offset for that first key through a running sum. The summary has one row per
+     partition and is broadcast, bounded by the partition count.
 """
 
 from __future__ import annotations
@@ -28,6 +35,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lastmile.operators.dedupe import row_number_expr
+
 # Ship the Arrow task body by value, so executors need numpy/pyarrow but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -78,23 +87,30 @@ def _local_numbers(keys: Sequence[str]):
     return run
 
 
-def number_within_groups(
+def _sort_item(item: str) -> Column:
+    """``"col [ASC|DESC] [NULLS FIRST|LAST]"`` as a sort Column."""
+    parts = item.split()
+    col = F.col(parts[0])
+    desc = len(parts) > 1 and parts[1].upper() == "DESC"
+    nulls = parts[-1].upper() if len(parts) > 2 else ("LAST" if desc else "FIRST")
+    if desc:
+        return col.desc_nulls_first() if nulls == "FIRST" else col.desc_nulls_last()
+    return col.asc_nulls_first() if nulls == "FIRST" else col.asc_nulls_last()
+
+
+def number_split(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     name: str = "row_num",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``name`` = 1, 2, ... per ``keys`` group in ``order``, keeping all rows.
-
-    ``order`` should be total (break ties on every kept column); rows that still tie
-    are identical, so which of them gets which number cannot be observed.
-    """
+    """The split path: numbering that never gathers a group in one task."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Keys ascending with nulls first: the same order Spark uses to compare structs,
     # so min/max of struct(keys) below are a partition's first and last key.
-    sort = [F.col(k).asc_nulls_first() for k in keys] + list(order)
+    sort = [F.col(k).asc_nulls_first() for k in keys] + [_sort_item(o) for o in order]
     ranged = (
         df.repartitionByRange(n, *sort)
         .sortWithinPartitions(*sort)
@@ -142,3 +158,56 @@ def number_within_groups(
         )
         .drop(_PART, _LOCAL, _FIRST, _OFFSET)
     )
+
+
+def _null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[k])
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float, sample_fraction: float,
+             min_sampled_rows: int) -> DataFrame:
+    """Keys whose share of a deterministic row sample is at least ``hot_share``
+    (and that were sampled at least ``min_sampled_rows`` times); at most
+    ``1 / hot_share`` keys."""
+    buckets = 1 << 20
+    cols = ", ".join(f"`{c}`" for c in df.columns)
+    sample = df.filter(f"pmod(xxhash64({cols}), {buckets}) < {int(sample_fraction * buckets)}").select(*keys)
+    total = sample.selectExpr("count(1)").scalar()
+    return (
+        sample.groupBy(*keys)
+        .agg(F.expr("count(1)").alias("__n"))
+        .withColumn("__total", total)
+        .filter(f"__n >= {int(min_sampled_rows)} AND __n >= __total * {float(hot_share)!r}")
+        .select(*keys)
+    )
+
+
+def number_within_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    name: str = "row_num",
+    num_partitions: int | None = None,
+    hot_share: float | None = 1e-4,
+    sample_fraction: float = 0.01,
+    min_sampled_rows: int = 50,
+) -> DataFrame:
+    """Add ``name`` = 1, 2, ... per ``keys`` group in ``order``, keeping all rows.
+
+    ``order`` is a list of SQL sort items and should be total (break ties on every
+    kept column); rows that still tie are identical, so which of them gets which
+    number cannot be observed. ``hot_share=None`` sends every group down the split
+    path.
+    """
+    if hot_share is None:
+        return number_split(df, keys, order, name, num_partitions)
+    hot = F.broadcast(hot_keys(df, keys, hot_share, sample_fraction, min_sampled_rows).alias("__hot"))
+    cond = _null_safe_match(df, hot, keys)
+    ordinary = df.join(hot, cond, "left_anti")
+    numbered = ordinary.withColumn(name, F.expr(f"CAST({row_number_expr(keys, order)} AS BIGINT)"))
+    split = number_split(df.join(hot, cond, "left_semi"), keys, order, name, num_partitions)
+    return numbered.unionByName(split)

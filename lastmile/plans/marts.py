@@ -2,7 +2,9 @@
 
 Inputs are the warehouse tables (``orders``, ``order_items``,
 ``order_driver_assignments``, ``stores``, ``products``). Money stays in exact
-decimals: item amounts are summed unrounded and rounded to cents once.
+decimals: item amounts are summed unrounded and rounded to cents once. Column
+definitions are Spark SQL expressions over the aliased inputs (``o``, ``i``, ``a``,
+``s``, ``oi``, ``fd``, ``p``).
 
 Join plan: every fact-to-fact join is on ``order_id`` and each right side is
 pre-aggregated or top-1'd to one row per order, so joins never fan out and the
@@ -13,22 +15,16 @@ size estimate or adaptive runtime statistics show they are small.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lastmile.functions.columns import SERVICE_CANCEL_REASONS, calendar_columns, city_of, flag
+from lastmile.functions.columns import calendar_columns, city_sql, flag_sql, service_cancel_sql
 from lastmile.functions.conform import conform
 from lastmile.functions.measures import item_measures
 from lastmile.operators.dedupe import first_per_group
 from lastmile.schemas import MART_ORDERS, MART_PRODUCTS
 
 
-def _zero() -> F.Column:
-    return F.lit(Decimal(0))
-
-
 def orders_calendar(orders: DataFrame) -> DataFrame:
     """Orders plus ``order_date`` and its year, month and day."""
     return orders.withColumns(calendar_columns("created_at"))
@@ -42,23 +38,23 @@ def items_enriched(order_items: DataFrame) -> DataFrame:
 def items_agg(items: DataFrame) -> DataFrame:
     """Per order: item counts and amounts (rounded to cents after an exact sum)."""
     return items.groupBy("order_id").agg(
-        F.sum("item_quantity").cast("int").alias("total_items_count"),
-        F.sum("item_canceled_quantity").cast("int").alias("canceled_items_count"),
-        F.sum("item_paid_quantity").cast("int").alias("paid_items_count"),
-        F.round(F.sum("gross_amount"), 2).alias("items_gross_amount"),
-        F.round(F.sum("discount_amount"), 2).alias("items_discount_amount"),
-        F.round(F.sum("turnover_amount"), 2).alias("items_turnover_amount"),
-        F.round(F.sum("canceled_amount"), 2).alias("items_canceled_amount"),
-        F.round(F.sum("revenue_amount"), 2).alias("paid_items_amount"),
+        F.expr("CAST(sum(item_quantity) AS INT)").alias("total_items_count"),
+        F.expr("CAST(sum(item_canceled_quantity) AS INT)").alias("canceled_items_count"),
+        F.expr("CAST(sum(item_paid_quantity) AS INT)").alias("paid_items_count"),
+        F.expr("round(sum(gross_amount), 2)").alias("items_gross_amount"),
+        F.expr("round(sum(discount_amount), 2)").alias("items_discount_amount"),
+        F.expr("round(sum(turnover_amount), 2)").alias("items_turnover_amount"),
+        F.expr("round(sum(canceled_amount), 2)").alias("items_canceled_amount"),
+        F.expr("round(sum(revenue_amount), 2)").alias("paid_items_amount"),
     )
 
 
 def assignment_agg(assignments: DataFrame) -> DataFrame:
     """Per order: first delivery start, last delivery and distinct drivers."""
     return assignments.groupBy("order_id").agg(
-        F.min("delivery_started_at").alias("first_delivery_started_at"),
-        F.max("delivered_at").alias("delivered_at"),
-        F.count_distinct("driver_id").cast("int").alias("assigned_driver_count"),
+        F.expr("min(delivery_started_at)").alias("first_delivery_started_at"),
+        F.expr("max(delivered_at)").alias("delivered_at"),
+        F.expr("CAST(count(DISTINCT driver_id) AS INT)").alias("assigned_driver_count"),
     )
 
 
@@ -68,17 +64,99 @@ def first_driver(assignments: DataFrame) -> DataFrame:
     picked = first_per_group(
         assignments,
         ["order_id"],
-        [
-            F.col("delivery_started_at").asc_nulls_last(),
-            F.col("delivered_at").asc_nulls_last(),
-            F.col("driver_id").asc_nulls_last(),
-        ],
+        ["delivery_started_at ASC NULLS LAST", "delivered_at ASC NULLS LAST", "driver_id ASC NULLS LAST"],
     )
     return picked.select("order_id", "driver_id", "delivered_at")
 
 
-def _service_cancel(reason_col: str) -> F.Column:
-    return flag(F.col(reason_col).isin(*SERVICE_CANCEL_REASONS))
+_DISC = "coalesce(CAST(o.order_discount AS DECIMAL(10,0)), 0BD)"
+_COST = "coalesce(o.delivery_cost, 0BD)"
+_DRIVERS = "coalesce(a.assigned_driver_count, 0)"
+
+MART_ORDERS_SQL = {
+    "order_id": "o.order_id",
+    "user_id": "o.user_id",
+    "store_id": "o.store_id",
+    "order_date": "o.order_date",
+    "order_year": "o.order_year",
+    "order_month": "o.order_month",
+    "order_day": "o.order_day",
+    "city": city_sql("s.store_address"),
+    "store_address": "s.store_address",
+    "delivery_address": "o.address_text",
+    "payment_type": "o.payment_type",
+    "order_cancellation_reason": "o.order_cancellation_reason",
+    "created_at": "o.created_at",
+    "paid_at": "o.paid_at",
+    "canceled_at": "o.canceled_at",
+    "first_delivery_started_at": "a.first_delivery_started_at",
+    "delivered_at": "a.delivered_at",
+    "order_discount": f"round({_DISC}, 2)",
+    "delivery_cost": f"round({_COST}, 2)",
+    "total_items_count": "coalesce(i.total_items_count, 0)",
+    "canceled_items_count": "coalesce(i.canceled_items_count, 0)",
+    "paid_items_count": "coalesce(i.paid_items_count, 0)",
+    "items_gross_amount": "round(coalesce(i.items_gross_amount, 0BD), 2)",
+    "items_discount_amount": "round(coalesce(i.items_discount_amount, 0BD), 2)",
+    "items_turnover_amount": "round(coalesce(i.items_turnover_amount, 0BD), 2)",
+    "items_canceled_amount": "round(coalesce(i.items_canceled_amount, 0BD), 2)",
+    "paid_items_amount": "round(coalesce(i.paid_items_amount, 0BD), 2)",
+    "turnover_amount": f"round(coalesce(i.items_turnover_amount, 0BD) - {_DISC}, 2)",
+    "revenue_amount": f"round(coalesce(i.paid_items_amount, 0BD) - {_DISC} + {_COST}, 2)",
+    # The source defines profit with the same expression as revenue.
+    "profit_amount": f"round(coalesce(i.paid_items_amount, 0BD) - {_DISC} + {_COST}, 2)",
+    "created_order_flag": "1",
+    "delivered_order_flag": flag_sql("a.delivered_at IS NOT NULL"),
+    "canceled_order_flag": flag_sql("o.canceled_at IS NOT NULL"),
+    "canceled_after_delivery_flag": flag_sql("o.canceled_at IS NOT NULL AND a.delivered_at IS NOT NULL"),
+    "service_cancel_flag": service_cancel_sql("o.order_cancellation_reason"),
+    "assigned_driver_count": _DRIVERS,
+    "courier_changed_flag": flag_sql(f"{_DRIVERS} > 1"),
+    "active_driver_flag": flag_sql(f"{_DRIVERS} > 0"),
+}
+
+MART_PRODUCTS_SQL = {
+    "order_item_id": "oi.order_item_id",
+    "order_id": "oi.order_id",
+    "user_id": "o.user_id",
+    "store_id": "o.store_id",
+    "driver_id": "fd.driver_id",
+    "product_id": "oi.item_id",
+    "replaced_product_id": "oi.item_replaced_id",
+    "product_title": "p.item_title",
+    "product_category": "p.item_category",
+    "order_date": "o.order_date",
+    "order_year": "o.order_year",
+    "order_month": "o.order_month",
+    "order_day": "o.order_day",
+    "city": city_sql("s.store_address"),
+    "store_address": "s.store_address",
+    "payment_type": "o.payment_type",
+    "order_cancellation_reason": "o.order_cancellation_reason",
+    "created_at": "o.created_at",
+    "paid_at": "o.paid_at",
+    "canceled_at": "o.canceled_at",
+    "delivered_at": "fd.delivered_at",
+    "item_quantity": "oi.item_quantity",
+    "item_canceled_quantity": "oi.item_canceled_quantity",
+    "item_paid_quantity": "oi.item_paid_quantity",
+    "item_price": "round(oi.item_price, 2)",
+    "item_discount": "round(oi.item_discount, 2)",
+    "gross_amount": "round(oi.gross_amount, 2)",
+    "discount_amount": "round(oi.discount_amount, 2)",
+    "turnover_amount": "round(oi.turnover_amount, 2)",
+    "canceled_amount": "round(oi.canceled_amount, 2)",
+    "revenue_amount": "round(oi.revenue_amount, 2)",
+    "created_order_flag": "1",
+    "delivered_order_flag": flag_sql("fd.delivered_at IS NOT NULL"),
+    "canceled_order_flag": flag_sql("o.canceled_at IS NOT NULL"),
+    "service_cancel_flag": service_cancel_sql("o.order_cancellation_reason"),
+    "item_has_cancellation_flag": flag_sql("oi.item_canceled_quantity > 0"),
+}
+
+
+def _project(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"{sql} AS {name}" for name, sql in exprs.items()])
 
 
 def mart_orders(
@@ -93,61 +171,11 @@ def mart_orders(
     a = assignment_agg(assignments).alias("a")
     s = stores.alias("s")
     joined = (
-        o.join(i, F.col("o.order_id") == F.col("i.order_id"), "left")
-        .join(a, F.col("o.order_id") == F.col("a.order_id"), "left")
-        .join(s, F.col("o.store_id") == F.col("s.store_id"), "left")
+        o.join(i, F.expr("o.order_id = i.order_id"), "left")
+        .join(a, F.expr("o.order_id = a.order_id"), "left")
+        .join(s, F.expr("o.store_id = s.store_id"), "left")
     )
-    disc = F.coalesce(F.col("o.order_discount").cast("decimal(10,0)"), _zero())
-    cost = F.coalesce(F.col("o.delivery_cost"), _zero())
-    turnover = F.coalesce(F.col("i.items_turnover_amount"), _zero())
-    paid = F.coalesce(F.col("i.paid_items_amount"), _zero())
-    drivers = F.coalesce(F.col("a.assigned_driver_count"), F.lit(0))
-    delivered = F.col("a.delivered_at").isNotNull()
-    canceled = F.col("o.canceled_at").isNotNull()
-    amount = lambda c: F.round(F.coalesce(F.col(f"i.{c}"), _zero()), 2).alias(c)
-    count = lambda c: F.coalesce(F.col(f"i.{c}"), F.lit(0)).alias(c)
-    out = joined.select(
-        F.col("o.order_id"),
-        F.col("o.user_id"),
-        F.col("o.store_id"),
-        F.col("o.order_date"),
-        F.col("o.order_year"),
-        F.col("o.order_month"),
-        F.col("o.order_day"),
-        city_of(F.col("s.store_address")).alias("city"),
-        F.col("s.store_address"),
-        F.col("o.address_text").alias("delivery_address"),
-        F.col("o.payment_type"),
-        F.col("o.order_cancellation_reason"),
-        F.col("o.created_at"),
-        F.col("o.paid_at"),
-        F.col("o.canceled_at"),
-        F.col("a.first_delivery_started_at"),
-        F.col("a.delivered_at"),
-        F.round(disc, 2).alias("order_discount"),
-        F.round(cost, 2).alias("delivery_cost"),
-        count("total_items_count"),
-        count("canceled_items_count"),
-        count("paid_items_count"),
-        amount("items_gross_amount"),
-        amount("items_discount_amount"),
-        amount("items_turnover_amount"),
-        amount("items_canceled_amount"),
-        amount("paid_items_amount"),
-        F.round(turnover - disc, 2).alias("turnover_amount"),
-        F.round(paid - disc + cost, 2).alias("revenue_amount"),
-        # The source defines profit with the same expression as revenue.
-        F.round(paid - disc + cost, 2).alias("profit_amount"),
-        F.lit(1).alias("created_order_flag"),
-        flag(delivered).alias("delivered_order_flag"),
-        flag(canceled).alias("canceled_order_flag"),
-        flag(canceled & delivered).alias("canceled_after_delivery_flag"),
-        _service_cancel("o.order_cancellation_reason").alias("service_cancel_flag"),
-        drivers.alias("assigned_driver_count"),
-        flag(drivers > 1).alias("courier_changed_flag"),
-        flag(drivers > 0).alias("active_driver_flag"),
-    )
-    return conform(out, MART_ORDERS)
+    return conform(_project(joined, MART_ORDERS_SQL), MART_ORDERS)
 
 
 def mart_products(
@@ -168,51 +196,12 @@ def mart_products(
     s = stores.alias("s")
     p = products.alias("p")
     joined = (
-        oi.join(o, F.col("oi.order_id") == F.col("o.order_id"), "left")
-        .join(fd, F.col("oi.order_id") == F.col("fd.order_id"), "left")
-        .join(s, F.col("o.store_id") == F.col("s.store_id"), "left")
-        .join(p, F.col("oi.item_id") == F.col("p.item_id"), "left")
-    )
-    cents = lambda c: F.round(F.col(f"oi.{c}"), 2).alias(c)
-    out = joined.select(
-        F.col("oi.order_item_id"),
-        F.col("oi.order_id"),
-        F.col("o.user_id"),
-        F.col("o.store_id"),
-        F.col("fd.driver_id"),
-        F.col("oi.item_id").alias("product_id"),
-        F.col("oi.item_replaced_id").alias("replaced_product_id"),
-        F.col("p.item_title").alias("product_title"),
-        F.col("p.item_category").alias("product_category"),
-        F.col("o.order_date"),
-        F.col("o.order_year"),
-        F.col("o.order_month"),
-        F.col("o.order_day"),
-        city_of(F.col("s.store_address")).alias("city"),
-        F.col("s.store_address"),
-        F.col("o.payment_type"),
-        F.col("o.order_cancellation_reason"),
-        F.col("o.created_at"),
-        F.col("o.paid_at"),
-        F.col("o.canceled_at"),
-        F.col("fd.delivered_at"),
-        F.col("oi.item_quantity"),
-        F.col("oi.item_canceled_quantity"),
-        F.col("oi.item_paid_quantity"),
-        cents("item_price"),
-        cents("item_discount"),
-        cents("gross_amount"),
-        cents("discount_amount"),
-        cents("turnover_amount"),
-        cents("canceled_amount"),
-        cents("revenue_amount"),
-        F.lit(1).alias("created_order_flag"),
-        flag(F.col("fd.delivered_at").isNotNull()).alias("delivered_order_flag"),
-        flag(F.col("o.canceled_at").isNotNull()).alias("canceled_order_flag"),
-        _service_cancel("o.order_cancellation_reason").alias("service_cancel_flag"),
-        flag(F.col("oi.item_canceled_quantity") > 0).alias("item_has_cancellation_flag"),
+        oi.join(o, F.expr("oi.order_id = o.order_id"), "left")
+        .join(fd, F.expr("oi.order_id = fd.order_id"), "left")
+        .join(s, F.expr("o.store_id = s.store_id"), "left")
+        .join(p, F.expr("oi.item_id = p.item_id"), "left")
     )
-    return conform(out, MART_PRODUCTS)
+    return conform(_project(joined, MART_PRODUCTS_SQL), MART_PRODUCTS)
 
 
 def build_mart(name: str, tables: dict[str, DataFrame]) -> DataFrame:

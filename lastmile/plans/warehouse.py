@@ -12,8 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from lastmile.functions.columns import assignment_id, order_item_id
 from lastmile.functions.conform import conform
@@ -32,8 +31,8 @@ from lastmile.schemas import (
 )
 
 
-def _asc(cols) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in cols]
+def _asc(cols) -> list[str]:
+    return [f"{c} ASC NULLS LAST" for c in cols]
 
 
 def _dimension(spec: TableSpec) -> Callable[[DataFrame], DataFrame]:
@@ -58,9 +57,9 @@ def orders(raw: DataFrame) -> DataFrame:
     cols = ORDERS.columns
     rest = [c for c in cols if c not in ("order_id", "created_at")]
     picked = first_per_group(
-        raw.filter(F.col("order_id").isNotNull()).select(*cols),
+        raw.filter("order_id IS NOT NULL").select(*cols),
         ["order_id"],
-        [F.col("created_at").desc_nulls_last(), *_asc(rest)],
+        ["created_at DESC NULLS LAST", *_asc(rest)],
     )
     return conform(picked, ORDERS.schema)
 
@@ -69,13 +68,13 @@ def order_items(raw: DataFrame) -> DataFrame:
     """Every item row, keyed ``<order>_<item>_<n>``; n counts repeats of the item in the
     order by ``created_at`` (nulls last)."""
     value_cols = [c for c in ORDER_ITEMS.columns if c not in ("order_item_id", "order_id", "item_id")]
-    rows = raw.filter(F.col("order_id").isNotNull() & F.col("item_id").isNotNull()).select(
+    rows = raw.filter("order_id IS NOT NULL AND item_id IS NOT NULL").select(
         "order_id", "item_id", "created_at", *value_cols
     )
     numbered = number_within_groups(
         rows,
         ["order_id", "item_id"],
-        [F.col("created_at").asc_nulls_last(), *_asc(value_cols)],
+        ["created_at ASC NULLS LAST", *_asc(value_cols)],
         name="row_num",
     )
     return conform(numbered.withColumn("order_item_id", order_item_id()), ORDER_ITEMS.schema)
@@ -83,13 +82,13 @@ def order_items(raw: DataFrame) -> DataFrame:
 
 def order_driver_assignments(raw: DataFrame) -> DataFrame:
     """One row per (order, driver, delivery start); the latest raw row wins."""
-    rows = raw.filter(F.col("order_id").isNotNull() & F.col("driver_id").isNotNull()).select(
+    rows = raw.filter("order_id IS NOT NULL AND driver_id IS NOT NULL").select(
         "order_id", "driver_id", "delivery_started_at", "delivered_at", "created_at"
     )
     picked = first_per_group(
         rows,
         ["order_id", "driver_id", "delivery_started_at"],
-        [F.col("created_at").desc_nulls_last(), F.col("delivered_at").asc_nulls_last()],
+        ["created_at DESC NULLS LAST", "delivered_at ASC NULLS LAST"],
     )
     return conform(picked.withColumn("assignment_id", assignment_id()), ORDER_DRIVER_ASSIGNMENTS.schema)
 

@@ -11,7 +11,7 @@ dimension only when its size estimate is under the broadcast threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastmile.functions.conform import conform
@@ -30,12 +30,63 @@ DRIVER_PHONE_PREFIX = "+8"
 DELIVERY_COST_STEP = "25.50"
 
 
-def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TABLES}
+# Declared input schemas (FIXTURES.md §3): no footer inference job per read.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+}
 
 
-def _days(n: Column) -> Column:
-    return F.make_dt_interval(n)
+def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {t: spark.read.schema(SCHEMAS[t]).parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TABLES}
+
+
+# Column rules of the raw table (FIXTURES.md §4), as Spark SQL expressions: one parse
+# each, instead of one JVM round trip per Column-API call.
+_CANCELED = (
+    "o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED', '5-LOW') AND l_linenumber >= 3"
+)
+_HAS_DRIVER = "l_quantity >= 3"
+_STARTED = "l_linenumber <> 7"
+RAW_EXPRESSIONS = {
+    "order_id": "o_orderkey",
+    "user_id": "o_custkey",
+    "user_phone": f"'{USER_PHONE_PREFIX}' || lpad(CAST(c_custkey AS STRING), 10, '0')",
+    "driver_id": f"CASE WHEN {_HAS_DRIVER} THEN l_suppkey END",
+    "driver_phone": f"CASE WHEN {_HAS_DRIVER} THEN '{DRIVER_PHONE_PREFIX}' || lpad(CAST(s_suppkey AS STRING), 10, '0') END",
+    "store_id": "CAST(c_nationkey AS BIGINT)",
+    "store_address": "n_name || ', ' || r_name",
+    "item_id": "l_partkey",
+    "item_title": "p_name",
+    "item_category": "p_type",
+    "item_quantity": "CAST(l_quantity AS INT)",
+    "item_price": "CAST(p_retailprice AS DECIMAL(12,2))",
+    "item_canceled_quantity": "CASE l_returnflag WHEN 'R' THEN CAST(l_quantity AS INT) "
+    "WHEN 'A' THEN CAST(floor(l_quantity / 2) AS INT) END",
+    "item_discount": "CASE WHEN l_returnflag <> 'N' THEN CAST(l_discount AS DECIMAL(5,4)) END",
+    "item_replaced_id": "CASE WHEN l_returnflag = 'A' AND l_linestatus = 'F' THEN (l_partkey + 1) % __part_count END",
+    "address_text": "c_name || ', ' || n_name",
+    "created_at": "o_orderdate + make_dt_interval(10 * (l_linenumber - 1))",
+    "paid_at": "CASE WHEN o_orderstatus IN ('F', 'P') AND l_linenumber >= 2 THEN o_orderdate + INTERVAL 10 MINUTES END",
+    "canceled_at": f"CASE WHEN {_CANCELED} THEN o_orderdate + INTERVAL 2 DAYS END",
+    "payment_type": "c_mktsegment",
+    "order_discount": "CASE WHEN o_orderkey % 5 <> 0 THEN CAST(10 * (o_orderkey % 5) AS INT) END",
+    "order_cancellation_reason": f"CASE WHEN {_CANCELED} THEN CASE o_orderpriority "
+    + " ".join(f"WHEN '{p}' THEN '{r}'" for p, r in REASON_BY_PRIORITY.items())
+    + " END END",
+    "delivery_cost": "CASE WHEN (o_orderkey + l_linenumber) % 7 <> 0 "
+    f"THEN CAST(((o_orderkey + l_linenumber) % 7) * {DELIVERY_COST_STEP}BD AS DECIMAL(12,2)) END",
+    "delivery_started_at": f"CASE WHEN {_STARTED} THEN l_shipdate END",
+    "delivered_at": f"CASE WHEN {_STARTED} AND l_linestatus = 'F' THEN l_shipdate + INTERVAL 2 HOURS END",
+}
 
 
 def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,8 +95,8 @@ def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     customers = (
         t["customer"]
-        .join(t["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+        .join(t["nation"], F.expr("c_nationkey = n_nationkey"))
+        .join(t["region"], F.expr("n_regionkey = r_regionkey"))
         .select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "n_name", "r_name")
     )
     # Lines and orders are the two fact-sized tables: they are sort-merge joined on the
@@ -56,63 +107,11 @@ def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     # allows, sort-merge otherwise).
     rows = (
         t["lineitem"]
-        .join(t["orders"].hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(t["part"], F.col("l_partkey") == F.col("p_partkey"))
-        .join(t["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
-    )
-
-    line_no = F.col("l_linenumber")
-    odate = F.col("o_orderdate")
-    status = F.col("o_orderstatus")
-    priority = F.col("o_orderpriority")
-    rflag = F.col("l_returnflag")
-    has_driver = F.col("l_quantity") >= 3
-    canceled = (status == "O") & priority.isin(*REASON_BY_PRIORITY) & (line_no >= 3)
-    reason = F.lit(None).cast("string")
-    for prio, text in REASON_BY_PRIORITY.items():
-        reason = F.when(priority == prio, F.lit(text)).otherwise(reason)
-    disc_step = F.col("o_orderkey") % 5
-    cost_step = (F.col("o_orderkey") + line_no) % 7
-    started = line_no != 7
-
-    raw = rows.select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.concat(F.lit(USER_PHONE_PREFIX), F.lpad(F.col("c_custkey").cast("string"), 10, "0")).alias("user_phone"),
-        F.when(has_driver, F.col("l_suppkey")).alias("driver_id"),
-        F.when(
-            has_driver,
-            F.concat(F.lit(DRIVER_PHONE_PREFIX), F.lpad(F.col("s_suppkey").cast("string"), 10, "0")),
-        ).alias("driver_phone"),
-        F.col("c_nationkey").cast("long").alias("store_id"),
-        F.concat("n_name", F.lit(", "), "r_name").alias("store_address"),
-        F.col("l_partkey").alias("item_id"),
-        F.col("p_name").alias("item_title"),
-        F.col("p_type").alias("item_category"),
-        F.col("l_quantity").cast("int").alias("item_quantity"),
-        F.col("p_retailprice").cast("decimal(12,2)").alias("item_price"),
-        F.when(rflag == "R", F.col("l_quantity").cast("int"))
-        .when(rflag == "A", F.floor(F.col("l_quantity") / 2).cast("int"))
-        .alias("item_canceled_quantity"),
-        F.when(rflag != "N", F.col("l_discount").cast("decimal(5,4)")).alias("item_discount"),
-        F.when(
-            (rflag == "A") & (F.col("l_linestatus") == "F"),
-            (F.col("l_partkey") + 1) % part_count,
-        ).alias("item_replaced_id"),
-        F.concat("c_name", F.lit(", "), "n_name").alias("address_text"),
-        (odate + _days(F.lit(10) * (line_no - 1))).alias("created_at"),
-        F.when(status.isin("F", "P") & (line_no >= 2), odate + F.expr("INTERVAL 10 MINUTES")).alias("paid_at"),
-        F.when(canceled, odate + _days(F.lit(2))).alias("canceled_at"),
-        F.col("c_mktsegment").alias("payment_type"),
-        F.when(disc_step != 0, (disc_step * 10).cast("int")).alias("order_discount"),
-        F.when(cost_step != 0, (cost_step * F.lit(DELIVERY_COST_STEP).cast("decimal(12,2)")).cast("decimal(12,2)")).alias(
-            "delivery_cost"
-        ),
-        F.when(canceled, reason).alias("order_cancellation_reason"),
-        F.when(started, F.col("l_shipdate")).alias("delivery_started_at"),
-        F.when(started & (F.col("l_linestatus") == "F"), F.col("l_shipdate") + F.expr("INTERVAL 2 HOURS")).alias(
-            "delivered_at"
-        ),
+        .join(t["orders"].hint("merge"), F.expr("l_orderkey = o_orderkey"))
+        .join(customers, F.expr("o_custkey = c_custkey"))
+        .join(t["part"], F.expr("l_partkey = p_partkey"))
+        .join(t["supplier"], F.expr("l_suppkey = s_suppkey"))
+        .withColumn("__part_count", part_count)
     )
+    raw = rows.selectExpr(*[f"{RAW_EXPRESSIONS[f.name]} AS {f.name}" for f in RAW.fields])
     return conform(raw, RAW)

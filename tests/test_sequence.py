@@ -3,22 +3,29 @@ spans many partitions."""
 
 import random
 
-from pyspark.sql import Window
+import pytest
 from pyspark.sql import functions as F
 
-from lastmile.operators.sequence import number_within_groups
+from lastmile.operators.sequence import hot_keys, number_within_groups
+
+# (hot_share, sample_fraction, min_sampled_rows): split everything / mixed / defaults
+MODES = [
+    dict(hot_share=None),
+    dict(hot_share=0.05, sample_fraction=1.0, min_sampled_rows=1),
+    dict(),
+]
 
 
 def _expected(df, keys, order):
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("row_num", F.row_number().over(w))
+    return df.withColumn("row_num", F.expr(f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)})"))
 
 
 def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is None, v or 0) for v in r])
 
 
-def test_hot_group_split_over_partitions_matches_window(spark):
+@pytest.mark.parametrize("mode", MODES)
+def test_hot_group_split_over_partitions_matches_window(spark, mode):
     rnd = random.Random(7)
     rows = []
     for i in range(3000):
@@ -26,34 +33,45 @@ def test_hot_group_split_over_partitions_matches_window(spark):
         g = (1, 1) if i % 3 == 0 else (rnd.randint(2, 200), rnd.randint(1, 3))
         rows.append((g[0], g[1], rnd.randint(0, 50), i))
     df = spark.createDataFrame(rows, "a long, b long, t int, v long")
-    order = [F.col("t").asc_nulls_last(), F.col("v").asc_nulls_last()]
-    got = number_within_groups(df, ["a", "b"], order, num_partitions=7)
+    order = ["t ASC NULLS LAST", "v ASC NULLS LAST"]
+    got = number_within_groups(df, ["a", "b"], order, num_partitions=7, **mode)
     assert _rows(got) == _rows(_expected(df, ["a", "b"], order))
     hot = got.filter("a = 1 AND b = 1").agg(F.min("row_num"), F.max("row_num"), F.count("*")).first()
     assert tuple(hot) == (1, 1000, 1000)
 
 
-def test_null_keys_and_null_order_values(spark):
+@pytest.mark.parametrize("mode", MODES)
+def test_null_keys_and_null_order_values(spark, mode):
     rows = [(None, 1), (None, None), (None, 3), (5, None), (5, 2), (5, 2), (6, 1)]
     df = spark.createDataFrame(rows, "k long, t long")
-    order = [F.col("t").asc_nulls_last()]
-    got = number_within_groups(df, ["k"], order, num_partitions=3)
+    order = ["t ASC NULLS LAST"]
+    got = number_within_groups(df, ["k"], order, num_partitions=3, **mode)
     assert _rows(got) == _rows(_expected(df, ["k"], order))
 
 
 def test_single_partition_and_empty_input(spark):
     df = spark.createDataFrame([(1, 2), (1, 1), (2, 5)], "k long, t long")
-    got = number_within_groups(df, ["k"], [F.col("t")], num_partitions=1)
+    got = number_within_groups(df, ["k"], ["t"], num_partitions=1, hot_share=None)
     assert _rows(got) == [(1, 1, 1), (1, 2, 2), (2, 5, 1)]
     empty = df.filter("k > 10")
-    assert number_within_groups(empty, ["k"], [F.col("t")], num_partitions=3).count() == 0
+    assert number_within_groups(empty, ["k"], ["t"], num_partitions=3).count() == 0
+    assert number_within_groups(empty, ["k"], ["t"], num_partitions=3, hot_share=None).count() == 0
 
 
 def test_without_exchange_reuse_uses_checkpoint(spark):
     spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
         df = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id").alias("t"))
-        got = number_within_groups(df, ["k"], [F.col("t")], num_partitions=5)
-        assert _rows(got) == _rows(_expected(df, ["k"], [F.col("t")]))
+        got = number_within_groups(df, ["k"], ["t"], num_partitions=5, hot_share=None)
+        assert _rows(got) == _rows(_expected(df, ["k"], ["t"]))
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_hot_key_detection_is_bounded_and_finds_the_hot_group(spark):
+    rows = [(1, i) for i in range(4000)] + [(i, 0) for i in range(2, 8002)]
+    df = spark.createDataFrame(rows, "k long, t long")
+    hot = [r.k for r in hot_keys(df, ["k"], hot_share=0.1, sample_fraction=0.2, min_sampled_rows=10).collect()]
+    assert hot == [1]
+    # at most 1 / hot_share keys can qualify
+    assert hot_keys(df, ["k"], hot_share=0.25, sample_fraction=1.0, min_sampled_rows=1).count() <= 4
