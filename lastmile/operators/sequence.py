@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,7 +90,7 @@ def _local_numbers(keys: Sequence[str]):
 def _sort_item(item: str) -> Column:
     """``"col [ASC|DESC] [NULLS FIRST|LAST]"`` as a sort Column."""
     parts = item.split()
-    col = F.col(parts[0])
+    col = F.expr(parts[0])
     desc = len(parts) > 1 and parts[1].upper() == "DESC"
     nulls = parts[-1].upper() if len(parts) > 2 else ("LAST" if desc else "FIRST")
     if desc:
@@ -110,7 +110,7 @@ def number_split(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Keys ascending with nulls first: the same order Spark uses to compare structs,
     # so min/max of struct(keys) below are a partition's first and last key.
-    sort = [F.col(k).asc_nulls_first() for k in keys] + [_sort_item(o) for o in order]
+    sort = [_sort_item(f"{k} ASC NULLS FIRST") for k in keys] + [_sort_item(o) for o in order]
     ranged = (
         df.repartitionByRange(n, *sort)
         .sortWithinPartitions(*sort)
@@ -126,38 +126,29 @@ def number_split(
         # in the session's reliable checkpoint folder (partition ids become data).
         local = local.checkpoint(eager=True)
 
-    key_struct = F.struct(*[F.col(k) for k in keys])
+    key_list = ", ".join(keys)
     edges = local.groupBy(_PART).agg(
-        F.min(key_struct).alias(_FIRST),
-        F.max(F.struct(*[F.col(k) for k in keys], F.col(_LOCAL))).alias(_LAST),
+        F.expr(f"min(struct({key_list}))").alias(_FIRST),
+        F.expr(f"max(struct({key_list}, {_LOCAL}))").alias(_LAST),
     )
-    last_key = F.struct(*[F.col(f"{_LAST}.{k}") for k in keys])
+    last_key = "struct(" + ", ".join(f"{_LAST}.{k}" for k in keys) + ")"
     # One row per partition: these windows see at most `n` rows.
-    run_total = F.sum(F.col(f"{_LAST}.{_LOCAL}")).over(
-        Window.partitionBy(last_key).orderBy(_PART)
+    offsets = edges.selectExpr(
+        _PART,
+        _FIRST,
+        f"{last_key} AS __last_key",
+        f"sum({_LAST}.{_LOCAL}) OVER (PARTITION BY {last_key} ORDER BY {_PART}) AS __carry",
+    ).selectExpr(
+        _PART,
+        _FIRST,
+        f"CASE WHEN lag(__last_key) OVER (ORDER BY {_PART}) <=> {_FIRST} "
+        f"THEN lag(__carry) OVER (ORDER BY {_PART}) ELSE 0 END AS {_OFFSET}",
     )
-    chain = Window.orderBy(_PART)
-    offsets = (
-        edges.withColumn("__carry", run_total)
-        .withColumn("__prev_key", F.lag(last_key).over(chain))
-        .withColumn("__prev_carry", F.lag("__carry").over(chain))
-        .select(
-            _PART,
-            _FIRST,
-            F.when(F.col("__prev_key").eqNullSafe(F.col(_FIRST)), F.col("__prev_carry"))
-            .otherwise(F.lit(0))
-            .alias(_OFFSET),
-        )
-    )
-    return (
-        local.join(F.broadcast(offsets), _PART, "left")
-        .withColumn(
-            name,
-            F.col(_LOCAL)
-            + F.when(key_struct.eqNullSafe(F.col(_FIRST)), F.col(_OFFSET)).otherwise(F.lit(0)),
-        )
-        .drop(_PART, _LOCAL, _FIRST, _OFFSET)
+    numbered = local.join(F.broadcast(offsets), _PART, "left").withColumn(
+        name,
+        F.expr(f"{_LOCAL} + CASE WHEN struct({key_list}) <=> {_FIRST} THEN {_OFFSET} ELSE 0 END"),
     )
+    return numbered.drop(_PART, _LOCAL, _FIRST, _OFFSET)
 
 
 def _null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

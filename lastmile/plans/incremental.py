@@ -32,18 +32,39 @@ def delta_tables(raw: DataFrame, start, end) -> dict[str, DataFrame]:
     return {name: build(sliced) for name, build in BUILDERS.items()}
 
 
-def merge_table(target: DataFrame, delta: DataFrame, name: str, max_broadcast_rows: int = 0) -> DataFrame:
+def slice_rows(raw: DataFrame, start, end) -> int:
+    """Rows created in ``[start, end)``: an upper bound on every delta table's size
+    (each table keeps at most one row per raw row). On the day-partitioned lake this
+    count reads only the slice's directories."""
+    return raw.filter(slice_filter(start, end)).count()
+
+
+def merge_table(
+    target: DataFrame,
+    delta: DataFrame,
+    name: str,
+    max_broadcast_rows: int = 0,
+    delta_rows_at_most: int | None = None,
+) -> DataFrame:
     """Upsert ``delta`` into ``target`` using the table's key and updatable columns."""
     spec = warehouse_table(name)
-    return upsert(target, delta, spec.pk, spec.updatable, max_broadcast_rows=max_broadcast_rows)
+    return upsert(
+        target,
+        delta,
+        spec.pk,
+        spec.updatable,
+        max_broadcast_rows=max_broadcast_rows,
+        delta_rows_at_most=delta_rows_at_most,
+    )
 
 
 def merge_tables(
     targets: Mapping[str, DataFrame],
     deltas: Mapping[str, DataFrame],
     max_broadcast_rows: int = 0,
+    delta_rows_at_most: int | None = None,
 ) -> dict[str, DataFrame]:
     return {
-        name: merge_table(targets[name], deltas[name], name, max_broadcast_rows)
+        name: merge_table(targets[name], deltas[name], name, max_broadcast_rows, delta_rows_at_most)
         for name in BUILDERS
     }

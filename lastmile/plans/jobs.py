@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lastmile.operators import checks
 from lastmile.plans import marts
-from lastmile.plans.incremental import delta_tables, merge_tables
+from lastmile.plans.incremental import delta_tables, merge_tables, slice_rows
 from lastmile.plans.warehouse import build_all
 from lastmile.schemas import MARTS, WAREHOUSE
 from lastmile.sources.store import read_table, write_table
@@ -72,7 +72,10 @@ def incremental_load(
     """
     if current_root.rstrip("/") == new_root.rstrip("/"):
         raise ValueError("new_root must differ from current_root")
-    merged = merge_tables(read_warehouse(spark, current_root), delta_tables(raw, start, end), max_broadcast_rows)
+    bound = slice_rows(raw, start, end) if max_broadcast_rows > 0 else None
+    merged = merge_tables(
+        read_warehouse(spark, current_root), delta_tables(raw, start, end), max_broadcast_rows, bound
+    )
     return _write_all(merged, new_root)
 
 
