@@ -56,15 +56,18 @@ def read_raw_slice(spark: SparkSession, path: str, start, end, partitioned: bool
     )
 
 
-def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_raw(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
     """Lay the lake out by creation day so slices prune to their directories.
 
-    Rows are clustered by day before the write so each task writes few files.
+    ``rebalance`` clusters rows by day before the write so tasks write few files, and
+    adaptive execution splits a day that holds a large share of the rows over several
+    tasks instead of one; ``maxRecordsPerFile`` caps file size.
     """
     (
         df.withColumn(CREATED_DATE, F.to_date("created_at"))
-        .repartition(CREATED_DATE)
+        .hint("rebalance", CREATED_DATE)
         .write.mode(mode)
+        .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(CREATED_DATE)
         .parquet(path)
     )
