@@ -54,8 +54,12 @@ def _merged(name: str) -> Query:
     return run
 
 
-def _tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_all(raw_orders(spark, sf_dir))
+def _tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
+    """Warehouse tables from the derived raw rows (only ``names`` when given)."""
+    raw = raw_orders(spark, sf_dir)
+    if names is None:
+        return build_all(raw)
+    return {n: build_table(raw, n) for n in names}
 
 
 def orders_calendar(spark, sf_dir):
@@ -79,11 +83,13 @@ def first_driver(spark, sf_dir):
 
 
 def mart_orders(spark, sf_dir):
-    return marts.build_mart("mart_orders", _tables(spark, sf_dir))
+    names = ("orders", "order_items", "order_driver_assignments", "stores")
+    return marts.build_mart("mart_orders", _tables(spark, sf_dir, names))
 
 
 def mart_products(spark, sf_dir):
-    return marts.build_mart("mart_products", _tables(spark, sf_dir))
+    names = ("orders", "order_items", "order_driver_assignments", "stores", "products")
+    return marts.build_mart("mart_products", _tables(spark, sf_dir, names))
 
 
 def check_nonempty(spark, sf_dir):

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from lastmile.schemas import RAW
 
-# Partition column of the lake layout written by ``write_raw``.
+# Partition column of the lake layout written by ``write_raw``: the first day of the
+# period (day or month) the row was created in.
 CREATED_DATE = "created_date"
+GRANULARITIES = {"day": "DD", "month": "MM"}
 
 
 def ts_literal(value: dt.datetime | dt.date | str) -> Column:
@@ -39,32 +41,44 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RAW).parquet(path)
 
 
-def read_raw_slice(spark: SparkSession, path: str, start, end, partitioned: bool = False) -> DataFrame:
+def _period(ts: Column, granularity: str) -> Column:
+    return F.trunc(F.to_date(ts), GRANULARITIES[granularity])
+
+
+def read_raw_slice(
+    spark: SparkSession, path: str, start, end, partitioned: bool = False, granularity: str = "day"
+) -> DataFrame:
     """Rows created in ``[start, end)``. The range filter is pushed into the Parquet
-    scan; with the ``created_date`` layout whole day directories are pruned too."""
+    scan; with the ``created_date`` layout whole period directories are pruned too."""
     if not partitioned:
         return read_raw(spark, path).filter(slice_filter(start, end))
     schema = RAW.add(CREATED_DATE, "date")
-    s, e = ts_literal(start), ts_literal(end)
-    day = F.col(CREATED_DATE)
+    period = F.col(CREATED_DATE)
+    first, last = _period(ts_literal(start), granularity), F.to_date(ts_literal(end))
     return (
         spark.read.schema(schema)
         .parquet(path)
-        .filter((day >= F.to_date(s)) & (day <= F.to_date(e)))
+        .filter((period >= first) & (period <= last))
         .filter(slice_filter(start, end))
         .drop(CREATED_DATE)
     )
 
 
-def write_raw(df: DataFrame, path: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
-    """Lay the lake out by creation day so slices prune to their directories.
+def write_raw(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    granularity: str = "day",
+    max_records_per_file: int = 5_000_000,
+) -> None:
+    """Lay the lake out by creation day (or month) so slices prune to their directories.
 
     ``rebalance`` clusters rows by day before the write so tasks write few files, and
     adaptive execution splits a day that holds a large share of the rows over several
     tasks instead of one; ``maxRecordsPerFile`` caps file size.
     """
     (
-        df.withColumn(CREATED_DATE, F.to_date("created_at"))
+        df.withColumn(CREATED_DATE, _period(F.col("created_at"), granularity))
         .hint("rebalance", CREATED_DATE)
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
