@@ -6,13 +6,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastmile.schemas import RAW
 
 # Partition column of the lake layout written by ``write_raw``: the first day of the
 # period (day or month) the row was created in.
 CREATED_DATE = "created_date"
-GRANULARITIES = {"day": "DD", "month": "MM"}
+GRANULARITIES = ("day", "month")
 
 
 def ts_literal(value: dt.datetime | dt.date | str) -> Column:
@@ -42,7 +43,10 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _period(ts: Column, granularity: str) -> Column:
-    return F.trunc(F.to_date(ts), GRANULARITIES[granularity])
+    if granularity not in GRANULARITIES:
+        raise ValueError(f"granularity must be one of {GRANULARITIES}")
+    day = F.to_date(ts)
+    return day if granularity == "day" else F.trunc(day, "MM")
 
 
 def read_raw_slice(
@@ -52,7 +56,7 @@ def read_raw_slice(
     scan; with the ``created_date`` layout whole period directories are pruned too."""
     if not partitioned:
         return read_raw(spark, path).filter(slice_filter(start, end))
-    schema = RAW.add(CREATED_DATE, "date")
+    schema = T.StructType(RAW.fields + [T.StructField(CREATED_DATE, T.DateType())])
     period = F.col(CREATED_DATE)
     first, last = _period(ts_literal(start), granularity), F.to_date(ts_literal(end))
     return (

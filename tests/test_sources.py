@@ -26,6 +26,14 @@ def test_partitioned_lake_slice_prunes_days(make_raw, tmp_path):
     assert full.count() == 6 and "created_date" not in full.drop("created_date").columns
 
 
+def test_month_layout_slice(make_raw, tmp_path):
+    raw = make_raw([{"order_id": i, "created_at": f"2000-{m:02d}-15 00:00:00"} for i, m in enumerate([1, 2, 2, 3], 1)])
+    path = str(tmp_path / "monthly")
+    write_raw(raw, path, granularity="month")
+    sliced = read_raw_slice(raw.sparkSession, path, "2000-02-10", "2000-03-01", partitioned=True, granularity="month")
+    assert sorted(r.order_id for r in sliced.collect()) == [2, 3]
+
+
 def test_unpartitioned_slice_pushes_range_filter(make_raw, tmp_path):
     raw = make_raw([{"order_id": 1, "created_at": "2000-01-01 00:00:00"}])
     path = str(tmp_path / "flat")
