@@ -4,12 +4,12 @@ A plain window sends every row of a group to one task. That is right for ordinar
 groups, and it stays on the JVM with whole-stage codegen. A group holding a large share
 of the table would make one task the whole job, so hot groups take a split path:
 
-* **Finding hot groups.** A deterministic sample (rows picked by a hash of their
-  content, so every evaluation picks the same rows) is counted per key. Keys whose
-  sampled share is at least ``hot_share`` are hot. There are at most
-  ``1 / hot_share`` of them, so the hot key set is broadcast with a proven bound.
-  Each group goes wholly to one path, so a sampling miss only costs balance, never
-  correctness.
+* **Finding hot groups.** Before planning, a deterministic sample is counted per
+  key: rows are picked by a hash of their content, so the same rows are picked
+  every time. Keys whose sampled share is at least ``hot_share`` are hot. There are
+  at most ``1 / hot_share`` of them, so the list is bounded and is broadcast. With
+  no hot key the plan is the plain window alone. Each group goes wholly to one path,
+  so a sampling miss only costs balance, never correctness.
 * **Ordinary groups.** A plain window.
 * **Hot groups.**
   1. Range-partition on ``keys + order`` and sort inside each partition. The bounds
@@ -24,13 +24,14 @@ of the table would make one task the whole job, so hot groups take a split path:
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,21 +161,34 @@ def _null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) ->
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float, sample_fraction: float,
-             min_sampled_rows: int) -> DataFrame:
-    """Keys whose share of a deterministic row sample is at least ``hot_share``
-    (and that were sampled at least ``min_sampled_rows`` times); at most
-    ``1 / hot_share`` keys."""
+             min_sampled_rows: int) -> list:
+    """Keys whose share of a deterministic row sample is at least ``hot_share`` (and
+    that were sampled at least ``min_sampled_rows`` times).
+
+    Runs at planning time, like a statistics pass: the sample (key columns of about
+    ``sample_fraction`` of the rows, picked by a content hash) is kept for its two
+    small actions. The returned list has at most ``1 / hot_share`` entries, since the
+    shares of distinct keys add up to at most 1.
+    """
     buckets = 1 << 20
     cols = ", ".join(f"`{c}`" for c in df.columns)
-    sample = df.filter(f"pmod(xxhash64({cols}), {buckets}) < {int(sample_fraction * buckets)}").select(*keys)
-    total = sample.selectExpr("count(1)").scalar()
-    return (
-        sample.groupBy(*keys)
-        .agg(F.expr("count(1)").alias("__n"))
-        .withColumn("__total", total)
-        .filter(f"__n >= {int(min_sampled_rows)} AND __n >= __total * {float(hot_share)!r}")
+    sample = (
+        df.filter(f"pmod(xxhash64({cols}), {buckets}) < {int(sample_fraction * buckets)}")
         .select(*keys)
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    try:
+        total = sample.count()
+        threshold = max(int(min_sampled_rows), math.ceil(total * hot_share))
+        return (
+            sample.groupBy(*keys)
+            .agg(F.expr("count(1)").alias("__n"))
+            .filter(f"__n >= {threshold}")
+            .select(*keys)
+            .collect()
+        )
+    finally:
+        sample.unpersist()
 
 
 def number_within_groups(
@@ -196,9 +210,13 @@ def number_within_groups(
     """
     if hot_share is None:
         return number_split(df, keys, order, name, num_partitions)
-    hot = F.broadcast(hot_keys(df, keys, hot_share, sample_fraction, min_sampled_rows).alias("__hot"))
-    cond = _null_safe_match(df, hot, keys)
-    ordinary = df.join(hot, cond, "left_anti")
-    numbered = ordinary.withColumn(name, F.expr(f"CAST({row_number_expr(keys, order)} AS BIGINT)"))
-    split = number_split(df.join(hot, cond, "left_semi"), keys, order, name, num_partitions)
-    return numbered.unionByName(split)
+    hot = hot_keys(df, keys, hot_share, sample_fraction, min_sampled_rows)
+    window = F.expr(f"CAST({row_number_expr(keys, order)} AS BIGINT)")
+    if not hot:
+        return df.withColumn(name, window)
+    key_schema = T.StructType([df.schema[k] for k in keys])
+    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, key_schema).alias("__hot"))
+    cond = _null_safe_match(df, hot_df, keys)
+    ordinary = df.join(hot_df, cond, "left_anti").withColumn(name, window)
+    split = number_split(df.join(hot_df, cond, "left_semi"), keys, order, name, num_partitions)
+    return ordinary.unionByName(split)
