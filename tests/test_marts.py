@@ -77,3 +77,17 @@ def test_measure_identities_on_fixture(spark):
         | (F.col("turnover_amount") != F.col("canceled_amount") + F.col("revenue_amount"))
     ).count()
     assert bad == 0
+
+
+def test_item_whose_order_is_missing_and_null_address(make_raw):
+    rows = [
+        {"order_id": 1, "item_id": 10, "item_quantity": 1, "item_price": "2.00", "item_title": "x",
+         "store_address": None, **BASE},
+        {"order_id": 2, "item_id": 10, "item_quantity": 1, "item_price": "2.00", "item_title": "x", **BASE},
+    ]
+    t = _tables(make_raw, rows)
+    t["orders"] = t["orders"].filter("order_id = 1")  # order 2 is missing
+    by_order = {r["order_id"]: r for r in marts.build_mart("mart_products", t).collect()}
+    assert by_order[2]["user_id"] is None and by_order[2]["created_order_flag"] == 1
+    assert by_order[2]["gross_amount"] == Decimal("2.00")
+    assert by_order[1]["city"] is None  # null address

@@ -75,3 +75,13 @@ def test_hot_key_detection_is_bounded_and_finds_the_hot_group(spark):
     assert hot == [1]
     # at most 1 / hot_share keys can qualify
     assert len(hot_keys(df, ["k"], hot_share=0.25, sample_fraction=1.0, min_sampled_rows=1)) <= 4
+
+
+def test_default_settings_route_a_hot_group_to_the_split_path(spark):
+    hot = spark.range(12000).selectExpr("1L AS a", "1L AS b", "id AS t")
+    rest = spark.range(12000).selectExpr("id + 2 AS a", "1L AS b", "id AS t")
+    df = hot.unionByName(rest)
+    assert [tuple(r) for r in hot_keys(df, ["a", "b"], 1e-4, 0.01, 50)] == [(1, 1)]
+    got = number_within_groups(df, ["a", "b"], ["t"], num_partitions=6)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    assert _rows(got) == _rows(_expected(df, ["a", "b"], ["t"]))
