@@ -33,12 +33,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, driver_me
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared checkpoint folder: the session's ``spark.checkpoint.dir`` when set
-    (a cluster names one), else a local scratch folder (local runs only)."""
+    (a cluster names one). Only a local-mode session (tests, bench) may fall back to
+    a scratch folder on this machine; on a cluster an unset folder is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and fallback is None and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an object store)")
     path = configured or fallback or tempfile.mkdtemp(prefix="lastmile-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
