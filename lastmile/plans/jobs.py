@@ -97,10 +97,12 @@ def incremental_load(
 def build_marts(spark: SparkSession, warehouse_root: str, mart_root: str) -> dict[str, str]:
     """Rebuild both marts from the warehouse; fail if either is empty."""
     tables = read_warehouse(spark, warehouse_root, MART_INPUTS)
-    paths = {
-        name: write_table(marts.build_mart(name, tables), mart_root, name, schema)
-        for name, schema in MARTS.items()
-    }
+    with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
+        futures = {
+            name: pool.submit(write_table, marts.build_mart(name, tables), mart_root, name, schema)
+            for name, schema in MARTS.items()
+        }
+        paths = {name: f.result() for name, f in futures.items()}
     written = {name: read_table(spark, mart_root, name) for name in MARTS}
     checks.assert_checks_pass(checks.check_nonempty(written))
     return paths
