@@ -31,11 +31,17 @@ def test_partitioned_upsert_matches_and_leaves_other_months(spark, tmp_path):
     months = partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, root, staging)
     after = _files(os.path.join(root, "order_items"))
 
-    tables = partitioned.read_tables(spark, root)
-    for name in WAREHOUSE:
-        want = decimals_as_double(QUERIES[f"merged_{name}"](spark, SF_SMALL))
-        got = decimals_as_double(tables[name].select(*want.columns))
-        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), name
+    def check():
+        tables = partitioned.read_tables(spark, root)
+        for name in WAREHOUSE:
+            want = decimals_as_double(QUERIES[f"merged_{name}"](spark, SF_SMALL))
+            got = decimals_as_double(tables[name].select(*want.columns))
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), name
+
+    check()
+    # A re-run (e.g. after a failure part-way through) is idempotent.
+    assert partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, root, str(tmp_path / "staging2")) == months
+    check()
 
     touched = {f"order_month={m.isoformat()}" for m in months}
     all_months = {p for f in before for p in f.split(os.sep) if p.startswith("order_month=")}
