@@ -197,7 +197,7 @@ def number_within_groups(
     order: Sequence[str],
     name: str = "row_num",
     num_partitions: int | None = None,
-    hot_share: float | None = 1e-4,
+    hot_share: float | str | None = "auto",
     sample_fraction: float = 0.01,
     min_sampled_rows: int = 50,
 ) -> DataFrame:
@@ -206,10 +206,15 @@ def number_within_groups(
     ``order`` is a list of SQL sort items and should be total (break ties on every
     kept column); rows that still tie are identical, so which of them gets which
     number cannot be observed. ``hot_share=None`` sends every group down the split
-    path.
+    path. ``"auto"`` flags any group above a tenth of one partition's fair share
+    (``min(1e-4, 0.1 / partitions)``), so the hot list is bounded by ten times the
+    partition count.
     """
     if hot_share is None:
         return number_split(df, keys, order, name, num_partitions)
+    if hot_share == "auto":
+        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        hot_share = min(1e-4, 0.1 / n)
     hot = hot_keys(df, keys, hot_share, sample_fraction, min_sampled_rows)
     window = F.expr(f"CAST({row_number_expr(keys, order)} AS BIGINT)")
     if not hot:
