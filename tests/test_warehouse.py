@@ -102,3 +102,44 @@ def test_upsert_keeps_created_at_and_overwrites_with_null(make_raw):
     assert r["user_id"] == 1  # not updatable
     assert r["paid_at"] is None  # EXCLUDED null overwrites
     assert str(r["delivery_cost"]) == "12.50"
+
+
+def test_hot_order_item_group_through_the_builder(spark):
+    """One (order, item) group with 8,000 rows and one store holding most orders: the
+    builder routes the group to the split path and numbers it like a plain window."""
+    from pyspark.sql import functions as F
+
+    from lastmile.plans.warehouse import order_items
+    from lastmile.schemas import RAW
+
+    hot = spark.range(8000).select(
+        F.lit(1).cast("long").alias("order_id"),
+        F.lit(5).cast("long").alias("item_id"),
+        F.lit(1).cast("long").alias("store_id"),
+        F.expr("timestamp_ntz'2000-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("created_at"),
+        (F.col("id") % 7).cast("int").alias("item_quantity"),
+    )
+    rest = spark.range(3000).select(
+        (F.col("id") + 2).alias("order_id"),
+        (F.col("id") % 11).alias("item_id"),
+        F.lit(1).cast("long").alias("store_id"),
+        F.expr("timestamp_ntz'2000-01-01 00:00:00'").alias("created_at"),
+        F.lit(1).alias("item_quantity"),
+    )
+    rows = hot.unionByName(rest)
+    raw = rows.select([
+        F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns
+        else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in RAW.fields
+    ])
+    got = order_items(raw)
+    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    hot_rows = got.filter("order_id = 1").select("order_item_id", "item_quantity").collect()
+    assert len(hot_rows) == 8000
+    # numbering follows created_at (one second apart), so n = seconds + 1
+    expected = raw.filter("order_id = 1").selectExpr(
+        "concat_ws('_', order_id, item_id, row_number() OVER (ORDER BY created_at)) AS order_item_id",
+        "item_quantity",
+    )
+    assert sorted(map(tuple, hot_rows)) == sorted(map(tuple, expected.collect()))
+    assert got.count() == 11000
