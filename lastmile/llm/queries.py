@@ -11,6 +11,19 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table
 from .line_dedup import drop_common_lines
+from .packing import pack
+
+
+def tokenizer_path() -> str:
+    """The tokenizer file: a parameter of the operator, never copied into the repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=2048, end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +32,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op7_line_dedup": op7_line_dedup,
 }
 

@@ -134,3 +134,54 @@ def words(column: pa.Array, size: int | None = None) -> Iterator[Words]:
         starts = np.flatnonzero(solid[1:] & (~solid[:-1] | cut))
         ends = np.flatnonzero(solid[:-1] & (~solid[1:] | cut))
         yield Words(lo, part, at, starts, ends, np.searchsorted(starts, at))
+
+
+class HashIndex:
+    """Numbers of 64-bit keys in an open-addressed numpy table; it doubles as it fills."""
+
+    def __init__(self, bits: int = 12) -> None:
+        self.clear(bits)
+
+    def clear(self, bits: int = 12) -> None:
+        self.bits, self.count = bits, 0
+        self.keys, self.values = np.zeros(1 << bits, _U), np.zeros(1 << bits, np.int32)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> _U(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 where there is none. Key 0 stands for no key."""
+        out = np.full(len(keys), -1, np.int32)
+        at, mask = self._place(keys), len(self.keys) - 1
+        there = self.keys[at]
+        hit = there == keys
+        out[hit] = self.values[at[hit]]
+        rest = np.flatnonzero(~hit & (there != 0))
+        at = at[rest]
+        while len(rest):
+            at = at + 1 & mask
+            there = self.keys[at]
+            hit = there == keys[rest]
+            out[rest[hit]] = self.values[at[hit]]
+            more = ~hit & (there != 0)
+            rest, at = rest[more], at[more]
+        return out
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Keys that are distinct, not 0 and not there yet."""
+        if 2 * (self.count + len(keys)) > len(self.keys):
+            old = self.keys != 0
+            k, v = self.keys[old], self.values[old]
+            bits = self.bits
+            while 2 * (self.count + len(keys)) > 1 << bits:
+                bits += 1
+            self.clear(bits)
+            self.add(k, v)
+        self.count += len(keys)
+        at, mask, left = self._place(keys), len(self.keys) - 1, np.arange(len(keys))
+        while len(left):
+            free = self.keys[at] == 0
+            self.keys[at[free]] = keys[left[free]]  # of several at one place, the last stays
+            won = self.keys[at] == keys[left]
+            self.values[at[won]] = values[left[won]]
+            left, at = left[~won], at[~won] + 1 & mask
