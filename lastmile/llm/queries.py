@@ -10,10 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table
+from .digest import edited_fingerprints
 from .line_dedup import drop_common_lines
 from .packing import pack
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
 def tokenizer_path() -> str:
     """The tokenizer file: a parameter of the operator, never copied into the repository."""
     import public_tokenizers
@@ -32,6 +40,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_document_fingerprints": op1_document_fingerprints,
     "op2_packing": op2_packing,
     "op7_line_dedup": op7_line_dedup,
 }
