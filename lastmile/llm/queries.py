@@ -13,6 +13,7 @@ from .common import LOWER, UPPER, crc_mod, table
 from .digest import edited_fingerprints
 from .language import identify, train
 from .line_dedup import drop_common_lines
+from .near_dup import near_duplicates
 from .packing import pack
 
 
@@ -42,6 +43,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=75)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -51,6 +56,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_packing": op2_packing,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
 }
 
