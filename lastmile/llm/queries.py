@@ -15,6 +15,7 @@ from .language import identify, train
 from .line_dedup import drop_common_lines
 from .near_dup import near_duplicates
 from .packing import pack
+from .tiling import overlaps
 
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +37,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), min_coverage=0.5, min_tile=3)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 4) == 2
@@ -53,6 +58,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_language_id": op4_language_id,
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_packing": op2_packing,
