@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, crc_mod, table
 from .digest import edited_fingerprints
+from .html import main_text
 from .language import identify, train
 from .line_dedup import drop_common_lines
 from .near_dup import near_duplicates
@@ -57,6 +58,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_language_id": op4_language_id,
@@ -64,6 +69,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 _BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
