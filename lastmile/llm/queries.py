@@ -14,6 +14,7 @@ from .digest import edited_fingerprints
 from .html import main_text
 from .language import identify, train
 from .line_dedup import drop_common_lines
+from .maxent import lm_scores
 from .near_dup import near_duplicates
 from .packing import pack
 from .tiling import overlaps
@@ -58,6 +59,12 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = lm_scores(docs, train=crc_mod(F.col("doc_id"), 7) != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
@@ -69,6 +76,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_html_extraction": op10_html_extraction,
 }
 
