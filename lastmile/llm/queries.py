@@ -13,6 +13,7 @@ from .common import LOWER, UPPER, crc_mod, table
 from .digest import edited_fingerprints
 from .html import main_text
 from .language import identify, train
+from .licenses import TEMPLATES, bigrams, normalised_words, scan_licenses
 from .line_dedup import drop_common_lines
 from .maxent import lm_scores
 from .near_dup import near_duplicates
@@ -59,6 +60,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), threshold=0.75)
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = lm_scores(docs, train=crc_mod(F.col("doc_id"), 7) != 2)
@@ -76,13 +81,36 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html_extraction": op10_html_extraction,
 }
 
 _BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+
+
+def _template_rows() -> str:
+    found = {name: bigrams(normalised_words(text)) for name, text in TEMPLATES.items()}
+    return ", ".join(f"('{name}', [{', '.join(repr(x) for x in pairs)}])" for name, pairs in sorted(found.items()))
+
+
 ORACLE_SQL = {
+    "op8_license_scan": f"""
+WITH templates(license, found) AS (VALUES {_template_rows()}), split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
+), lines AS (
+    SELECT doc_id, unnest(ls) AS t, generate_subscripts(ls, 1) - 1 AS line FROM split
+), worded AS (
+    SELECT doc_id, line, [x FOR x IN string_split(regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') IF x <> ''] AS w FROM lines
+), paired AS (
+    SELECT doc_id, line, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS pairs FROM worded
+), scored AS (
+    SELECT doc_id, line, license, 2.0::DOUBLE * len(list_intersect(pairs, found)) / (len(pairs) + len(found)) AS dice
+    FROM paired JOIN templates ON len(pairs) >= len(found) * 0.75 / 1.25 AND len(pairs) <= len(found) * 1.25 / 0.75
+)
+SELECT doc_id, CAST(line AS INT) AS line, 1 AS n_lines, license, dice FROM scored WHERE dice >= 0.75
+QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1""",
     "op7_line_dedup": f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
