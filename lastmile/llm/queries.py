@@ -19,6 +19,8 @@ from .maxent import lm_scores
 from .near_dup import near_duplicates
 from .packing import pack
 from .tiling import overlaps
+from .toxicity import score as score_toxicity
+from .toxicity import train as train_toxicity
 
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +57,15 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), percent=75)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("labelled"), "toxic")
+    labelled = docs.filter(~held_out).join(labels, F.col("doc_id") == F.col("labelled")).select("doc_id", "text", "toxic")
+    scored = score_toxicity(docs, train_toxicity(labelled))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_common_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -80,6 +91,7 @@ QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_packing": op2_packing,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_lm_scoring": op9_lm_scoring,
