@@ -186,3 +186,10 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", lang_
 
     found = docs.withColumn(answer, best(F.col(text_col)))
     return found.select(*others(docs, lang_col, score_col), F.col(f"{answer}.lang").alias(lang_col), F.col(f"{answer}.score").alias(score_col))
+
+
+def recognised(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without those in which no language is recognised, learnt from their own labels."""
+    pred, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
+    found = identify(docs, train(docs, lang_col, text_col, id_col), text_col, pred, score)
+    return found.filter(F.col(pred) != "und").select(*docs.columns)

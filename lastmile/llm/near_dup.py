@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, written
 from .components import components
 from .tokens import constants, mixed, words
 
@@ -87,7 +87,7 @@ def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in words(batch.column(1)):
+        for part in words(batch.column("text")):
             sets, at = shingles(part.hashes(), part.bounds)
             n = np.diff(at)
             full = np.flatnonzero(n)
@@ -97,7 +97,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands = signatures(sets, at[:-1][full])
             offsets = np.concatenate([[0], np.cumsum((n > 0) * BANDS)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(bands).view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(n)), pa.array(n), pa.array(names), lists], names=["id", "n", "name", "bands"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(part.first, len(n)) for c in ("id", "text_hash")), pa.array(n), pa.array(names), lists], names=["id", "text_hash", "n", "name", "bands"])
 
 
 def _compare(percent: int):
@@ -143,13 +143,14 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept) for every row of ``docs``.
+    """(id, n_shingles, component_id, kept, text_hash) for every row of ``docs``.
 
     Two documents link if their sets' intersection is at least ``percent`` of their union.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = written(given.mapInArrow(_sign, f"id {id_type}, n long, name long, bands array<long>"), "signatures")
+    hashed = given.withColumn("text_hash", F.xxhash64("text"))
+    signed = written(hashed.mapInArrow(_sign, f"id {id_type}, text_hash long, n long, name long, bands array<long>"), "signatures")
     classes = written(signed.filter("n > 0").groupBy("name").agg(F.min("id").alias("least"), F.first("n").alias("n")), "classes")
 
     first = classes.select("name", F.col("least").alias("id"))
@@ -196,8 +197,24 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     else:
         classes = classes.select("name", F.col("least").alias("component"))
     classes = written(classes, "components")
-    joined = signed.select("id", "n", "name").join(classes, "name", "left")
+    joined = signed.select("id", "text_hash", "n", "name").join(classes, "name", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return joined.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (component.isNull() | F.coalesce(F.col("id") == component, F.lit(False))).alias("kept")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (component.isNull() | F.coalesce(F.col("id") == component, F.lit(False))).alias("kept"), "text_hash"
     )
+
+
+def deduplicated(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component, with all its columns: that of the least id.
+
+    Of repeated rows one stays, and of an id's different texts in one component that whose
+    hash is least.
+    """
+    found = near_duplicates(docs, percent, id_col, text_col).filter("kept")
+    alone = F.when((F.col("n_shingles") == 0) | F.col("component_id").isNull(), F.col("text_hash"))
+    least = found.groupBy(id_col, "component_id", alone.alias("alone")).agg(F.min("text_hash").alias("hash"))
+    kept_id, kept_hash, own_hash = (fresh(docs, c) for c in ("kept_id", "kept_hash", "own_hash"))
+    kept = written(least.select(F.col(id_col).alias(kept_id), F.col("hash").alias(kept_hash)), "kept")
+    hashed = docs.withColumn(own_hash, F.xxhash64(F.col(text_col)))
+    same = hashed[id_col].eqNullSafe(kept[kept_id]) & (hashed[own_hash] == kept[kept_hash])
+    return hashed.join(kept, same, "left_semi").dropDuplicates([id_col, own_hash]).drop(own_hash)

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .common import fresh, written
 from .tokens import HashIndex, constants, slices, span_hashes, text_bytes
 
 SEED = 5
@@ -208,3 +209,14 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[tuple[list, list
             ids, items, held = [], [], 0
     if ids:
         yield ids, items
+
+
+def decontaminated(docs: DataFrame, benchmark: DataFrame, min_coverage: float = 0.5, min_tile: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without those that hold at least ``min_coverage`` of any item.
+
+    Rows are told apart by id and text, so rows without id stand for themselves.
+    """
+    key = fresh(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col)))
+    hits = overlaps(keyed, benchmark, min_coverage, min_tile, id_col=key, text_col=text_col).select(key).distinct()
+    return keyed.join(written(hits, "contaminated"), key, "left_anti").drop(key)
