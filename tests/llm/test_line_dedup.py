@@ -1,0 +1,63 @@
+import hashlib
+from collections import defaultdict
+
+from lastmile.llm.line_dedup import drop_common_lines
+
+BLANKS = " \t\n\x0b\x0c\r"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, min_docs, min_chars=1):
+    key = lambda line: line.strip(BLANKS).translate(LOWER)
+    seen = defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            seen[key(line)].add(i)
+    out = []
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < min_chars or len(seen[key(x)]) < min_docs]
+        out.append((i, "\n".join(kept), len(lines), len(lines) - len(kept)))
+    return sorted(out, key=repr)
+
+
+def run(docs, **kw):
+    found = drop_common_lines(docs, **kw).select("doc_id", "text", "n_lines", "n_dropped").collect()
+    return sorted(map(tuple, found), key=repr)
+
+
+def test_equals_brute_force_with_nulls_ties_and_repeats(spark, documents):
+    rows = [(1, "A  \nx\n\nÉ"), (2, "\ta\ny"), (3, "a\na\nz"), (4, None), (5, ""), (6, "é\nA\x0b"), (7, "a"), (8, "\r\nÉ \nq")]
+    rows += [(3, "a\na\nz"), (None, "a\nn"), (None, "b\n"), (9, "É"), (9, "other\nz")]
+    for min_docs in (2, 3, 5, 100):
+        assert run(documents(*rows), min_docs=min_docs) == brute(rows, min_docs)
+    assert run(documents(*rows), min_docs=2, min_chars=2) == brute(rows, 2, 2)
+
+
+def test_one_line_in_every_document_and_a_very_long_text(spark, documents):
+    rows = [(i, f"header\nline {i}") for i in range(40)] + [(99, "\n".join(f"long {k % 7000}" for k in range(20000)) + "\nheader")]
+    assert run(documents(*rows), min_docs=10) == brute(rows, 10)
+
+
+def test_extra_columns_with_clashing_names_pass_through(spark):
+    docs = spark.createDataFrame([(1, "a\nb", 5, "k", 0), (2, "a", 6, "l", 1)], "doc_id long, text string, gone_at int, id string, salt int")
+    found = drop_common_lines(docs, min_docs=2)
+    assert {"gone_at", "id", "salt"} <= set(found.columns)
+    assert sorted((r.doc_id, r.text, r.gone_at, r.id, r.salt, r.n_lines, r.n_dropped) for r in found.collect()) == [(1, "b", 5, "k", 0, 2, 1), (2, "", 6, "l", 1, 1, 1)]
+
+
+def test_empty_table(spark, documents):
+    assert run(documents(), min_docs=2) == []
+
+
+def test_plan_has_no_python(spark, documents):
+    plan = drop_common_lines(documents((1, "a")))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_query_hash(spark, tmp_path, documents):
+    from lastmile.llm.queries import op7_line_dedup
+
+    documents((1, "a\nb"), (2, None)).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r.kept_sha256 for r in op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert found == {1: hashlib.sha256(b"a\nb").hexdigest(), 2: hashlib.sha256(b"").hexdigest()}
