@@ -1,6 +1,6 @@
 """Connected components of a link table, by hooking and contraction.
 
-Each pass hooks every node to its lowest neighbour, follows those pointers a few steps, and
+Each pass hooks every node to its lowest neighbour, follows those pointers four steps, and
 contracts the links to links between the labels that are left. A star is done in one pass, a
 chain of n nodes in about log n. Between passes the small tables are written to the shared
 folder, so lineage stays short and the joins read plain scans, which AQE can split where one
@@ -23,9 +23,8 @@ def components(links: DataFrame) -> DataFrame:
     while not edges.isEmpty():
         ends = edges.select("a", "b").union(edges.select("b", "a"))
         up = written(ends.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("x"), F.least("a", "b").alias("up")), "up")
-        for _ in range(2):  # each time, pointers reach twice as far
-            further = up.select(F.col("x").alias("up"), F.col("up").alias("far"))
-            up = written(up.join(further, "up").select("x", F.col("far").alias("up")), "up")
+        twice = up.join(up.select(F.col("x").alias("up"), F.col("up").alias("far")), "up").select("x", F.col("far").alias("up"))
+        up = written(twice.join(twice.select(F.col("x").alias("up"), F.col("up").alias("far")), "up").select("x", F.col("far").alias("up")), "up")
         labels = written(
             labels.join(up.withColumnRenamed("x", "label"), "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels"
         )

@@ -5,11 +5,14 @@
    values costs half as many hash evaluations. Bands of ``ROWS`` values are hashed to buckets.
    At the threshold of 0.75 a link shares no bucket with chance (1 - 0.75**4)**32 = 5e-6.
 2. Documents of equal sets are one class from here on; copies are never paired.
-3. In every bucket one class is the leader and is compared with the others. Links found so
-   far give components, leaders leave their buckets (they have met all there), and buckets
-   whose members are all in one component are done. Each round takes more leaders a bucket,
-   until none holds two components: every pair in a bucket has then been compared or is
-   connected already. No bucket is expanded into all its pairs, none is capped.
+3. In every bucket one class is the leader and is compared with the others, in two rounds
+   with different leaders. The links found give components, and buckets whose classes are all
+   in one are done. In the others, every class outside the bucket's largest component is
+   compared with all classes of other components there. Every pair in a bucket has then been
+   compared or is connected already; none is capped. A bucket of many such pairs is dealt over
+   as many portions as its pairs need.
+   Before texts are compared, a bound that loses nothing prunes pairs: each set has ``BITS``
+   parity bits, and two sets differ in at least as many shingles as in bits.
 4. Comparisons are dealt by (leader, portion): a leader of very many comparisons is copied to
    as many portions as it needs, each a run of rows that one task reads in order.
 
@@ -34,8 +37,9 @@ from .components import components
 from .tokens import constants, mixed, words
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
-#: Comparisons of one leader that one portion holds.
-PORTION = 128
+BITS = 1024
+#: Comparisons of one leader that one portion holds, and pairs of a bucket that one does.
+PORTION, PAIRS = 128, 1 << 18
 
 _WORD = constants(SHINGLE + 1, 5)
 _PERMUTE = constants(BANDS * ROWS, 6)
@@ -85,19 +89,34 @@ def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(folded).T
 
 
+def parities(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Per set, ``BITS`` bits in 64-bit numbers: whether an odd number of hashes fall on each."""
+    of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(sets))))
+    place = of * BITS + (sets >> _U(64 - BITS.bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(place, minlength=len(starts) * BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(len(starts), BITS // 64)
+
+
+def _lists(values: np.ndarray, full: np.ndarray) -> pa.Array:
+    """A list column with a row of ``values`` for each row that is ``full``, else empty."""
+    offsets = np.concatenate([[0], np.cumsum(full * values.shape[1])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(values).view(np.int64).ravel()))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in words(batch.column("text")):
             sets, at = shingles(part.hashes(), part.bounds)
             n = np.diff(at)
             full = np.flatnonzero(n)
-            names, bands = np.zeros(len(n), np.int64), np.zeros((0, BANDS), _U)
+            names, bands, bits = np.zeros(len(n), np.int64), np.zeros((0, BANDS), _U), np.zeros((0, BITS // 64), np.int64)
             if len(full):
-                names[full] = _set_names(sets, at[:-1][full]).view(np.int64)
-                bands = signatures(sets, at[:-1][full])
-            offsets = np.concatenate([[0], np.cumsum((n > 0) * BANDS)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(bands).view(np.int64).ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(part.first, len(n)) for c in ("id", "text_hash")), pa.array(n), pa.array(names), lists], names=["id", "text_hash", "n", "name", "bands"])
+                starts = at[:-1][full]
+                names[full] = _set_names(sets, starts).view(np.int64)
+                bands, bits = signatures(sets, starts), parities(sets, starts)
+            given = [batch.column(c).slice(part.first, len(n)) for c in ("id", "text_hash")]
+            columns = [*given, pa.array(n), pa.array(names), _lists(bands, n > 0), _lists(bits, n > 0)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "n", "name", "bands", "bits"])
 
 
 def _compare(percent: int):
@@ -142,19 +161,39 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "leads", "text").mapInArrow(_compare(percent), "a long, b long")
 
 
+def _extended(links: DataFrame | None, met: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``links`` and those among the pairs ``met`` in buckets, and the components of all."""
+    differing = sum((F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("bits_a", F.lit(k)))) for k in range(BITS // 64)), F.lit(0))
+    # |a xor b| <= (|a| + |b|) * (100 - p) / (100 + p) if they are alike enough
+    alike = (differing * (100 + percent) <= (F.col("n") + F.col("n_a")) * (100 - percent)) & (F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent)
+    pairs = met.filter((F.col("label") != F.col("label_a")) & alike).select("name", "name_a")
+    pairs = pairs.groupBy(F.least("name", "name_a").alias("lo"), F.greatest("name", "name_a").alias("hi")).agg(F.min("name_a").alias("a"))
+    b = F.when(F.col("a") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b")
+    found = written(_links(written(pairs.select("a", b), "pairs"), texts, percent), "found")
+    links = found if links is None else links.union(found)
+    return links, components(links)
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with their new labels, of buckets that hold more than one component."""
+    now = members.drop("label").join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("label", F.coalesce("label", "name"))
+    several = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
+    return written(now.join(written(several, "open"), "bucket"), "buckets")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id, kept, text_hash) for every row of ``docs``.
+    """(id, n_shingles, component_id, kept, text_hash, group) for every row of ``docs``.
 
-    Two documents link if their sets' intersection is at least ``percent`` of their union.
+    ``group`` is a hash that names the component of the row's text. Two documents link if their sets' intersection is at least ``percent`` of their union.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     hashed = given.withColumn("text_hash", F.xxhash64("text"))
-    signed = written(hashed.mapInArrow(_sign, f"id {id_type}, text_hash long, n long, name long, bands array<long>"), "signatures")
+    signed = written(hashed.mapInArrow(_sign, f"id {id_type}, text_hash long, n long, name long, bands array<long>, bits array<long>"), "signatures")
     classes = written(signed.filter("n > 0").groupBy("name").agg(F.min("id").alias("least"), F.first("n").alias("n")), "classes")
 
     first = classes.select("name", F.col("least").alias("id"))
-    band_rows = signed.select("name", "id", "n", "bands").join(first, ["name", "id"]).select(F.explode("bands").alias("bucket"), "name", "n")
+    band_rows = signed.select("name", "id", "n", "bands", "bits").join(first, ["name", "id"]).select(F.explode("bands").alias("bucket"), "name", "n", "bits")
     shared = band_rows.groupBy("bucket").agg(F.min("name").alias("x"), F.max("name").alias("y")).filter("x < y").select("bucket")
     members = written(band_rows.join(written(shared, "shared"), "bucket"), "buckets")
 
@@ -163,45 +202,34 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     wanted = written(met.join(classes, "name").select("name", F.col("least").alias("id")), "wanted")
     texts = written(given.filter("id is not null").join(wanted, "id").select("name", "text").distinct(), "texts")
 
-    links = tried = labels = None
-    step = 0
-    while not members.isEmpty():
-        group = F.pmod(F.xxhash64("name"), F.lit(4 ** max(0, step - 1)))
-        lead = F.min(F.struct("name", "n", *(["label"] if labels else []))).alias("lead")
-        leaders = members.groupBy("bucket", group.alias("g")).agg(lead)
-        leaders = leaders.select("bucket", F.col("lead.name").alias("a"), F.col("lead.n").alias("n_a"), *([F.col("lead.label").alias("label_a")] if labels else []))
-        leaders = written(leaders, "leaders")
-        apart = F.col("label_a") != F.col("label") if labels else F.col("a") != F.col("name")
-        alike = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
-        pairs = members.join(leaders, "bucket").filter(apart & alike)
-        pairs = pairs.groupBy(F.least("a", "name").alias("lo"), F.greatest("a", "name").alias("hi")).agg(F.min("a").alias("a"))
-        if tried is not None:
-            pairs = pairs.join(tried, ["lo", "hi"], "left_anti")
-        b = F.when(F.col("a") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b")
-        pairs = written(pairs.select("lo", "hi", "a", b), "pairs")
-        tried = pairs.select("lo", "hi") if tried is None else tried.union(pairs.select("lo", "hi"))
-        found = written(_links(pairs.select("a", "b"), texts, percent), "found")
-        links = found if links is None else links.union(found)
-
-        labels = components(links)
-        rest = members.select("bucket", "name", "n").join(leaders.select("bucket", F.col("a").alias("name")), ["bucket", "name"], "left_anti")
-        rest = rest.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("label", F.coalesce("label", "name"))
-        open_ = rest.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-        members = written(rest.join(open_, "bucket"), "buckets")
-        step += 1
-
-    if labels is not None:
-        named = classes.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("label", F.coalesce("label", "name"))
-        least = named.groupBy("label").agg(F.min("least").alias("component"))
-        classes = named.select("name", "label").join(least, "label").select("name", "component")
+    links = labels = None
+    members = members.withColumn("label", F.col("name"))
+    for lead in (F.min, F.max):
+        leaders = members.groupBy("bucket").agg(lead(F.struct("name", "n", "label", "bits")).alias("lead"))
+        leaders = written(leaders.select("bucket", *(F.col(f"lead.{c}").alias(f"{c}_a") for c in ("name", "n", "label", "bits"))), "leaders")
+        links, labels = _extended(links, members.join(leaders, "bucket"), texts, percent)
+        members = _open(members, labels)
+        if members.isEmpty():
+            break
     else:
-        classes = classes.select("name", F.col("least").alias("component"))
-    classes = written(classes, "components")
-    joined = signed.select("id", "text_hash", "n", "name").join(classes, "name", "left")
+        sizes = members.groupBy("bucket", "label").agg(F.count("name").alias("k"))
+        sizes = sizes.groupBy("bucket").agg(F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("main"))
+        portions = F.ceil((F.col("all") - F.col("main.k")) * F.col("all") / PAIRS).cast("int")
+        dealt = members.join(written(sizes.select("bucket", F.col("main.label").alias("main"), portions.alias("portions")), "sizes"), "bucket")
+        outside = dealt.filter("label <> main").withColumn("portion", F.pmod(F.xxhash64("name"), F.col("portions")).cast("int"))
+        outside = outside.select("bucket", "portion", *(F.col(c).alias(f"{c}_a") for c in ("name", "n", "label", "bits")))
+        everyone = dealt.withColumn("portion", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)))
+        links, labels = _extended(links, everyone.join(outside, ["bucket", "portion"]), texts, percent)
+
+    named = classes.withColumn("group", F.col("name"))
+    if labels is not None:
+        named = classes.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("group", F.coalesce("label", "name"))
+    least = named.groupBy("group").agg(F.min("least").alias("component"))
+    named = written(named.select("name", "group").join(least, "group"), "components")
+    joined = signed.select("id", "text_hash", "n", "name").join(named, "name", "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return joined.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (component.isNull() | F.coalesce(F.col("id") == component, F.lit(False))).alias("kept"), "text_hash"
-    )
+    kept = component.isNull() | F.coalesce(F.col("id") == component, F.lit(False))
+    return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), kept.alias("kept"), "text_hash", "group")
 
 
 def deduplicated(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,8 +239,8 @@ def deduplicated(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", tex
     hash is least.
     """
     found = near_duplicates(docs, percent, id_col, text_col).filter("kept")
-    alone = F.when((F.col("n_shingles") == 0) | F.col("component_id").isNull(), F.col("text_hash"))
-    least = found.groupBy(id_col, "component_id", alone.alias("alone")).agg(F.min("text_hash").alias("hash"))
+    group = F.coalesce("group", "text_hash").alias("of")  # texts without words stand alone
+    least = found.groupBy(id_col, group).agg(F.min("text_hash").alias("hash"))
     kept_id, kept_hash, own_hash = (fresh(docs, c) for c in ("kept_id", "kept_hash", "own_hash"))
     kept = written(least.select(F.col(id_col).alias(kept_id), F.col("hash").alias(kept_hash)), "kept")
     hashed = docs.withColumn(own_hash, F.xxhash64(F.col(text_col)))
