@@ -46,7 +46,7 @@ def test_code_lengths_equal_the_tree_walk(spark, documents):
 
 def test_held_out_accuracy_and_und(spark, documents):
     r = rng(1)
-    rows = [(i, text(r, r.choice([5, 50])), lang) for i, lang in enumerate(["en", "fr", "de"] * 40)]
+    rows = [(i, text(r, r.choice([5, 50]), lang), lang) for i, lang in enumerate(["en", "fr", "de"] * 40)]
     model = train(documents(*rows))
     assert model.languages == ["de", "en", "fr"]
     tests = [(i, text(r, 8, lang).upper() if i % 2 else text(r, 8, lang), lang) for i, lang in enumerate(["en", "fr", "de"] * 20)]
