@@ -86,8 +86,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, thre
     rare = sorted({w for text in known.values() for pair in text for w in pair.split(" ")})
 
     split = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
-    runs = [F.transform(split, lambda t, i, k=k: F.struct(i.alias("line"), F.lit(k).alias("n_lines"), F.array_join(F.slice(split, i + 1, k), " ").alias("text"))) for k in range(2, max_lines + 1)]
-    units = F.concat(F.transform(split, lambda t, i: F.struct(i.alias("line"), F.lit(1).alias("n_lines"), t.alias("text"))), *runs)
+
+    def runs(k: int) -> Column:
+        return F.transform(split, lambda t, i: F.struct(i.alias("line"), F.lit(k).alias("n_lines"), (t if k == 1 else F.array_join(F.slice(split, i + 1, k), " ")).alias("text")))
+
+    units = F.concat(*(runs(k) for k in range(1, max_lines + 1))) if max_lines > 1 else runs(1)
     lines = docs.select(F.col(id_col).alias("id"), F.explode(units).alias("unit"))
     worded = lines.select("id", "unit.line", "unit.n_lines", _words(F.col("unit.text")).alias("words"))
     worded = worded.filter(F.arrays_overlap("words", F.array(*map(F.lit, rare))) & (F.size("words") >= low + 1))
