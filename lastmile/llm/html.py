@@ -28,7 +28,7 @@ from html import unescape
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, others, written
@@ -256,13 +256,21 @@ def main_text(pages: DataFrame, min_pages: int = 10, html_col: str = "html", url
         .groupBy("host", "hash").agg(F.count("one").alias("n")).filter(F.col("n") >= min_pages)
         .select("host", "hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
+    # only pages with deletable elements around their own text have to meet the templates
+    exposed = F.exists(F.col(found)["blocks"], lambda b: F.size(b["hashes"]) > 0)
+    around = F.array_distinct(F.flatten(F.transform(F.col(found)["blocks"], lambda b: b["hashes"])))
     deleted = (
-        occurrences.select("page", "host", "hash", F.pmod("page", F.lit(SALTS)).cast("int").alias("salt"))
+        parsed.filter(exposed).select(F.col(key).alias("page"), F.col(host).alias("host"), F.explode(around).alias("hash"))
+        .withColumn("salt", F.pmod("page", F.lit(SALTS)).cast("int"))
         .join(template, ["host", "hash", "salt"])
         .groupBy("page").agg(F.collect_set("hash").alias("gone"))
         .select(F.col("page").alias(key), F.col("gone").alias(gone))
     )
-    joined = parsed.join(deleted, key, "left")
-    left = F.filter(F.col(found)["blocks"], lambda b: ~F.arrays_overlap(b["hashes"], F.coalesce(F.col(gone), F.array().cast("array<bigint>"))))
-    text = F.array_join(F.transform(left, lambda b: b["text"]), " ")
-    return joined.select(*(F.col(f"`{c}`") for c in kept), text.alias(text_col)).withColumn(chars_col, F.char_length(text_col).cast("long"))
+
+    def finished(rows: DataFrame, blocks_left: Column) -> DataFrame:
+        text = F.array_join(F.transform(blocks_left, lambda b: b["text"]), " ")
+        return rows.select(*(F.col(f"`{c}`") for c in kept), text.alias(text_col)).withColumn(chars_col, F.char_length(text_col).cast("long"))
+
+    every = F.col(found)["blocks"]
+    left = F.filter(every, lambda b: ~F.arrays_overlap(b["hashes"], F.coalesce(F.col(gone), F.array().cast("array<bigint>"))))
+    return finished(parsed.filter(~exposed), every).union(finished(parsed.filter(exposed).join(deleted, key, "left"), left))
