@@ -17,8 +17,19 @@ GRANULARITIES = ("day", "month")
 
 
 def ts_literal(value: dt.datetime | dt.date | str) -> Column:
-    """A zone-less timestamp literal (no session time zone is involved)."""
+    """A zone-less timestamp literal (no session time zone is involved).
+
+    The lake's times are UTC: a bound with a zone, as a scheduler hands them out, is
+    converted to UTC first, also when it is given as ISO text.
+    """
+    if isinstance(value, str):
+        try:
+            value = dt.datetime.fromisoformat(value)
+        except ValueError:
+            pass  # left to Spark's parser
     if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc)
         text = value.replace(tzinfo=None).isoformat(sep=" ")
     elif isinstance(value, dt.date):
         text = value.isoformat()
@@ -49,20 +60,23 @@ def _period(ts: Column, granularity: str) -> Column:
     return day if granularity == "day" else F.trunc(day, "MM")
 
 
-def read_raw_slice(
-    spark: SparkSession, path: str, start, end, partitioned: bool = False, granularity: str = "day"
-) -> DataFrame:
+def read_raw_slice(spark: SparkSession, path: str, start, end, partitioned: bool = False) -> DataFrame:
     """Rows created in ``[start, end)``. The range filter is pushed into the Parquet
-    scan; with the ``created_date`` layout whole period directories are pruned too."""
+    scan; with the ``created_date`` layout whole period directories are pruned too.
+
+    The pruning is right for either granularity: a directory may hold rows of the slice
+    if its date is not before the first day, or is the first of that day's month (where
+    a month layout keeps it).
+    """
     if not partitioned:
         return read_raw(spark, path).filter(slice_filter(start, end))
     schema = T.StructType(RAW.fields + [T.StructField(CREATED_DATE, T.DateType())])
     period = F.col(CREATED_DATE)
-    first, last = _period(ts_literal(start), granularity), F.to_date(ts_literal(end))
+    first, last = F.to_date(ts_literal(start)), F.to_date(ts_literal(end))
     return (
         spark.read.schema(schema)
         .parquet(path)
-        .filter((period >= first) & (period <= last))
+        .filter(((period >= first) | (period == F.trunc(first, "MM"))) & (period <= last))
         .filter(slice_filter(start, end))
         .drop(CREATED_DATE)
     )
