@@ -56,20 +56,35 @@ def check_primary_keys(tables: Mapping[str, DataFrame], specs: Mapping[str, Tabl
 
 
 def check_foreign_keys(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
-    """Non-null child key values that have no parent row (rows counted)."""
-    frames = []
+    """Non-null child key values that have no parent row (rows counted).
+
+    Every child is read once (its key columns stacked and counted per value) and every
+    parent once; all constraints then meet in one join.
+    """
+    constraints = [(name, fk) for name in tables for fk in specs[name].foreign_keys]
+    title = {id(fk): f"fk_{fk.column}_{fk.parent}" for _, fk in constraints}
+    values, zeros = [], []
     for name, df in tables.items():
-        for fk in specs[name].foreign_keys:
-            per_value = (
-                df.filter(f"{fk.column} IS NOT NULL")
-                .selectExpr(f"{fk.column} AS __k")
-                .groupBy("__k")
-                .agg(F.expr("count(1)").alias("n"))
-            )
-            parents = tables[fk.parent].selectExpr(f"{fk.parent_column} AS __k")
-            orphans = per_value.join(parents, "__k", "left_anti")
-            frames.append(_row(orphans.selectExpr("sum(n) AS v"), name, f"fk_{fk.column}_{fk.parent}", "v"))
-    return _union(frames)
+        fks = specs[name].foreign_keys
+        if not fks:
+            continue
+        pairs = ", ".join(f"'{name}', '{title[id(fk)]}', CAST({fk.column} AS STRING)" for fk in fks)
+        stacked = df.selectExpr(f"stack({len(fks)}, {pairs}) AS (table_name, constraint_name, value)")
+        values.append(stacked.filter("value IS NOT NULL"))
+        zeros += [(name, title[id(fk)]) for fk in fks]
+    if not zeros:
+        raise ValueError("no foreign keys to check")
+    counted = _union(values).groupBy("table_name", "constraint_name", "value").agg(F.expr("count(1)").alias("n"))
+    parents = []
+    for parent, column in sorted({(fk.parent, fk.parent_column) for _, fk in constraints}):
+        needed = ", ".join(f"struct('{n}' AS table_name, '{title[id(fk)]}' AS constraint_name)" for n, fk in constraints if (fk.parent, fk.parent_column) == (parent, column))
+        parents.append(tables[parent].selectExpr(f"inline(array({needed}))", f"CAST({column} AS STRING) AS value"))
+    orphans = counted.join(_union(parents), ["table_name", "constraint_name", "value"], "left_anti")
+    every = ", ".join(f"struct('{t}' AS table_name, '{c}' AS constraint_name)" for t, c in zeros)
+    spark = next(iter(tables.values())).sparkSession
+    none = spark.range(1).selectExpr(f"inline(array({every}))").selectExpr("table_name", "constraint_name", "0L AS n")
+    found = orphans.select("table_name", "constraint_name", "n").unionByName(none)
+    return found.groupBy("table_name", "constraint_name").agg(F.expr("CAST(sum(n) AS BIGINT)").alias("violations"))
 
 
 def check_not_null(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
@@ -100,6 +115,18 @@ def check_discount_range(order_items: DataFrame) -> DataFrame:
     )
 
 
+def check_constraints(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], nonempty: bool = True) -> DataFrame:
+    """All constraints of a warehouse: keys, references, NOT NULLs, the discount's range and,
+    unless told otherwise, that no table is empty."""
+    found = (
+        check_primary_keys(tables, specs)
+        .unionByName(check_foreign_keys(tables, specs))
+        .unionByName(check_not_null(tables, specs))
+        .unionByName(check_discount_range(tables["order_items"]))
+    )
+    return found.unionByName(check_nonempty(tables)) if nonempty else found
+
+
 def assert_checks_pass(results: DataFrame) -> None:
     """Raise if any constraint has violations (collects only the failing rows)."""
     bad = results.filter("violations > 0").collect()

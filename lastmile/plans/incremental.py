@@ -20,6 +20,7 @@ from lastmile.operators.upsert import upsert
 from lastmile.plans.warehouse import BUILDERS, build_table
 from lastmile.schemas import warehouse_table
 from lastmile.sources.lake import slice_filter
+from lastmile.sources.store import read_table, write_table
 
 
 def delta_table(raw: DataFrame, name: str, start, end) -> DataFrame:
@@ -32,39 +33,25 @@ def delta_tables(raw: DataFrame, start, end) -> dict[str, DataFrame]:
     return {name: build(sliced) for name, build in BUILDERS.items()}
 
 
-def slice_rows(raw: DataFrame, start, end) -> int:
-    """Rows created in ``[start, end)``: an upper bound on every delta table's size
-    (each table keeps at most one row per raw row). On the day-partitioned lake this
-    count reads only the slice's directories."""
-    return raw.filter(slice_filter(start, end)).count()
+def stored_deltas(raw: DataFrame, start, end, folder: str) -> dict[str, DataFrame]:
+    """The slice's tables, written once under ``folder`` and read from there: a merge reads
+    its delta more than once."""
+    return stored(delta_tables(raw, start, end), folder)
 
 
-def merge_table(
-    target: DataFrame,
-    delta: DataFrame,
-    name: str,
-    max_broadcast_rows: int = 0,
-    delta_rows_at_most: int | None = None,
-) -> DataFrame:
+def stored(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    out = {}
+    for name, table in tables.items():
+        write_table(table, folder, name, warehouse_table(name).schema)
+        out[name] = read_table(table.sparkSession, folder, name, warehouse_table(name).schema)
+    return out
+
+
+def merge_table(target: DataFrame, delta: DataFrame, name: str, max_broadcast_bytes: int = 0) -> DataFrame:
     """Upsert ``delta`` into ``target`` using the table's key and updatable columns."""
     spec = warehouse_table(name)
-    return upsert(
-        target,
-        delta,
-        spec.pk,
-        spec.updatable,
-        max_broadcast_rows=max_broadcast_rows,
-        delta_rows_at_most=delta_rows_at_most,
-    )
-
-
-def merge_tables(
-    targets: Mapping[str, DataFrame],
-    deltas: Mapping[str, DataFrame],
-    max_broadcast_rows: int = 0,
-    delta_rows_at_most: int | None = None,
-) -> dict[str, DataFrame]:
-    return {
-        name: merge_table(targets[name], deltas[name], name, max_broadcast_rows, delta_rows_at_most)
-        for name in BUILDERS
-    }
+    return upsert(target, delta, spec.pk, spec.updatable, max_broadcast_bytes)
+
+
+def merge_tables(targets: Mapping[str, DataFrame], deltas: Mapping[str, DataFrame], max_broadcast_bytes: int = 0) -> dict[str, DataFrame]:
+    return {name: merge_table(targets[name], deltas[name], name, max_broadcast_bytes) for name in BUILDERS}

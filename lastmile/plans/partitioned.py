@@ -1,113 +1,140 @@
-"""Warehouse layout whose upserts rewrite only the partitions a slice touches.
-
-The three order-keyed tables (``orders``, ``order_items``,
-``order_driver_assignments``) are stored partitioned by ``order_month``, the first
-day of the month the order was created in. An upsert never changes an order's
-``created_at``, and item and assignment keys contain the order id, so a key never
-moves between partitions. A slice therefore touches only:
-
-* the months of the orders it updates (read from the stored orders), and
-* the months of the orders it creates.
-
-``incremental_load`` merges just those partitions. It stages the merged partitions
-under ``staging_root`` (Spark cannot overwrite partitions it is reading in the same
-job), then replaces them in place with dynamic partition overwrite. Dimensions are
-merged whole (they are one row per key and much smaller than the facts). The month
-list is computed on the driver; it is bounded by the calendar (one entry per month).
+"""Warehouse layout whose upserts rewrite only the months a slice touches.
+
+The three order-keyed tables (``orders``, ``order_items``, ``order_driver_assignments``) are
+kept by ``order_month``, the first day of the month the order was created in (one part, null,
+holds the orders without a time). An upsert never changes an order's ``created_at``, and item
+and assignment keys contain the order id, so a key never moves between months. A slice
+therefore touches only the months of the orders it updates (stored months) and of those it
+creates.
+
+Nothing is overwritten. A load writes its tables and months into a folder of its own under
+``root/data``, checks them, and then publishes one small manifest that readers resolve
+(``lastmile.sources.manifest``). A run that fails at any point before that leaves the
+published version as it was, so it is simply run again; readers see the old version or the
+new one, never a mix. Folders that no manifest names can be deleted at leisure.
+
+The month list is computed on the driver; it is bounded by the calendar (one entry a month).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lastmile.plans.incremental import delta_tables, merge_table, slice_rows
+from lastmile.operators import checks
+from lastmile.plans.incremental import merge_table, stored_deltas
 from lastmile.plans.warehouse import build_all
 from lastmile.schemas import WAREHOUSE
-from lastmile.sources.store import read_table, table_path, write_table
+from lastmile.sources import manifest as manifests
+from lastmile.sources.store import table_path, write_table
 
 MONTH = "order_month"
 FACTS = ("orders", "order_items", "order_driver_assignments")
 DIMENSIONS = tuple(n for n in WAREHOUSE if n not in FACTS)
+#: Deltas of at most so many bytes are broadcast into their merge.
+BROADCAST_BYTES = 64 << 20
+NULL_MONTH = "__HIVE_DEFAULT_PARTITION__"
+_MONTH_OF = "trunc(to_date(created_at), 'MM')"
 
 
 def _order_months(orders: DataFrame) -> DataFrame:
-    return orders.selectExpr("order_id", f"trunc(to_date(created_at), 'MM') AS {MONTH}")
+    return orders.selectExpr("order_id", f"{_MONTH_OF} AS {MONTH}")
 
 
 def _with_month(name: str, df: DataFrame, months: DataFrame) -> DataFrame:
     if name == "orders":
-        return df.withColumn(MONTH, F.expr("trunc(to_date(created_at), 'MM')"))
+        return df.withColumn(MONTH, F.expr(_MONTH_OF))
     return df.join(months, "order_id", "left").select(*WAREHOUSE[name].columns, MONTH)
 
 
-def _write_fact(df: DataFrame, path: str, dynamic: bool) -> None:
-    writer = df.write.mode("overwrite").partitionBy(MONTH)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+def _write_fact(spark: SparkSession, df: DataFrame, folder: str, name: str) -> dict[str, str]:
+    """Write a fact by month and return its months' folders.
+
+    ``rebalance`` clusters rows by month first, so the number of files follows the data,
+    not the tasks, and a month with very many rows is split over several of them.
+    """
+    path = table_path(folder, name)
+    df.hint("rebalance", MONTH).write.partitionBy(MONTH).parquet(path)
+    found = [f for f in manifests.list_folders(spark, path) if f.startswith(f"{MONTH}=")]
+    return {f.partition("=")[2]: f"{path}/{f}" for f in found}
 
 
-def full_load(spark: SparkSession, raw: DataFrame, root: str) -> None:
-    """Seven tables; facts partitioned by ``order_month``."""
-    tables = build_all(raw)
-    months = _order_months(tables["orders"])
+def _write_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, dict[str, str]]:
+    paths = {}
     for name in DIMENSIONS:
-        write_table(tables[name], root, name, WAREHOUSE[name].schema)
-    for name in FACTS:
-        _write_fact(_with_month(name, tables[name], months), table_path(root, name), dynamic=False)
+        paths[name] = {"": write_table(tables[name], folder, name, WAREHOUSE[name].schema)}
+    # months come from the orders as written, so both facts agree with them
+    paths["orders"] = _write_fact(spark, _with_month("orders", tables["orders"], tables["orders"]), folder, "orders")
+    months = _order_months(_resolved(spark, {"orders": paths["orders"]}, "orders"))
+    for name in FACTS[1:]:
+        paths[name] = _write_fact(spark, _with_month(name, tables[name], months), folder, name)
+    return paths
+
+
+def _resolved(spark: SparkSession, paths: dict[str, dict[str, str]], name: str, months: list[str] | None = None) -> DataFrame:
+    """A table, or some months of it, from its folders."""
+    parts = paths.get(name, {})
+    found = [p for m, p in sorted(parts.items()) if months is None or m in months]
+    schema = WAREHOUSE[name].schema
+    return spark.read.schema(schema).parquet(*found) if found else spark.createDataFrame([], schema)
+
+
+def _new_folder(root: str) -> str:
+    return f"{root.rstrip('/')}/data/{uuid.uuid4().hex}"
 
 
 def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All seven tables in their warehouse schema (the partition column dropped)."""
-    out = {n: read_table(spark, root, n, WAREHOUSE[n].schema) for n in DIMENSIONS}
-    for n in FACTS:
-        out[n] = spark.read.parquet(table_path(root, n)).select(*WAREHOUSE[n].columns)
-    return out
+    """All seven tables of the published version, in their warehouse schema."""
+    paths = manifests.current(spark, root).paths
+    return {name: _resolved(spark, paths, name) for name in WAREHOUSE}
 
 
-def touched_months(spark: SparkSession, root: str, delta_orders: DataFrame) -> list:
-    """Months holding the slice's orders: stored month for known orders, creation month
-    for new ones (one entry per calendar month, so a short list)."""
-    stored = spark.read.parquet(table_path(root, "orders")).select("order_id", MONTH)
-    known = stored.join(delta_orders.select("order_id"), "order_id", "left_semi").select(MONTH)
-    new = _order_months(delta_orders.join(stored, "order_id", "left_anti")).select(MONTH)
-    return [r[MONTH] for r in known.unionByName(new).distinct().collect()]
+def full_load(spark: SparkSession, raw: DataFrame, root: str, strict: bool = True) -> DataFrame:
+    """Replace all seven tables; returns the checks' counts.
+
+    With ``strict`` a violated constraint raises before anything is published.
+    """
+    paths = _write_tables(spark, build_all(raw), _new_folder(root))
+    report = checks.check_constraints({n: _resolved(spark, paths, n) for n in WAREHOUSE}, WAREHOUSE)
+    if strict:
+        checks.assert_checks_pass(report)
+    published = manifests.current(spark, root)
+    manifests.publish(spark, root, manifests.Manifest(published.version + 1, paths))
+    return report
+
+
+def touched_months(stored_orders: DataFrame, delta_orders: DataFrame) -> list[str]:
+    """Folder names of the months whose orders a slice updates or may create.
+
+    One scan of the stored keys; their join with the slice's keys is planned by size, and
+    what reaches the driver is one row a month. A known order adds its slice month too,
+    which costs a rewrite at most.
+    """
+    known = stored_orders.select("order_id", "created_at").join(delta_orders.select("order_id"), "order_id", "left_semi")
+    months = known.selectExpr(f"{_MONTH_OF} AS {MONTH}").union(delta_orders.selectExpr(f"{_MONTH_OF} AS {MONTH}"))
+    return sorted(NULL_MONTH if r[MONTH] is None else r[MONTH].isoformat() for r in months.distinct().collect())
 
 
 def incremental_load(
-    spark: SparkSession,
-    raw: DataFrame,
-    start,
-    end,
-    root: str,
-    staging_root: str,
-    max_broadcast_rows: int = 2_000_000,
-) -> list:
-    """Upsert the slice into ``root`` in place, rewriting only touched fact partitions
-    and the dimensions. Returns the rewritten months."""
-    deltas = delta_tables(raw, start, end)
-    bound = slice_rows(raw, start, end) if max_broadcast_rows > 0 else None
-    months = touched_months(spark, root, deltas["orders"])
-    month_list = ", ".join(f"DATE'{m.isoformat()}'" for m in months if m is not None)
-    in_months = f"{MONTH} IN ({month_list})" if month_list else "false"
-
-    # Dimensions: merge whole, stage, then replace.
-    for name in DIMENSIONS:
-        current = read_table(spark, root, name, WAREHOUSE[name].schema)
-        merged = merge_table(current, deltas[name], name, max_broadcast_rows, bound)
-        write_table(merged, staging_root, name, WAREHOUSE[name].schema)
-        write_table(read_table(spark, staging_root, name), root, name, WAREHOUSE[name].schema)
-
-    # Facts: merge only the touched months.
-    parts = {
-        n: spark.read.parquet(table_path(root, n)).filter(in_months).select(*WAREHOUSE[n].columns)
-        for n in FACTS
-    }
-    merged = {n: merge_table(parts[n], deltas[n], n, max_broadcast_rows, bound) for n in FACTS}
-    order_months = _order_months(merged["orders"])
-    for n in FACTS:
-        _write_fact(_with_month(n, merged[n], order_months), table_path(staging_root, n), dynamic=False)
-    for n in FACTS:
-        _write_fact(spark.read.parquet(table_path(staging_root, n)), table_path(root, n), dynamic=True)
+    spark: SparkSession, raw: DataFrame, start, end, root: str, strict: bool = True, max_broadcast_bytes: int = BROADCAST_BYTES
+) -> list[str]:
+    """Upsert the raw rows created in ``[start, end)``; returns the rewritten months.
+
+    The slice's tables are written once and merged from there. With ``strict`` a violated
+    constraint in what is written raises before anything is published.
+    """
+    published = manifests.current(spark, root)
+    folder = _new_folder(root)
+    deltas = stored_deltas(raw, start, end, f"{folder}/delta")
+    months = touched_months(_resolved(spark, published.paths, "orders"), deltas["orders"])
+
+    merged = {n: merge_table(_resolved(spark, published.paths, n), deltas[n], n, max_broadcast_bytes) for n in DIMENSIONS}
+    merged |= {n: merge_table(_resolved(spark, published.paths, n, months), deltas[n], n, max_broadcast_bytes) for n in FACTS}
+    paths = _write_tables(spark, merged, folder)
+    if strict:
+        written = {n: _resolved(spark, paths, n) for n in WAREHOUSE}
+        checks.assert_checks_pass(checks.check_constraints(written, WAREHOUSE, nonempty=False))
+    manifests.publish(spark, root, published.replaced(paths, months))
     return months

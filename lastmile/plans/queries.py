@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lastmile.operators import checks
 from lastmile.plans import marts
-from lastmile.plans.incremental import delta_table, merge_table, slice_rows
+from lastmile.plans.incremental import delta_table, merge_table
 from lastmile.plans.warehouse import BUILDERS, build_all, build_table
 from lastmile.schemas import WAREHOUSE
 from lastmile.sources.lake import ts_literal
@@ -24,9 +24,6 @@ from lastmile.sources.testdata import raw_from_tables
 
 SLICE_START = "2000-01-01 00:00:00"
 SLICE_END = "2000-07-01 00:00:00"
-# Deltas up to this many rows are broadcast into the upsert (checked against the
-# slice's row count, an upper bound on every delta table).
-MERGE_BROADCAST_ROWS = 2_000_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,8 +45,7 @@ def _merged(name: str) -> Query:
         raw = raw_orders(spark, sf_dir)
         base = build_table(raw.filter(F.col("created_at") < ts_literal(SLICE_START)), name)
         delta = delta_table(raw, name, SLICE_START, SLICE_END)
-        bound = slice_rows(raw, SLICE_START, SLICE_END)
-        return merge_table(base, delta, name, MERGE_BROADCAST_ROWS, delta_rows_at_most=bound)
+        return merge_table(base, delta, name)  # either side derived once: the sort-merge plan
 
     return run
 

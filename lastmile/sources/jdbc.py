@@ -60,8 +60,9 @@ def write_options(
 ) -> dict[str, str]:
     opts = {**connection, "url": url, "dbtable": table, "batchsize": str(batch_size)}
     if truncate:
-        # With mode("overwrite"): TRUNCATE instead of DROP, keeping keys and indexes.
-        opts["truncate"] = "true"
+        # With mode("overwrite"): TRUNCATE ... CASCADE instead of DROP, keeping keys and
+        # indexes; a table that others refer to can be emptied only together with them.
+        opts.update(truncate="true", cascadeTruncate="true")
     return opts
 
 
@@ -76,8 +77,9 @@ def write_jdbc(
 ) -> None:
     """Append (or truncate-and-load with ``mode="overwrite"``) into a table.
 
-    ``max_connections`` caps concurrent database sessions by coalescing partitions.
+    ``max_connections`` caps concurrent database sessions; the rows are dealt anew for
+    it, so the stages before keep their own parallelism.
     """
-    out = df if max_connections is None else df.coalesce(max_connections)
+    out = df if max_connections is None else df.repartition(max_connections)
     opts = write_options(url, table, connection, batch_size, truncate=(mode == "overwrite"))
     out.write.format("jdbc").options(**opts).mode(mode).save()

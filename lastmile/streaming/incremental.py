@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from lastmile.plans.incremental import merge_tables
+from lastmile.plans.incremental import merge_tables, stored
 from lastmile.plans.jobs import read_warehouse
 from lastmile.plans.warehouse import build_all
 from lastmile.schemas import RAW, WAREHOUSE
@@ -42,20 +42,22 @@ def _previous(spark: SparkSession, versions_root: str, initial_root: str, batch_
             tables = read_warehouse(spark, version_root(versions_root, b))
             tables["users"].schema  # resolve the path now
             return tables
-        except AnalysisException:
-            continue  # an empty micro-batch wrote no version
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            # an empty micro-batch wrote no version
     return read_warehouse(spark, initial_root)
 
 
 def upsert_batch(batch: DataFrame, batch_id: int, initial_root: str, versions_root: str,
-                 max_broadcast_rows: int = 2_000_000) -> None:
+                 max_broadcast_bytes: int = 64 << 20) -> None:
     """``foreachBatch`` body: merge one micro-batch of raw rows into a new version."""
     if batch.isEmpty():
         return
     spark = batch.sparkSession
     current = _previous(spark, versions_root, initial_root, batch_id)
-    merged = merge_tables(current, build_all(batch), max_broadcast_rows)
     out = version_root(versions_root, batch_id)
+    merged = merge_tables(current, stored(build_all(batch), f"{out}/_delta"), max_broadcast_bytes)
     for name, spec in WAREHOUSE.items():
         write_table(merged[name], out, name, spec.schema)
 

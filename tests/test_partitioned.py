@@ -1,8 +1,9 @@
-"""Partition-scoped upsert: same tables as the registered merged queries, and
-partitions outside the touched months keep their files."""
+"""Partition-scoped upsert: same tables as the registered merged queries, untouched months
+keep their files, and a run that fails anywhere changes nothing."""
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -10,41 +11,106 @@ from lastmile.functions.conform import decimals_as_double
 from lastmile.plans import partitioned
 from lastmile.plans.queries import QUERIES, SLICE_END, SLICE_START
 from lastmile.schemas import WAREHOUSE
+from lastmile.sources import manifest
 from lastmile.sources.lake import ts_literal
 from lastmile.sources.testdata import raw_from_tables
 
 
-def _files(path):
-    return {
-        os.path.join(d, f)
-        for d, _, fs in os.walk(path)
-        for f in fs
-        if f.endswith(".parquet")
-    }
+def same(a, b):
+    a, b = decimals_as_double(a), decimals_as_double(b.select(*a.columns))
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_partitioned_upsert_matches_and_leaves_other_months(spark, tmp_path):
+@pytest.fixture(scope="module")
+def base(spark, tmp_path_factory):
+    """A loaded warehouse, its raw rows and the expected tables after the slice."""
+    root = str(tmp_path_factory.mktemp("wh"))
     raw = raw_from_tables(spark, SF_SMALL)
-    root, staging = str(tmp_path / "wh"), str(tmp_path / "staging")
+    raw.write.parquet(f"{root}/raw")
+    raw = spark.read.parquet(f"{root}/raw")
     partitioned.full_load(spark, raw.filter(F.col("created_at") < ts_literal(SLICE_START)), root)
-    before = _files(os.path.join(root, "order_items"))
-    months = partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, root, staging)
-    after = _files(os.path.join(root, "order_items"))
-
-    def check():
-        tables = partitioned.read_tables(spark, root)
-        for name in WAREHOUSE:
-            want = decimals_as_double(QUERIES[f"merged_{name}"](spark, SF_SMALL))
-            got = decimals_as_double(tables[name].select(*want.columns))
-            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty(), name
-
-    check()
-    # A re-run (e.g. after a failure part-way through) is idempotent.
-    assert partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, root, str(tmp_path / "staging2")) == months
-    check()
-
-    touched = {f"order_month={m.isoformat()}" for m in months}
-    all_months = {p for f in before for p in f.split(os.sep) if p.startswith("order_month=")}
-    assert touched and len(touched) < len(all_months)
-    untouched_before = {f for f in before if not any(t in f for t in touched)}
-    assert untouched_before and untouched_before <= after  # same files, not rewritten
+    want = {}
+    for name in WAREHOUSE:
+        QUERIES[f"merged_{name}"](spark, SF_SMALL).write.parquet(f"{root}/want/{name}")
+        want[name] = spark.read.parquet(f"{root}/want/{name}")
+    return root, raw, want
+
+
+@pytest.mark.parametrize("at", ["users", "products", "orders", "order_items", "order_driver_assignments", "publish"])
+def test_a_failed_run_changes_nothing(spark, base, monkeypatch, at):
+    root, raw, _ = base
+    before = manifest.current(spark, root)
+
+    def fail(real, which):
+        def run(*args, **kw):
+            if which in (*(a for a in args if isinstance(a, str)), kw.get("name"), "publish"):
+                raise OSError("lost")
+            return real(*args, **kw)
+
+        return run
+
+    if at == "publish":
+        monkeypatch.setattr(partitioned.manifests, "publish", fail(manifest.publish, at))
+    elif at in partitioned.FACTS:
+        monkeypatch.setattr(partitioned, "_write_fact", fail(partitioned._write_fact, at))
+    else:
+        monkeypatch.setattr(partitioned, "write_table", fail(partitioned.write_table, at))
+    with pytest.raises(OSError, match="lost"):
+        partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, root)
+    assert manifest.current(spark, root) == before
+
+
+def test_upsert_after_failures_matches_and_leaves_other_months(spark, base):
+    root, raw, want = base
+    before = manifest.current(spark, root)
+    months = partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, root)
+    tables = partitioned.read_tables(spark, root)
+    for name in WAREHOUSE:
+        assert same(tables[name], want[name]), name
+    # a repeated run is idempotent
+    assert partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, root) == months
+    tables = partitioned.read_tables(spark, root)
+    for name in WAREHOUSE:
+        assert same(tables[name], want[name]), name
+
+    after = manifest.current(spark, root)
+    untouched = {m: p for m, p in before.paths["order_items"].items() if m not in months}
+    assert months and untouched and all(after.paths["order_items"][m] == p for m, p in untouched.items())
+    files = sum(f.endswith(".parquet") for p in after.paths["orders"].values() for f in os.listdir(p.removeprefix("file:")))
+    assert files <= 2 * len(after.paths["orders"])  # by month, not by task
+
+
+def test_an_order_without_time_keeps_one_row(spark, make_raw, tmp_path):
+    row = {"order_id": 1, "user_id": 1, "store_id": 1, "store_address": "a", "item_id": 1, "item_title": "x", "driver_id": 2, "created_at": None}
+    other = row | {"order_id": 2, "created_at": "2000-01-05 00:00:00"}
+    root = str(tmp_path / "wh")
+    partitioned.full_load(spark, make_raw([row, other]), root, strict=False)
+    later = row | {"created_at": "2000-02-03 00:00:00", "address_text": "new", "item_quantity": 3}
+    months = partitioned.incremental_load(spark, make_raw([later]), "2000-02-01", "2000-03-01", root, strict=False)
+    assert partitioned.NULL_MONTH in months
+    tables = partitioned.read_tables(spark, root)
+    assert sorted((r.order_id, r.address_text, r.created_at is None) for r in tables["orders"].collect()) == [(1, "new", True), (2, None, False)]
+    assert sorted((r.order_item_id, r.item_quantity) for r in tables["order_items"].collect()) == [("1_1_1", 3), ("2_1_1", None)]
+
+
+def test_violations_stop_a_strict_load_before_it_is_published(spark, make_raw, tmp_path):
+    good = {"order_id": 1, "user_id": 1, "store_id": 1, "store_address": "a", "item_id": 1, "item_title": "x", "driver_id": 2, "created_at": "2000-01-05 00:00:00"}
+    root = str(tmp_path / "wh")
+    with pytest.raises(ValueError, match="orders.not_null_created_at"):
+        partitioned.full_load(spark, make_raw([good | {"created_at": None}]), root)
+    assert manifest.current(spark, root).version == 0
+    partitioned.full_load(spark, make_raw([good]), root)
+    bad = good | {"order_id": 3, "item_replaced_id": 77, "created_at": "2000-01-06 00:00:00"}
+    with pytest.raises(ValueError, match="order_items.fk_item_replaced_id_products"):
+        partitioned.incremental_load(spark, make_raw([bad]), "2000-01-06", "2000-01-07", root)
+    assert manifest.current(spark, root).version == 1
+    partitioned.incremental_load(spark, make_raw([bad]), "2000-01-06", "2000-01-07", root, strict=False)
+    assert partitioned.read_tables(spark, root)["orders"].count() == 2
+
+
+def test_a_second_writer_is_refused(spark, tmp_path):
+    root = str(tmp_path)
+    manifest.publish(spark, root, manifest.Manifest(1, {"users": {"": "x"}}))
+    with pytest.raises(RuntimeError, match="published already"):
+        manifest.publish(spark, root, manifest.Manifest(1, {}))
+    assert manifest.current(spark, root) == manifest.Manifest(1, {"users": {"": "x"}})

@@ -70,4 +70,5 @@ def test_jdbc_options():
     assert opts["numPartitions"] == "8" and opts["partitionColumn"] == "order_id"
     assert opts["preferTimestampNTZ"] == "true"
     w = jdbc.write_options("jdbc:x", "mart.mart_orders", {}, truncate=True)
-    assert w["batchsize"] == "5000" and w["truncate"] == "true"
+    assert w["batchsize"] == "5000" and w["truncate"] == "true" and w["cascadeTruncate"] == "true"
+    assert "truncate" not in jdbc.write_options("jdbc:x", "t", {})
