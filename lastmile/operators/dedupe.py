@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lastmile.operators.skew import default_share, hot_keys, parted
+
 _RN = "__rn"
 
 
@@ -28,6 +30,20 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn(_RN, F.expr(row_number_expr(keys, order))).filter(f"{_RN} = 1").drop(_RN)
 
 
+def first_per_spread_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``first_per_group`` for keys whose first one may hold a large share of the rows.
+
+    An input partitioned by the first key alone satisfies the window, so all rows of a hot
+    first key would stay in one task. They are found in a sample and dealt by all keys.
+    """
+    hot = hot_keys(df, keys[:1], default_share(df))
+    if not hot:
+        return first_per_group(df, keys, order)
+    busy, ordinary = parted(df, keys[:1], hot)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return first_per_group(ordinary, keys, order).unionByName(first_per_group(busy.repartition(n, *keys), keys, order))
+
+
 def dedupe_by_key(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
     """One row per non-null ``key``: its smallest attribute tuple, nulls last.
 

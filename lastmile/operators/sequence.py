@@ -1,47 +1,53 @@
 """``row_number() over (partition by keys order by ...)`` keeping every row, skew-safe.
 
 A plain window sends every row of a group to one task. That is right for ordinary
-groups, and it stays on the JVM with whole-stage codegen. A group holding a large share
-of the table would make one task the whole job, so hot groups take a split path:
-
-* **Finding hot groups.** Before planning, a deterministic sample is counted per
-  key: rows are picked by a hash of their content, so the same rows are picked
-  every time. Keys whose sampled share is at least ``hot_share`` are hot. There are
-  at most ``1 / hot_share`` of them, so the list is bounded and is broadcast. With
-  no hot key the plan is the plain window alone. Each group goes wholly to one path,
-  so a sampling miss only costs balance, never correctness.
-* **Ordinary groups.** A plain window.
-* **Hot groups.**
-  1. Range-partition on ``keys + order`` and sort inside each partition. The bounds
-     include the ordering columns, so a hot group is cut into many consecutive
-     partitions.
-  2. Number each key run locally in one Arrow pass per partition (no per-row Python).
+groups, and it stays on the JVM with whole-stage codegen. Two kinds of rows leave it:
+
+* **Hot groups**, which hold a large share of the table (``lastmile.operators.skew``
+  finds them in a sample of the key columns). They take the split path:
+  1. Equal rows are counted together, so a row that is repeated very often is one row
+     with a count.
+  2. Rows are range-partitioned on ``keys + order`` and sorted; a hot group is cut into
+     many consecutive partitions. Each partition numbers its key runs locally, in one
+     Arrow pass. The result is checkpointed, so everything that follows sees this one
+     partitioning.
   3. Only the first key of a partition can have rows in earlier partitions. A
      per-partition summary (first key, last key, rows of the last key) gives the
      offset for that first key through a running sum. The summary has one row per
      partition and is broadcast, bounded by the partition count.
+  4. Counted rows are expanded again in chunks of ``CHUNK`` that are dealt to all tasks.
+* **Groups under a hot first key** (very many items of one order). The input is often
+  partitioned by that key alone, which satisfies the window and puts all of them in one
+  task; these rows are dealt by all keys first.
+
+Without either, the plan is the plain window alone.
 """
 
 from __future__ import annotations
 
-import math
 import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lastmile.operators.dedupe import row_number_expr
+from lastmile.operators.skew import default_share, hot_keys, parted
+from lastmile.session import ensure_checkpoint_dir
 
 # Ship the Arrow task body by value, so executors need numpy/pyarrow but not this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Copies of one row that one output chunk of the split path holds.
+CHUNK = 10_000
+
 _PART = "__part"
+_COPIES = "__copies"
 _LOCAL = "__local"
 _FIRST = "__first"
 _LAST = "__last"
@@ -57,7 +63,7 @@ def _same_as_previous(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _local_numbers(keys: Sequence[str]):
-    """mapInArrow body: 1-based position of each row inside its key run."""
+    """mapInArrow body: rows of its key run up to and with each row, copies counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key: tuple | None = None
@@ -76,9 +82,11 @@ def _local_numbers(keys: Sequence[str]):
             first_key = tuple(batch.column(k)[0].as_py() for k in keys)
             continues = last_key is not None and first_key == last_key
             changed[0] = not continues
+            copies = batch.column(_COPIES).to_numpy(zero_copy_only=False)
+            total = np.cumsum(copies)
             idx = np.arange(n, dtype=np.int64)
             run_start = np.maximum.accumulate(np.where(changed, idx, 0))
-            local = idx - run_start + 1
+            local = total - (total - copies)[run_start]
             if continues:
                 local[run_start == 0] += last_n
             last_key = tuple(batch.column(k)[n - 1].as_py() for k in keys)
@@ -112,20 +120,13 @@ def number_split(
     # Keys ascending with nulls first: the same order Spark uses to compare structs,
     # so min/max of struct(keys) below are a partition's first and last key.
     sort = [_sort_item(f"{k} ASC NULLS FIRST") for k in keys] + [_sort_item(o) for o in order]
-    ranged = (
-        df.repartitionByRange(n, *sort)
-        .sortWithinPartitions(*sort)
-        .withColumn(_PART, F.spark_partition_id())
-    )
-    out_schema = T.StructType(
-        ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)]
-    )
-    local = ranged.mapInArrow(_local_numbers(list(keys)), out_schema)
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() == "false":
-        # Both branches below must see the same range partitioning. Normally Spark
-        # reuses the one exchange; without reuse, materialise the numbered rows once
-        # in the session's reliable checkpoint folder (partition ids become data).
-        local = local.checkpoint(eager=True)
+    ensure_checkpoint_dir(spark)
+    columns = df.columns
+    counted = df.groupBy(*columns).agg(F.expr("count(1)").alias(_COPIES))
+    ranged = counted.repartitionByRange(n, *sort).sortWithinPartitions(*sort).withColumn(_PART, F.spark_partition_id())
+    out_schema = T.StructType(ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
+    # both branches below must see the same partitions, also when a task runs again
+    local = ranged.mapInArrow(_local_numbers(list(keys)), out_schema).checkpoint(eager=True)
 
     key_list = ", ".join(keys)
     edges = local.groupBy(_PART).agg(
@@ -145,50 +146,14 @@ def number_split(
         f"CASE WHEN lag(__last_key) OVER (ORDER BY {_PART}) <=> {_FIRST} "
         f"THEN lag(__carry) OVER (ORDER BY {_PART}) ELSE 0 END AS {_OFFSET}",
     )
-    numbered = local.join(F.broadcast(offsets), _PART, "left").withColumn(
-        name,
-        F.expr(f"{_LOCAL} + CASE WHEN struct({key_list}) <=> {_FIRST} THEN {_OFFSET} ELSE 0 END"),
-    )
-    return numbered.drop(_PART, _LOCAL, _FIRST, _OFFSET)
-
-
-def _null_safe_match(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float, sample_fraction: float,
-             min_sampled_rows: int) -> list:
-    """Keys whose share of a deterministic row sample is at least ``hot_share`` (and
-    that were sampled at least ``min_sampled_rows`` times).
-
-    Runs at planning time, like a statistics pass: the sample (key columns of about
-    ``sample_fraction`` of the rows, picked by a content hash) is kept for its two
-    small actions. The returned list has at most ``1 / hot_share`` entries, since the
-    shares of distinct keys add up to at most 1.
-    """
-    buckets = 1 << 20
-    cols = ", ".join(f"`{c}`" for c in df.columns)
-    sample = (
-        df.filter(f"pmod(xxhash64({cols}), {buckets}) < {int(sample_fraction * buckets)}")
-        .select(*keys)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        total = sample.count()
-        threshold = max(int(min_sampled_rows), math.ceil(total * hot_share))
-        return (
-            sample.groupBy(*keys)
-            .agg(F.expr("count(1)").alias("__n"))
-            .filter(f"__n >= {threshold}")
-            .select(*keys)
-            .collect()
-        )
-    finally:
-        sample.unpersist()
+    # the number of a row's last copy, then the chunks of its copies, dealt to all tasks
+    last = F.expr(f"{_LOCAL} + CASE WHEN struct({key_list}) <=> {_FIRST} THEN {_OFFSET} ELSE 0 END")
+    numbered = local.join(F.broadcast(offsets), _PART, "left").withColumn("__last_number", last)
+    chunks = numbered.withColumn("__chunk", F.expr(f"explode(sequence(0L, ({_COPIES} - 1) DIV {CHUNK}))"))
+    first = f"__last_number - {_COPIES} + 1 + __chunk * {CHUNK}"
+    dealt = chunks.select(*columns, F.expr(first).alias("__from"), F.expr(f"least({first} + {CHUNK - 1}, __last_number)").alias("__to"))
+    dealt = dealt.repartition(n, *columns, "__from")
+    return dealt.select(*columns, F.expr("explode(sequence(__from, __to))").alias(name))
 
 
 def number_within_groups(
@@ -208,20 +173,22 @@ def number_within_groups(
     number cannot be observed. ``hot_share=None`` sends every group down the split
     path. ``"auto"`` flags any group above a tenth of one partition's fair share
     (``min(1e-4, 0.1 / partitions)``), so the hot list is bounded by ten times the
-    partition count.
+    partition count (or 10,000).
     """
     if hot_share is None:
         return number_split(df, keys, order, name, num_partitions)
-    if hot_share == "auto":
-        n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        hot_share = min(1e-4, 0.1 / n)
-    hot = hot_keys(df, keys, hot_share, sample_fraction, min_sampled_rows)
+    share = default_share(df, num_partitions) if hot_share == "auto" else hot_share
+    keys = list(keys)
     window = F.expr(f"CAST({row_number_expr(keys, order)} AS BIGINT)")
-    if not hot:
+    # what isn't hot by its first key is not hot by all of them
+    hot_first = hot_keys(df, keys[:1], share, sample_fraction, min_sampled_rows)
+    if not hot_first:
         return df.withColumn(name, window)
-    key_schema = T.StructType([df.schema[k] for k in keys])
-    hot_df = F.broadcast(df.sparkSession.createDataFrame(hot, key_schema).alias("__hot"))
-    cond = _null_safe_match(df, hot_df, keys)
-    ordinary = df.join(hot_df, cond, "left_anti").withColumn(name, window)
-    split = number_split(df.join(hot_df, cond, "left_semi"), keys, order, name, num_partitions)
-    return ordinary.unionByName(split)
+    busy, ordinary = parted(df, keys[:1], hot_first)
+    out = ordinary.withColumn(name, window)
+    hot = hot_first if len(keys) == 1 else hot_keys(busy, keys, share, sample_fraction, min_sampled_rows)
+    if hot:
+        group, busy = parted(busy, keys, hot)
+        out = out.unionByName(number_split(group, keys, order, name, num_partitions).select(*out.columns))
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return out if len(keys) == 1 else out.unionByName(busy.repartition(n, *keys).withColumn(name, window))

@@ -22,6 +22,7 @@ from lastmile.functions.columns import calendar_columns, city_sql, flag_sql, ser
 from lastmile.functions.conform import conform
 from lastmile.functions.measures import item_measures
 from lastmile.operators.dedupe import first_per_group
+from lastmile.operators.skew import default_share, hot_keys, parted
 from lastmile.schemas import MART_ORDERS, MART_PRODUCTS
 
 
@@ -189,19 +190,34 @@ def mart_products(
 
     ``delivered_at`` here is the first driver's, unlike ``mart_orders`` which takes
     the latest delivery over all assignments.
+
+    Items of orders that hold very many of them (found in a sample of the order ids) don't
+    take part in the joins by order id: their few orders and first drivers, one row each,
+    are broadcast to them wherever they are.
     """
-    oi = items_enriched(order_items).alias("oi")
-    o = orders_calendar(orders).alias("o")
-    fd = first_driver(assignments).alias("fd")
-    s = stores.alias("s")
-    p = products.alias("p")
-    joined = (
-        oi.join(o, F.expr("oi.order_id = o.order_id"), "left")
-        .join(fd, F.expr("oi.order_id = fd.order_id"), "left")
-        .join(s, F.expr("o.store_id = s.store_id"), "left")
-        .join(p, F.expr("oi.item_id = p.item_id"), "left")
-    )
-    return conform(_project(joined, MART_PRODUCTS_SQL), MART_PRODUCTS)
+
+    def with_order(items: DataFrame, its_orders: DataFrame, its_drivers: DataFrame) -> DataFrame:
+        joined = items.alias("oi").join(its_orders.alias("o"), F.expr("oi.order_id = o.order_id"), "left")
+        return joined.join(its_drivers.alias("fd"), F.expr("oi.order_id = fd.order_id"), "left")
+
+    def finished(joined: DataFrame, columns: dict[str, str]) -> DataFrame:
+        found = joined.join(products.alias("p"), F.expr("oi.item_id = p.item_id"), "left")
+        return conform(_project(found, columns), MART_PRODUCTS)
+
+    def whole(items: DataFrame) -> DataFrame:
+        joined = with_order(items_enriched(items), orders_calendar(orders), first_driver(assignments))
+        return finished(joined.join(stores.alias("s"), F.expr("o.store_id = s.store_id"), "left"), MART_PRODUCTS_SQL)
+
+    hot = hot_keys(order_items.filter("order_id IS NOT NULL"), ["order_id"], default_share(order_items))
+    if not hot:
+        return whole(order_items)
+    busy, ordinary = parted(order_items, ["order_id"], hot)
+    # the store is joined to the few orders, not to their many items
+    its_orders = orders_calendar(parted(orders, ["order_id"], hot)[0]).join(stores, "store_id", "left")
+    its_drivers = first_driver(parted(assignments, ["order_id"], hot)[0])
+    joined = with_order(items_enriched(busy), F.broadcast(its_orders), F.broadcast(its_drivers))
+    by_order = {name: sql.replace("s.store_address", "o.store_address") for name, sql in MART_PRODUCTS_SQL.items()}
+    return whole(ordinary).unionByName(finished(joined, by_order))
 
 
 def build_mart(name: str, tables: dict[str, DataFrame]) -> DataFrame:

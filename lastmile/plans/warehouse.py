@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 
 from lastmile.functions.columns import assignment_id, order_item_id
 from lastmile.functions.conform import conform
-from lastmile.operators.dedupe import dedupe_by_key, first_per_group
+from lastmile.operators.dedupe import dedupe_by_key, first_per_group, first_per_spread_group
 from lastmile.operators.sequence import number_within_groups
 from lastmile.schemas import (
     DRIVERS,
@@ -85,7 +85,7 @@ def order_driver_assignments(raw: DataFrame) -> DataFrame:
     rows = raw.filter("order_id IS NOT NULL AND driver_id IS NOT NULL").select(
         "order_id", "driver_id", "delivery_started_at", "delivered_at", "created_at"
     )
-    picked = first_per_group(
+    picked = first_per_spread_group(
         rows,
         ["order_id", "driver_id", "delivery_started_at"],
         ["created_at DESC NULLS LAST", "delivered_at ASC NULLS LAST"],

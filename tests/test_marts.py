@@ -91,3 +91,39 @@ def test_item_whose_order_is_missing_and_null_address(make_raw):
     assert by_order[2]["user_id"] is None and by_order[2]["created_order_flag"] == 1
     assert by_order[2]["gross_amount"] == Decimal("2.00")
     assert by_order[1]["city"] is None  # null address
+
+
+def test_an_order_with_a_third_of_all_items_is_not_gathered(spark):
+    """Broadcasts by size off: the hot order's items still spread over the tasks."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from lastmile.plans.marts import mart_products
+    from lastmile.schemas import WAREHOUSE
+
+    def table(name, rows):
+        return spark.createDataFrame(rows, WAREHOUSE[name].schema)
+
+    when = dt.datetime(2000, 1, 1)
+    ids = spark.range(90_000).selectExpr("CASE WHEN id % 3 = 0 THEN 1L ELSE 2 + id DIV 9 END AS order_id", "id AS item_id")
+    values = {"item_quantity": "1", "item_price": "2.00BD", "item_canceled_quantity": "0", "item_discount": "0BD", "item_replaced_id": "NULL"}
+    items = ids.selectExpr("concat(order_id, '_', item_id, '_1') AS order_item_id", "order_id", "item_id", *(f"CAST({v} AS {WAREHOUSE['order_items'].schema[c].dataType.simpleString()}) AS {c}" for c, v in values.items()))
+    orders = table("orders", [(i, 1, 1, "x", when, None, None, "card", None, None, None) for i in range(1, 10_003)])
+    drivers = table("order_driver_assignments", [(f"{i}_5", i, 5, when, None) for i in range(1, 10_003, 2)])
+    stores, products = table("stores", [(1, "Town, x")]), table("products", [(i, f"p{i}", "c") for i in range(0, 90_000, 1000)])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mart = mart_products(orders, items.repartition(8), drivers, stores, products)
+        assert mart.count() == 90_000
+        sizes = [r["n"] for r in mart.filter("order_id = 1").groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 8_000
+        hot = mart.filter("order_id = 1").agg(F.min("driver_id"), F.max("city"), F.sum("gross_amount")).first()
+        assert tuple(hot) == (5, "Town", 60_000)
+        assert mart.filter("order_id = 2").select("driver_id").distinct().collect() == [(None,)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

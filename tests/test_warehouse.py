@@ -133,7 +133,7 @@ def test_hot_order_item_group_through_the_builder(spark):
         for f in RAW.fields
     ])
     got = order_items(raw)
-    assert "MapInArrow" in got._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in got._jdf.queryExecution().executedPlan().toString()
     hot_rows = got.filter("order_id = 1").select("order_item_id", "item_quantity").collect()
     assert len(hot_rows) == 8000
     # numbering follows created_at (one second apart), so n = seconds + 1
