@@ -28,8 +28,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, written
@@ -38,6 +39,8 @@ from .tokens import constants, mixed, words
 
 SHINGLE, BANDS, ROWS = 5, 32, 4
 BITS = 1024
+#: Bits of the set by which texts are chosen before they are joined.
+SIEVE = 1 << 24
 #: Comparisons of one leader that one portion holds, and pairs of a bucket that one does.
 PORTION, PAIRS = 128, 1 << 18
 
@@ -161,12 +164,14 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return rows.select("a", "b", "leads", "text").mapInArrow(_compare(percent), "a long, b long")
 
 
-def _extended(links: DataFrame | None, met: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """``links`` and those among the pairs ``met`` in buckets, and the components of all."""
+def _alike(percent: int) -> Column:
+    """|a xor b| <= (|a| + |b|) * (100 - p) / (100 + p), with the bits for the left side."""
     differing = sum((F.bit_count(F.get("bits", F.lit(k)).bitwiseXOR(F.get("bits_a", F.lit(k)))) for k in range(BITS // 64)), F.lit(0))
-    # |a xor b| <= (|a| + |b|) * (100 - p) / (100 + p) if they are alike enough
-    alike = (differing * (100 + percent) <= (F.col("n") + F.col("n_a")) * (100 - percent)) & (F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent)
-    pairs = met.filter((F.col("label") != F.col("label_a")) & alike).select("name", "name_a")
+    return differing * (100 + percent) <= (F.col("n") + F.col("n_a")) * (100 - percent)
+
+
+def _extended(links: DataFrame | None, pairs: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``links`` and those among ``pairs`` (name, name_a), and the components of all."""
     pairs = pairs.groupBy(F.least("name", "name_a").alias("lo"), F.greatest("name", "name_a").alias("hi")).agg(F.min("name_a").alias("a"))
     b = F.when(F.col("a") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b")
     found = written(_links(written(pairs.select("a", b), "pairs"), texts, percent), "found")
@@ -181,6 +186,23 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     return written(now.join(written(several, "open"), "bucket"), "buckets")
 
 
+def _sieve(ids: DataFrame, column: str):
+    """A test that every id of ``ids`` passes, and most others don't: one hash into a bit set
+    of fixed size (2 MB, whatever the number of ids), so the texts of other ids stay put."""
+    spot = F.pmod(F.xxhash64(column), F.lit(SIEVE)).cast("long")
+    filled = ids.select(spot.alias("spot")).groupBy(F.expr("spot DIV 64").alias("at")).agg(F.expr("bit_or(shiftleft(1L, CAST(spot % 64 AS INT)))").alias("bits")).toPandas()
+    bits = np.zeros(SIEVE // 64, np.int64)
+    bits[filled["at"].to_numpy(np.int64)] = filled["bits"].to_numpy(np.int64)
+    sent = ids.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def passes(spots: pd.Series) -> pd.Series:
+        at = spots.to_numpy(np.int64)
+        return pd.Series((sent.value[at >> 6] >> (at & 63) & 1).astype(bool))
+
+    return passes(spot)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept, text_hash, group) for every row of ``docs``.
 
@@ -193,21 +215,27 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     classes = written(signed.filter("n > 0").groupBy("name").agg(F.min("id").alias("least"), F.first("n").alias("n")), "classes")
 
     first = classes.select("name", F.col("least").alias("id"))
-    band_rows = signed.select("name", "id", "n", "bands", "bits").join(first, ["name", "id"]).select(F.explode("bands").alias("bucket"), "name", "n", "bits")
+    band_rows = signed.select("name", "id", "n", "bands").join(first, ["name", "id"]).select(F.explode("bands").alias("bucket"), "name", "n")
     shared = band_rows.groupBy("bucket").agg(F.min("name").alias("x"), F.max("name").alias("y")).filter("x < y").select("bucket")
     members = written(band_rows.join(written(shared, "shared"), "bucket"), "buckets")
 
-    # the texts of the classes that meet another one, under their least id
+    # bits and texts of the classes that meet another one, under their least id
     met = members.select("name").distinct()
     wanted = written(met.join(classes, "name").select("name", F.col("least").alias("id")), "wanted")
-    texts = written(given.filter("id is not null").join(wanted, "id").select("name", "text").distinct(), "texts")
+    bits = written(signed.select("name", "id", "bits").join(wanted, ["name", "id"]).dropDuplicates(["name"]).select("name", "bits"), "bits")
+    some = given.filter(F.col("id").isNotNull() & _sieve(wanted, "id"))
+    texts = written(some.join(wanted, "id").select("name", "text").distinct(), "texts")
+    left, right = bits, bits.select(F.col("name").alias("name_a"), F.col("bits").alias("bits_a"))
 
     links = labels = None
     members = members.withColumn("label", F.col("name"))
+    sizes_fit = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
     for lead in (F.min, F.max):
-        leaders = members.groupBy("bucket").agg(lead(F.struct("name", "n", "label", "bits")).alias("lead"))
-        leaders = written(leaders.select("bucket", *(F.col(f"lead.{c}").alias(f"{c}_a") for c in ("name", "n", "label", "bits"))), "leaders")
-        links, labels = _extended(links, members.join(leaders, "bucket"), texts, percent)
+        leaders = members.groupBy("bucket").agg(lead(F.struct("name", "n", "label")).alias("lead"))
+        leaders = written(leaders.select("bucket", *(F.col(f"lead.{c}").alias(f"{c}_a") for c in ("name", "n", "label"))), "leaders")
+        pairs = members.join(leaders, "bucket").filter((F.col("label") != F.col("label_a")) & sizes_fit).select("name", "name_a", "n", "n_a").distinct()
+        pairs = written(pairs, "pairs").join(left, "name").join(right, "name_a").filter(_alike(percent))
+        links, labels = _extended(links, pairs, texts, percent)
         members = _open(members, labels)
         if members.isEmpty():
             break
@@ -215,11 +243,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         sizes = members.groupBy("bucket", "label").agg(F.count("name").alias("k"))
         sizes = sizes.groupBy("bucket").agg(F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("main"))
         portions = F.ceil((F.col("all") - F.col("main.k")) * F.col("all") / PAIRS).cast("int")
-        dealt = members.join(written(sizes.select("bucket", F.col("main.label").alias("main"), portions.alias("portions")), "sizes"), "bucket")
+        sizes = written(sizes.select("bucket", F.col("main.label").alias("main"), portions.alias("portions")), "sizes")
+        dealt = written(members.join(sizes, "bucket").join(left, "name"), "members")
         outside = dealt.filter("label <> main").withColumn("portion", F.pmod(F.xxhash64("name"), F.col("portions")).cast("int"))
         outside = outside.select("bucket", "portion", *(F.col(c).alias(f"{c}_a") for c in ("name", "n", "label", "bits")))
         everyone = dealt.withColumn("portion", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)))
-        links, labels = _extended(links, everyone.join(outside, ["bucket", "portion"]), texts, percent)
+        pairs = everyone.join(outside, ["bucket", "portion"]).filter((F.col("label") != F.col("label_a")) & sizes_fit & _alike(percent))
+        links, labels = _extended(links, pairs, texts, percent)
 
     named = classes.withColumn("group", F.col("name"))
     if labels is not None:
