@@ -7,7 +7,45 @@ Money columns are cast to DOUBLE on both sides after exact decimal arithmetic.
 
 from __future__ import annotations
 
-from lastmile.schemas import WAREHOUSE
+from types import SimpleNamespace as _Spec
+
+# The tables' columns, keys, updatable columns, NOT NULLs and references, stated
+# here again so that a wrong list in the package shows as a difference.
+WAREHOUSE = {
+    "users": _Spec(columns=["user_id", "user_phone"], pk="user_id", updatable=["user_phone"], not_null=[], references=[]),
+    "drivers": _Spec(columns=["driver_id", "driver_phone"], pk="driver_id", updatable=["driver_phone"], not_null=[], references=[]),
+    "stores": _Spec(columns=["store_id", "store_address"], pk="store_id", updatable=["store_address"], not_null=["store_address"], references=[]),
+    "products": _Spec(
+        columns=["item_id", "item_title", "item_category"], pk="item_id", updatable=["item_title", "item_category"], not_null=["item_title"], references=[]
+    ),
+    "orders": _Spec(
+        columns=["order_id", "user_id", "store_id", "address_text", "created_at", "paid_at", "canceled_at", "payment_type", "order_discount",
+                 "order_cancellation_reason", "delivery_cost"],
+        pk="order_id",
+        updatable=["address_text", "paid_at", "canceled_at", "payment_type", "order_discount", "order_cancellation_reason", "delivery_cost"],
+        not_null=["user_id", "store_id", "created_at"],
+        references=[("user_id", "users", "user_id"), ("store_id", "stores", "store_id")],
+    ),
+    "order_items": _Spec(
+        columns=["order_item_id", "order_id", "item_id", "item_quantity", "item_price", "item_canceled_quantity", "item_discount", "item_replaced_id"],
+        pk="order_item_id",
+        updatable=["item_quantity", "item_price", "item_canceled_quantity", "item_discount", "item_replaced_id"],
+        not_null=["order_id", "item_id"],
+        references=[("order_id", "orders", "order_id"), ("item_id", "products", "item_id"), ("item_replaced_id", "products", "item_id")],
+    ),
+    "order_driver_assignments": _Spec(
+        columns=["assignment_id", "order_id", "driver_id", "delivery_started_at", "delivered_at"],
+        pk="assignment_id",
+        updatable=["delivery_started_at", "delivered_at"],
+        not_null=["order_id", "driver_id"],
+        references=[("order_id", "orders", "order_id"), ("driver_id", "drivers", "driver_id")],
+    ),
+}
+RAW_COLUMNS = [
+    "order_id", "user_id", "user_phone", "driver_id", "driver_phone", "store_id", "store_address", "item_id", "item_title", "item_category",
+    "item_quantity", "item_price", "item_canceled_quantity", "item_discount", "item_replaced_id", "address_text", "created_at", "paid_at",
+    "canceled_at", "payment_type", "order_discount", "order_cancellation_reason", "delivery_cost", "delivery_started_at", "delivered_at",
+]
 
 SLICE_START = "TIMESTAMP '2000-01-01 00:00:00'"
 SLICE_END = "TIMESTAMP '2000-07-01 00:00:00'"
@@ -66,6 +104,52 @@ raw_base AS (SELECT * FROM raw WHERE created_at < {start}),
 raw_delta AS (SELECT * FROM raw WHERE created_at >= {start} AND created_at < {end})
 """.format(start=SLICE_START, end=SLICE_END)
 
+IN_SLICE = f"created_at >= {SLICE_START} AND created_at < {SLICE_END}"
+
+# The slice as sent later: earlier orders again, attributes of dimensions changed.
+SENT = f"""
+sent AS (
+  SELECT * REPLACE (
+    CASE WHEN {IN_SLICE} THEN CASE user_id % 3 WHEN 0 THEN '+0' || substr(user_phone, 3) WHEN 1 THEN NULL ELSE user_phone END
+         ELSE user_phone END AS user_phone,
+    CASE WHEN {IN_SLICE} THEN CASE driver_id % 3 WHEN 0 THEN '+0' || substr(driver_phone, 3) WHEN 1 THEN NULL ELSE driver_phone END
+         ELSE driver_phone END AS driver_phone,
+    CASE WHEN {IN_SLICE} AND store_id % 2 = 0 THEN '*' || store_address ELSE store_address END AS store_address,
+    CASE WHEN {IN_SLICE} AND item_id % 3 = 0 THEN '*' || item_title ELSE item_title END AS item_title,
+    CASE WHEN {IN_SLICE} AND item_id % 4 = 0 THEN NULL ELSE item_category END AS item_category
+  ) FROM (
+    SELECT * FROM raw
+    UNION ALL BY NAME
+    SELECT * REPLACE (
+      TIMESTAMP '2000-02-01 00:00:00' + to_days(CAST(order_id % 28 AS INTEGER)) AS created_at,
+      CASE WHEN order_id % 20 = 0 THEN NULL ELSE payment_type END AS payment_type,
+      item_quantity + 1 AS item_quantity,
+      CAST(NULL AS INTEGER) AS item_canceled_quantity,
+      CASE WHEN item_id % 2 = 0 THEN CAST(0.05 AS DECIMAL(5,4)) END AS item_discount,
+      CASE WHEN order_id % 20 <> 0 THEN delivered_at + INTERVAL 1 DAY END AS delivered_at
+    ) FROM raw_base WHERE order_id % 10 = 0
+  )
+),
+sent_base AS (SELECT * FROM sent WHERE created_at < {SLICE_START}),
+sent_delta AS (SELECT * FROM sent WHERE {IN_SLICE})
+"""
+
+# Rows that break constraints.
+FLAWED = f"""
+flawed AS (
+  SELECT * REPLACE (
+    CASE WHEN order_id % 50 <> 7 THEN created_at END AS created_at,
+    CASE WHEN order_id % 60 <> 1 THEN user_id END AS user_id,
+    CASE WHEN order_id % 70 <> 2 THEN store_id END AS store_id,
+    CASE WHEN store_id <> 3 THEN store_address END AS store_address,
+    CASE WHEN item_id % 40 <> 0 THEN item_title END AS item_title,
+    CASE WHEN order_id % 30 = 3 THEN CAST(1.5 AS DECIMAL(5,4)) ELSE item_discount END AS item_discount,
+    CASE WHEN order_id % 25 = 4 THEN item_replaced_id + 1000000000 ELSE item_replaced_id END AS item_replaced_id
+  ) FROM raw
+),
+flawed_early AS (SELECT * FROM flawed WHERE created_at < {SLICE_START})
+"""
+
 MONEY = {
     "raw": ["item_price", "item_discount", "delivery_cost"],
     "orders": ["delivery_cost"],
@@ -161,7 +245,7 @@ def _merged(table: str) -> str:
             expr = f"CASE WHEN b.{spec.pk} IS NOT NULL THEN b.{c} ELSE d.{c} END"
         cols.append(f"CAST({expr} AS DOUBLE) AS {c}" if c in money else f"{expr} AS {c}")
     return (
-        _with(RAW, _warehouse("raw_base", "b_"), _warehouse("raw_delta", "d_"))
+        _with(RAW, SENT, _warehouse("sent_base", "b_"), _warehouse("sent_delta", "d_"))
         + f"SELECT {', '.join(cols)} FROM b_{table} b FULL OUTER JOIN d_{table} d ON b.{spec.pk} = d.{spec.pk}"
     )
 
@@ -294,11 +378,22 @@ AGG_MONEY = ["items_gross_amount", "items_discount_amount", "items_turnover_amou
              "paid_items_amount"]
 
 
+def _flawed_tables() -> str:
+    """CTEs ``w_*``: dimensions of early rows, orders without every ninth, some keys twice."""
+    out = [_warehouse("flawed", "f_"), _warehouse("flawed_early", "e_")]
+    for t, s in WAREHOUSE.items():
+        number = "order_id" if "order_id" in s.columns else s.pk
+        source = f"e_{t}" if t in ("users", "drivers", "stores", "products") else f"f_{t}"
+        some = "(SELECT * FROM f_orders WHERE order_id % 9 <> 0)" if t == "orders" else source
+        out.append(f"w_{t} AS (SELECT * FROM {some} UNION ALL SELECT * FROM {some} WHERE {number} % 11 = 0)")
+    return ",\n".join(x.strip().rstrip(",") for x in out)
+
+
 def _checks() -> dict[str, str]:
     tables = list(WAREHOUSE)
     nonempty = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, 'non_empty' AS constraint_name, "
-        f"CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS violations FROM w_{t}"
+        f"CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS violations FROM w_{t}" + (" WHERE store_id < 0" if t == "stores" else "")
         for t in tables
     )
     pks = " UNION ALL ".join(
@@ -308,13 +403,13 @@ def _checks() -> dict[str, str]:
         for t, s in WAREHOUSE.items()
     )
     fks = " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, 'fk_{fk.column}_{fk.parent}' AS constraint_name, "
+        f"SELECT '{t}' AS table_name, 'fk_{column}_{parent}' AS constraint_name, "
         f"CAST(coalesce(sum(n), 0) AS BIGINT) AS violations "
-        f"FROM (SELECT {fk.column} AS k, count(*) AS n FROM w_{t} WHERE {fk.column} IS NOT NULL "
-        f"GROUP BY {fk.column}) x "
-        f"WHERE NOT EXISTS (SELECT 1 FROM w_{fk.parent} par WHERE par.{fk.parent_column} = x.k)"
+        f"FROM (SELECT {column} AS k, count(*) AS n FROM w_{t} WHERE {column} IS NOT NULL "
+        f"GROUP BY {column}) x "
+        f"WHERE NOT EXISTS (SELECT 1 FROM w_{parent} par WHERE par.{key} = x.k)"
         for t, s in WAREHOUSE.items()
-        for fk in s.foreign_keys
+        for column, parent, key in s.references
     )
     not_null = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, 'not_null_{c}' AS constraint_name, "
@@ -327,7 +422,7 @@ def _checks() -> dict[str, str]:
         "CAST(count(*) FILTER (WHERE item_discount < 0 OR item_discount > 1) AS BIGINT) AS violations "
         "FROM w_order_items"
     )
-    head = _with(RAW, _warehouse("raw", "w_"))
+    head = _with(RAW, FLAWED, _flawed_tables())
     return {
         "check_nonempty": head + nonempty,
         "check_primary_keys": head + pks,
@@ -343,10 +438,8 @@ def _cast_money(cols: list[str], money: list[str], alias: str = "") -> str:
 
 
 def build() -> dict[str, str]:
-    from lastmile.schemas import RAW as RAW_SCHEMA
-
     sql: dict[str, str] = {}
-    raw_cols = [f.name for f in RAW_SCHEMA.fields]
+    raw_cols = RAW_COLUMNS
     sql["raw_orders"] = _with(RAW) + f"SELECT {_cast_money(raw_cols, MONEY['raw'])} FROM raw"
     full = _with(RAW, _warehouse("raw", "w_"))
     delta = _with(RAW, _warehouse("raw_delta", "d_"))

@@ -20,7 +20,7 @@ from lastmile.plans.incremental import delta_table, merge_table
 from lastmile.plans.warehouse import BUILDERS, build_all, build_table
 from lastmile.schemas import WAREHOUSE
 from lastmile.sources.lake import ts_literal
-from lastmile.sources.testdata import raw_from_tables
+from lastmile.sources.testdata import flawed_rows, raw_from_tables, with_resent_rows
 
 SLICE_START = "2000-01-01 00:00:00"
 SLICE_END = "2000-07-01 00:00:00"
@@ -42,7 +42,7 @@ def _delta(name: str) -> Query:
 
 def _merged(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        raw = raw_orders(spark, sf_dir)
+        raw = with_resent_rows(raw_orders(spark, sf_dir))
         base = build_table(raw.filter(F.col("created_at") < ts_literal(SLICE_START)), name)
         delta = delta_table(raw, name, SLICE_START, SLICE_END)
         return merge_table(base, delta, name)  # either side derived once: the sort-merge plan
@@ -88,24 +88,39 @@ def mart_products(spark, sf_dir):
     return marts.build_mart("mart_products", _tables(spark, sf_dir, names))
 
 
+def flawed_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Tables that break every constraint: flawed rows, dimensions of the base slice alone,
+    a ninth of the orders missing, and keys of a multiple of eleven twice."""
+    raw = flawed_rows(raw_orders(spark, sf_dir))
+    early = raw.filter(F.col("created_at") < ts_literal(SLICE_START))
+    out = {}
+    for name, build in BUILDERS.items():
+        number = "order_id" if "order_id" in WAREHOUSE[name].columns else WAREHOUSE[name].pk
+        table = build(early if name in ("users", "drivers", "stores", "products") else raw)
+        table = table.filter("order_id % 9 <> 0") if name == "orders" else table
+        out[name] = table.unionByName(table.filter(f"{number} % 11 = 0"))
+    return out
+
+
 def check_nonempty(spark, sf_dir):
-    return checks.check_nonempty(_tables(spark, sf_dir))
+    tables = flawed_tables(spark, sf_dir)
+    return checks.check_nonempty(tables | {"stores": tables["stores"].filter("store_id < 0")})
 
 
 def check_primary_keys(spark, sf_dir):
-    return checks.check_primary_keys(_tables(spark, sf_dir), WAREHOUSE)
+    return checks.check_primary_keys(flawed_tables(spark, sf_dir), WAREHOUSE)
 
 
 def check_foreign_keys(spark, sf_dir):
-    return checks.check_foreign_keys(_tables(spark, sf_dir), WAREHOUSE)
+    return checks.check_foreign_keys(flawed_tables(spark, sf_dir), WAREHOUSE)
 
 
 def check_not_null(spark, sf_dir):
-    return checks.check_not_null(_tables(spark, sf_dir), WAREHOUSE)
+    return checks.check_not_null(flawed_tables(spark, sf_dir), WAREHOUSE)
 
 
 def check_discount_range(spark, sf_dir):
-    return checks.check_discount_range(_dwh("order_items")(spark, sf_dir))
+    return checks.check_discount_range(flawed_tables(spark, sf_dir)["order_items"])
 
 
 QUERIES: dict[str, Query] = {"raw_orders": raw_orders}

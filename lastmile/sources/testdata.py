@@ -115,3 +115,54 @@ def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     raw = rows.selectExpr(*[f"{RAW_EXPRESSIONS[f.name]} AS {f.name}" for f in RAW.fields])
     return conform(raw, RAW)
+
+
+# Rows of the slice as a later run would send them (FIXTURES.md §4): attributes of
+# dimensions change or go missing, and a tenth of the earlier orders is sent again.
+IN_SLICE = "created_at >= TIMESTAMP_NTZ'2000-01-01 00:00:00' AND created_at < TIMESTAMP_NTZ'2000-07-01 00:00:00'"
+CHANGED = {
+    "user_phone": "CASE user_id % 3 WHEN 0 THEN '+0' || substr(user_phone, 3) WHEN 1 THEN NULL ELSE user_phone END",
+    "driver_phone": "CASE driver_id % 3 WHEN 0 THEN '+0' || substr(driver_phone, 3) WHEN 1 THEN NULL ELSE driver_phone END",
+    "store_address": "CASE WHEN store_id % 2 = 0 THEN '*' || store_address ELSE store_address END",
+    "item_title": "CASE WHEN item_id % 3 = 0 THEN '*' || item_title ELSE item_title END",
+    "item_category": "CASE WHEN item_id % 4 = 0 THEN NULL ELSE item_category END",
+}
+RESENT = {
+    "created_at": "TIMESTAMP_NTZ'2000-02-01 00:00:00' + make_dt_interval(CAST(order_id % 28 AS INT))",
+    "payment_type": "CASE WHEN order_id % 20 = 0 THEN NULL ELSE payment_type END",
+    "item_quantity": "item_quantity + 1",
+    "item_canceled_quantity": "CAST(NULL AS INT)",
+    "item_discount": "CASE WHEN item_id % 2 = 0 THEN CAST(0.05 AS DECIMAL(5,4)) END",
+    "delivered_at": "CASE WHEN order_id % 20 <> 0 THEN delivered_at + INTERVAL 1 DAY END",
+}
+
+# Rows that break constraints (FIXTURES.md §4).
+FLAWED = {
+    "created_at": "CASE WHEN order_id % 50 <> 7 THEN created_at END",
+    "user_id": "CASE WHEN order_id % 60 <> 1 THEN user_id END",
+    "store_id": "CASE WHEN order_id % 70 <> 2 THEN store_id END",
+    "store_address": "CASE WHEN store_id <> 3 THEN store_address END",
+    "item_title": "CASE WHEN item_id % 40 <> 0 THEN item_title END",
+    "item_discount": "CASE WHEN order_id % 30 = 3 THEN CAST(1.5 AS DECIMAL(5,4)) ELSE item_discount END",
+    "item_replaced_id": "CASE WHEN order_id % 25 = 4 THEN item_replaced_id + 1000000000 ELSE item_replaced_id END",
+}
+
+
+def _replaced(raw: DataFrame, rules: dict[str, str], when: str | None = None) -> DataFrame:
+    def sql(name: str) -> str:
+        if name not in rules:
+            return name
+        return f"{rules[name]} AS {name}" if when is None else f"CASE WHEN {when} THEN {rules[name]} ELSE {name} END AS {name}"
+
+    return conform(raw.selectExpr(*[sql(f.name) for f in RAW.fields]), RAW)
+
+
+def with_resent_rows(raw: DataFrame) -> DataFrame:
+    """``raw`` with the slice's attributes changed and earlier orders sent again in it."""
+    earlier = raw.filter("created_at < TIMESTAMP_NTZ'2000-01-01 00:00:00' AND order_id % 10 = 0")
+    return _replaced(raw.unionByName(_replaced(earlier, RESENT)), CHANGED, IN_SLICE)
+
+
+def flawed_rows(raw: DataFrame) -> DataFrame:
+    """``raw`` with nulls, orphans and discounts that the constraints forbid."""
+    return _replaced(raw, FLAWED)

@@ -10,7 +10,7 @@ from lastmile.plans import jobs
 from lastmile.plans.queries import QUERIES, SLICE_END, SLICE_START
 from lastmile.schemas import WAREHOUSE
 from lastmile.sources.lake import ts_literal
-from lastmile.sources.testdata import raw_from_tables
+from lastmile.sources.testdata import raw_from_tables, with_resent_rows
 from lastmile.streaming.incremental import start_incremental_stream, upsert_batch, version_root
 
 
@@ -20,7 +20,7 @@ def _same(a, b):
 
 
 def test_full_incremental_and_marts(spark, tmp_path):
-    raw = raw_from_tables(spark, SF_SMALL)
+    raw = with_resent_rows(raw_from_tables(spark, SF_SMALL))
     base_raw = raw.filter(F.col("created_at") < ts_literal(SLICE_START))
     w0, w1, m = (str(tmp_path / d) for d in ("w0", "w1", "marts"))
     jobs.full_load(spark, base_raw, w0)
@@ -43,7 +43,7 @@ def test_full_load_matches_queries(spark, tmp_path):
 
 
 def test_streaming_upsert_matches_batch(spark, tmp_path):
-    raw = raw_from_tables(spark, SF_SMALL)
+    raw = with_resent_rows(raw_from_tables(spark, SF_SMALL))
     w0, lake, versions = (str(tmp_path / d) for d in ("w0", "lake", "versions"))
     jobs.full_load(spark, raw.filter(F.col("created_at") < ts_literal(SLICE_START)), w0)
     delta_raw = raw.filter((F.col("created_at") >= ts_literal(SLICE_START)) & (F.col("created_at") < ts_literal(SLICE_END)))

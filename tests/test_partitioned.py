@@ -13,7 +13,7 @@ from lastmile.plans.queries import QUERIES, SLICE_END, SLICE_START
 from lastmile.schemas import WAREHOUSE
 from lastmile.sources import manifest
 from lastmile.sources.lake import ts_literal
-from lastmile.sources.testdata import raw_from_tables
+from lastmile.sources.testdata import raw_from_tables, with_resent_rows
 
 
 def same(a, b):
@@ -25,7 +25,7 @@ def same(a, b):
 def base(spark, tmp_path_factory):
     """A loaded warehouse, its raw rows and the expected tables after the slice."""
     root = str(tmp_path_factory.mktemp("wh"))
-    raw = raw_from_tables(spark, SF_SMALL)
+    raw = with_resent_rows(raw_from_tables(spark, SF_SMALL))
     raw.write.parquet(f"{root}/raw")
     raw = spark.read.parquet(f"{root}/raw")
     partitioned.full_load(spark, raw.filter(F.col("created_at") < ts_literal(SLICE_START)), root)
