@@ -223,10 +223,11 @@ def window_logits(network: Network, x: Inputs, starts: np.ndarray, lengths: np.n
 # -- training ---------------------------------------------------------------------------------
 
 
-def fit(texts: list[str], group: np.ndarray, label: np.ndarray, epochs: int = 6, batch: int = 128, rate: float = 0.01, decay: float = 3e-3, often: int = 4, seed: int = 1) -> Network:
+def fit(texts: list[str], group: np.ndarray, label: np.ndarray, epochs: int = 6, batch: int = 128, rate: float = 0.01, decay: float = 3e-3, often: int = 4, seed: int = 1, clean: float = 1.0) -> Network:
     """A network from windows (one text each), the labelled text each is of, and its label.
 
-    The weights are learnt from four of five texts, the scale from the fifth.
+    The weights are learnt from four of five texts, the scale from the fifth, where each
+    clean text stands for ``clean`` of them.
     """
     part = next(words(pa.array(texts), 1 << 40))
     x = inputs(part)
@@ -295,19 +296,21 @@ def fit(texts: list[str], group: np.ndarray, label: np.ndarray, epochs: int = 6,
     known = np.unique(group[kept_out])
     if len(np.unique(truth[known])) < 2:
         known = np.unique(group)
-    network.scale = _scaled(highest[known], truth[known])
+    network.scale = _scaled(highest[known], truth[known], clean)
     return network
 
 
-def _scaled(logits: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
+def _scaled(logits: np.ndarray, truth: np.ndarray, clean: float = 1.0) -> tuple[float, float]:
     """Slope and offset that fit the texts' highest logits to their labels (Platt's method)."""
     n1, n0 = truth.sum(), (1 - truth).sum()
     target = np.where(truth > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+    weight = np.where(truth > 0, 1.0, clean)
     a, b = 1.0, 0.0
     for _ in range(200):
         p = _sigmoid(a * logits + b)
-        s = p * (1 - p) + 1e-6
-        g = np.array([((p - target) * logits).sum() + 1e-2 * (a - 1), (p - target).sum()])
+        s = weight * p * (1 - p) + 1e-6
+        miss = weight * (p - target)
+        g = np.array([(miss * logits).sum() + 1e-2 * (a - 1), miss.sum()])
         h = np.array([[(s * logits * logits).sum() + 1e-2, (s * logits).sum()], [(s * logits).sum(), s.sum() + 1e-6]])
         move = np.linalg.solve(h, g)
         a, b = a - np.clip(move[0], -1, 1), b - np.clip(move[1], -1, 1)
@@ -355,7 +358,10 @@ def train(docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", tex
     if found["label"].nunique() < 2:
         return float(found["label"].max()) if len(found) else 0.0
     _, group = np.unique(found["name"].to_numpy(), return_inverse=True)
-    return fit(found["text"].tolist(), group, found["label"].to_numpy().astype(np.float32))
+    # a clean text of the sample stands for as many as the labels have more of them
+    sampled = found.drop_duplicates("name")["label"].value_counts()
+    clean = (counts[0] / counts[1]) / (sampled[0] / sampled[1])
+    return fit(found["text"].tolist(), group, found["label"].to_numpy().astype(np.float32), clean=float(clean))
 
 
 def score(docs: DataFrame, network: Network | float, text_col: str = "text", score_col: str = "score") -> DataFrame:
