@@ -8,8 +8,8 @@ page (menus, headers, footers, adverts, forms and so on) can't recur, so it is t
 element name, role, and words of class and id. What is left of the article elements (or of
 ``main``, or else of the body) is the text.
 
-Inside an article, prose (paragraphs, headings, quotations, and containers with a paragraph
-of 25 words or more) is never template, so passages that many pages share stay.
+Inside an article, prose (paragraphs, headings, quotations, lists, tables, and containers with
+a paragraph of 25 words or more) is never template, so passages that many pages share stay.
 
 Hot hosts: occurrences are dealt by (host, hash) with partial counts, and meet the templates
 dealt over ``SALTS`` copies, so a host with a third of all pages is spread.
@@ -48,6 +48,8 @@ BLOCK = set(
     "td tfoot th thead title tr ul".split()
 )
 CONTAINER = set("aside center details dir div dl fieldset figure footer form header menu nav ol section table ul".split())
+#: Lists and tables of an article are its text, like paragraphs.
+IN_ARTICLE = CONTAINER - {"ul", "ol", "dl", "table"}
 PROSE = set("blockquote h1 h2 h3 h4 h5 h6 p pre li dd dt td th figcaption caption address".split())
 #: Elements that are never part of an article's text.
 FURNITURE = set(
@@ -57,9 +59,9 @@ FURNITURE = set(
 ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
 #: Words of class or id that tell furniture.
 FURNITURE_WORDS = set(
-    "ad ads adv advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent "
-    "gdpr notice notices popup modal overlay newsletter subscribe subscription signup social share sharing related recommended "
-    "recommendations sidebar nav navbar navigation menu breadcrumb breadcrumbs pagination pager footer comment comments disqus reply "
+    "ad ads adv adbox adslot adunit adbanner advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent "
+    "gdpr cookiebar cookiebanner notice notices popup modal overlay newsletter subscribe subscription signup social share sharing related recommended "
+    "recommendations sidebar nav navbar topnav subnav sidenav navigation menu breadcrumb breadcrumbs pagination pager footer comment comments commentlist disqus reply "
     "replies respond widget toolbar copyright disclaimer login search skip masthead".split()
 )
 #: And those that do so outside an article only.
@@ -179,7 +181,7 @@ def parse(html: str) -> list[tuple[str, Element]]:
 def _hashed(e: Element, article: bool) -> bool:
     """Whether ``e`` may be template: see the module's docstring."""
     if article and e.article:
-        return e.name in CONTAINER and e.longest < LONG_PROSE
+        return e.name in IN_ARTICLE and e.longest < LONG_PROSE
     return e.name in CONTAINER or e.name in PROSE
 
 
