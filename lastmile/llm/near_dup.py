@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import compactly_written, fresh, written
 from .components import components
 from .tokens import constants, mixed, words
 
@@ -155,7 +155,7 @@ def _compare(percent: int):
 def _links(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a leads, b) whose full sets are alike enough."""
     many = pairs.groupBy("a").agg(F.ceil(F.count("b") / PORTION).cast("int").alias("portions"))
-    many = written(many, "leaders")
+    many = compactly_written(many, "leaders")
     dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("portions")).cast("int").alias("portion"))
     members = dealt.join(texts.withColumnRenamed("name", "b"), "b").select("a", "portion", F.lit(False).alias("leads"), "b", "text")
     leaders = many.select("a", F.explode(F.sequence(F.lit(0), F.col("portions") - 1)).alias("portion"))
@@ -174,7 +174,7 @@ def _extended(links: DataFrame | None, pairs: DataFrame, texts: DataFrame, perce
     """``links`` and those among ``pairs`` (name, name_a), and the components of all."""
     pairs = pairs.groupBy(F.least("name", "name_a").alias("lo"), F.greatest("name", "name_a").alias("hi")).agg(F.min("name_a").alias("a"))
     b = F.when(F.col("a") == F.col("lo"), F.col("hi")).otherwise(F.col("lo")).alias("b")
-    found = written(_links(written(pairs.select("a", b), "pairs"), texts, percent), "found")
+    found = written(_links(compactly_written(pairs.select("a", b), "pairs"), texts, percent), "found")
     links = found if links is None else links.union(found)
     return links, components(links)
 
@@ -183,7 +183,7 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The members, with their new labels, of buckets that hold more than one component."""
     now = members.drop("label").join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("label", F.coalesce("label", "name"))
     several = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x < y").select("bucket")
-    return written(now.join(written(several, "open"), "bucket"), "buckets")
+    return written(now.join(compactly_written(several, "open"), "bucket"), "buckets")
 
 
 def _sieve(ids: DataFrame, column: str):
@@ -217,12 +217,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     first = classes.select("name", F.col("least").alias("id"))
     band_rows = signed.select("name", "id", "n", "bands").join(first, ["name", "id"]).select(F.explode("bands").alias("bucket"), "name", "n")
     shared = band_rows.groupBy("bucket").agg(F.min("name").alias("x"), F.max("name").alias("y")).filter("x < y").select("bucket")
-    members = written(band_rows.join(written(shared, "shared"), "bucket"), "buckets")
+    members = written(band_rows.join(compactly_written(shared, "shared"), "bucket"), "buckets")
 
     # bits and texts of the classes that meet another one, under their least id
     met = members.select("name").distinct()
-    wanted = written(met.join(classes, "name").select("name", F.col("least").alias("id")), "wanted")
-    bits = written(signed.select("name", "id", "bits").join(wanted, ["name", "id"]).dropDuplicates(["name"]).select("name", "bits"), "bits")
+    wanted = compactly_written(met.join(classes, "name").select("name", F.col("least").alias("id")), "wanted")
+    bits = compactly_written(signed.select("name", "id", "bits").join(wanted, ["name", "id"]).dropDuplicates(["name"]).select("name", "bits"), "bits")
     some = given.filter(F.col("id").isNotNull() & _sieve(wanted, "id"))
     texts = written(some.join(wanted, "id").select("name", "text").distinct(), "texts")
     left, right = bits, bits.select(F.col("name").alias("name_a"), F.col("bits").alias("bits_a"))
@@ -232,9 +232,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     sizes_fit = F.least("n", "n_a") * 100 >= F.greatest("n", "n_a") * percent
     for lead in (F.min, F.max):
         leaders = members.groupBy("bucket").agg(lead(F.struct("name", "n", "label")).alias("lead"))
-        leaders = written(leaders.select("bucket", *(F.col(f"lead.{c}").alias(f"{c}_a") for c in ("name", "n", "label"))), "leaders")
+        leaders = compactly_written(leaders.select("bucket", *(F.col(f"lead.{c}").alias(f"{c}_a") for c in ("name", "n", "label"))), "leaders")
         pairs = members.join(leaders, "bucket").filter((F.col("label") != F.col("label_a")) & sizes_fit).select("name", "name_a", "n", "n_a").distinct()
-        pairs = written(pairs, "pairs").join(left, "name").join(right, "name_a").filter(_alike(percent))
+        pairs = compactly_written(pairs, "pairs").join(left, "name").join(right, "name_a").filter(_alike(percent))
         links, labels = _extended(links, pairs, texts, percent)
         members = _open(members, labels)
         if members.isEmpty():
@@ -243,7 +243,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         sizes = members.groupBy("bucket", "label").agg(F.count("name").alias("k"))
         sizes = sizes.groupBy("bucket").agg(F.sum("k").alias("all"), F.max(F.struct("k", "label")).alias("main"))
         portions = F.ceil((F.col("all") - F.col("main.k")) * F.col("all") / PAIRS).cast("int")
-        sizes = written(sizes.select("bucket", F.col("main.label").alias("main"), portions.alias("portions")), "sizes")
+        sizes = compactly_written(sizes.select("bucket", F.col("main.label").alias("main"), portions.alias("portions")), "sizes")
         dealt = written(members.join(sizes, "bucket").join(left, "name"), "members")
         outside = dealt.filter("label <> main").withColumn("portion", F.pmod(F.xxhash64("name"), F.col("portions")).cast("int"))
         outside = outside.select("bucket", "portion", *(F.col(c).alias(f"{c}_a") for c in ("name", "n", "label", "bits")))
@@ -272,7 +272,7 @@ def deduplicated(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", tex
     group = F.coalesce("group", "text_hash").alias("of")  # texts without words stand alone
     least = found.groupBy(id_col, group).agg(F.min("text_hash").alias("hash"))
     kept_id, kept_hash, own_hash = (fresh(docs, c) for c in ("kept_id", "kept_hash", "own_hash"))
-    kept = written(least.select(F.col(id_col).alias(kept_id), F.col("hash").alias(kept_hash)), "kept")
+    kept = compactly_written(least.select(F.col(id_col).alias(kept_id), F.col("hash").alias(kept_hash)), "kept")
     hashed = docs.withColumn(own_hash, F.xxhash64(F.col(text_col)))
     same = hashed[id_col].eqNullSafe(kept[kept_id]) & (hashed[own_hash] == kept[kept_hash])
     return hashed.join(kept, same, "left_semi").dropDuplicates([id_col, own_hash]).drop(own_hash)
