@@ -117,7 +117,7 @@ def pack(
     end_id: int = 1,
     linear: float = 1.0,
     quadratic: float = 1.0 / 1024,
-    block_tokens: int = 1 << 22,
+    block_tokens: int = 1 << 21,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
