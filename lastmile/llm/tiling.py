@@ -1,9 +1,10 @@
 """Benchmark decontamination by greedy string tiling.
 
-Seeds are the five-token strings of the benchmark items. Documents that share a seed with an
-item are tiled against it: the longest common token strings that are still unmarked on both
-sides are marked first, found by running Karp-Rabin hashes of the item's and the document's
-strings at a falling length, until none of ``min_tile`` tokens is left. The share of the
+Seeds are the strings of ``min_tile`` tokens of the benchmark items. A document is tiled against
+an item if the seeds that they share cover enough of the item; as every tile is made of seeds,
+this leaves out no document. Tiling marks the longest common token strings that are still
+unmarked on both sides first, found by running Karp-Rabin hashes of the item's and the
+document's strings at a falling length, until none of ``min_tile`` tokens is left. The share of the
 item's tokens that is marked is its coverage; reordered passages keep theirs, since tiles may
 stand in any order.
 
@@ -33,7 +34,8 @@ from pyspark.sql.pandas.types import to_arrow_type
 from .common import fresh, written
 from .tokens import HashIndex, constants, slices, span_hashes, text_bytes
 
-SEED = 5
+#: Hits of seeds that are held at once; those of one text are at most the block's tokens.
+HELD = 1 << 20
 _U = np.uint64
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -108,39 +110,64 @@ def tile(item: np.ndarray, text: np.ndarray, min_tile: int = 3) -> list[tuple[in
 
 @dataclass
 class Seeds:
-    """Items of one block; ``items[lists[first[k]:first[k + 1]]]`` have the seed numbered k."""
+    """Items of one block and all their strings of ``min_tile`` tokens.
+
+    The tokens of all items are numbered in one row; ``places[first[k]:first[k + 1]]`` are the
+    numbers of the first tokens of the seed numbered k, ``owner`` tells a token's item.
+    """
 
     ids: list
     items: list[np.ndarray]
+    min_tile: int = 3
     index: HashIndex = field(default_factory=HashIndex)
-    first: np.ndarray | None = None
-    lists: np.ndarray | None = None
 
     def __post_init__(self) -> None:
-        pairs = [(int(h), k) for k, item in enumerate(self.items) for h in np.unique(rolling(item, min(SEED, max(len(item), 1))))]
-        keys = np.array([h for h, _ in pairs], _U)
+        size = np.array([len(item) for item in self.items], np.int64)
+        start = np.cumsum(size) - size
+        self.sizes, self.reach = size, np.minimum(max(self.min_tile, 1), size)
+        self.owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        keys = np.concatenate([rolling(item, n) for item, n in zip(self.items, self.reach.tolist())] or [np.zeros(0, _U)])
         keys[keys == 0] = 1
-        of = np.array([k for _, k in pairs], np.int64)
+        places = np.concatenate([np.arange(s, s + n - r + 1) for s, n, r in zip(start, size, self.reach)] or [np.zeros(0, np.int64)])
         order = np.argsort(keys, kind="stable")
         distinct, counts = np.unique(keys, return_counts=True)
         self.index.add(distinct, np.arange(len(distinct), dtype=np.int32))
-        self.first, self.lists = np.concatenate([[0], np.cumsum(counts)]), of[order]
-        self.lengths = sorted({min(SEED, len(item)) for item in self.items if len(item)}) or [SEED]
+        self.first, self.places = np.concatenate([[0], np.cumsum(counts)]), places[order]
+        self.lengths = np.unique(self.reach).tolist()
+
+    def candidates(self, text: np.ndarray, bounds: np.ndarray, min_coverage: float) -> Iterator[tuple[int, int]]:
+        """(text, item) wherever the seeds they share cover ``min_coverage`` of the item.
 
-    def candidates(self, text: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(text, items that share a seed with it) for the texts that have any."""
-        found: dict[int, list[np.ndarray]] = {}
+        Every tile is made of such seeds, so no text with that coverage by tiles is left out.
+        """
+        met = []
         for length in self.lengths:
             hashes = rolling(text, length)
             hashes[hashes == 0] = 1
             number = self.index.find(hashes)
-            for p in np.flatnonzero(number >= 0):
-                doc = int(np.searchsorted(bounds, p, "right")) - 1
-                if p + length <= bounds[doc + 1]:
-                    k = number[p]
-                    found.setdefault(doc, []).append(self.lists[self.first[k] : self.first[k + 1]])
-        for doc in sorted(found):
-            yield doc, np.unique(np.concatenate(found[doc]))
+            p = np.flatnonzero(number >= 0)
+            doc = np.searchsorted(bounds, p, "right") - 1
+            inside = p + length <= bounds[doc + 1]
+            met.append(doc[inside] * len(self.first) + number[p[inside]])
+        doc, seed = np.divmod(np.unique(np.concatenate(met)) if met else np.zeros(0, np.int64), len(self.first))
+        size = self.first[seed + 1] - self.first[seed]
+        ends = np.cumsum(size)
+        lo = 0
+        while lo < len(doc):  # some whole texts at a time
+            hi = int(np.searchsorted(ends, ends[lo] - size[lo] + HELD, "right"))
+            if hi < len(doc):
+                hi = int(max(np.searchsorted(doc, doc[hi]), np.searchsorted(doc, doc[lo], "right")))
+            n = size[lo:hi]
+            at = np.arange(int(n.sum())) + np.repeat(self.first[seed[lo:hi]] - (np.cumsum(n) - n), n)
+            hits = np.sort(np.repeat(doc[lo:hi], n) * len(self.owner) + self.places[at])
+            of, place = np.divmod(hits, len(self.owner))
+            item = self.owner[place]
+            # a seed covers its tokens up to the next one; the next item's are out of its reach
+            covered = np.minimum(np.diff(hits, append=np.iinfo(np.int64).max), self.reach[item])
+            pair = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (item[1:] != item[:-1])]))
+            able = pair[np.add.reduceat(covered, pair) >= min_coverage * self.sizes[item[pair]]]
+            yield from zip(of[able].tolist(), item[able].tolist())
+            lo = hi
 
 
 FOUND = "{id} {id_type}, item_id {item_type}, item_tokens long, covered long, n_tiles long, coverage double"
@@ -164,7 +191,7 @@ def overlaps(
     item_type = to_arrow_type(benchmark.schema[item_col].dataType)
     parts = []
     for ids, items in _blocks(benchmark.select(F.col(item_col), F.col(item_text_col)), block_bytes):
-        sent = spark.sparkContext.broadcast(Seeds(ids, items))
+        sent = spark.sparkContext.broadcast(Seeds(ids, items, min_tile))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             seeds = sent.value
@@ -174,16 +201,14 @@ def overlaps(
                 for lo, hi in slices(offsets):
                     part = data[offsets[lo] : offsets[hi]]
                     tokens, bounds = _tokens(part, offsets[lo : hi + 1] - offsets[lo])
-                    for doc, items in seeds.candidates(tokens, bounds):
-                        text = tokens[bounds[doc] : bounds[doc + 1]]
-                        for k in items:
-                            item = seeds.items[k]
-                            tiles = tile(item, text, min(min_tile, len(item)))
-                            covered = sum(n for _, _, n in tiles)
-                            if covered >= min_coverage * len(item):
-                                rows.append(lo + doc)
-                                for column, value in zip(out, (seeds.ids[k], len(item), covered, len(tiles), covered / len(item))):
-                                    column.append(value)
+                    for doc, k in seeds.candidates(tokens, bounds, min_coverage):
+                        item = seeds.items[k]
+                        tiles = tile(item, tokens[bounds[doc] : bounds[doc + 1]], min(min_tile, len(item)))
+                        covered = sum(n for _, _, n in tiles)
+                        if covered >= min_coverage * len(item):
+                            rows.append(lo + doc)
+                            for column, value in zip(out, (seeds.ids[k], len(item), covered, len(tiles), covered / len(item))):
+                                column.append(value)
                 ids_ = batch.column(0).take(pa.array(rows, pa.int64()))
                 kinds = [item_type, pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([ids_, *(pa.array(x, t) for x, t in zip(out, kinds))], names=[id_col, "item_id", "item_tokens", "covered", "n_tiles", "coverage"])

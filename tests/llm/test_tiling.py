@@ -2,6 +2,7 @@ import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from lastmile.llm import tiling
 from lastmile.llm.tiling import decontaminated, overlaps, tile
 
 from texts import rng, text
@@ -78,3 +79,26 @@ def test_blocks_of_the_benchmark_meet_every_document(spark, documents):
 def test_empty_tables(spark, documents):
     assert overlaps(documents((1, "a")), items(spark)).count() == 0
     assert overlaps(documents(), items(spark, (1, "a b c d e f"))).count() == 0
+
+
+def test_runs_as_short_as_a_tile_are_found(spark, documents):
+    words = text(rng(17), 40).split()
+    swapped = "one two three four five six"
+    changed = " ".join("x" if k % 4 == 3 else w for k, w in enumerate(words))
+    found = overlaps(documents((1, changed), (2, "four five six, one two three"), (3, "one two, three")), items(spark, (5, " ".join(words)), (6, swapped)))
+    assert sorted((x.doc_id, x.item_id, x.coverage) for x in found.collect()) == [(1, 5, 0.75), (2, 6, 1.0), (3, 6, 0.5)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 5), min_size=1, max_size=12), min_size=1, max_size=4), st.lists(st.lists(st.integers(1, 6), max_size=20), min_size=1, max_size=4), st.sampled_from([1, 1 << 20]))
+def test_candidates_leave_out_no_covered_item(own, docs, held):
+    arrays = [np.array(x, np.uint64) for x in own]
+    seeds = tiling.Seeds(list(range(len(own))), arrays)
+    before, tiling.HELD = tiling.HELD, held
+    try:
+        found = list(seeds.candidates(np.array(sum(docs, []), np.uint64), np.cumsum([0, *map(len, docs)]), 0.5))
+    finally:
+        tiling.HELD = before
+    covered = lambda a, d: sum(k for _, _, k in tile(a, np.array(d, np.uint64), min(3, len(a))))
+    assert len(found) == len(set(found))
+    assert {(i, k) for i, d in enumerate(docs) for k, a in enumerate(arrays) if covered(a, d) >= 0.5 * len(a)} <= set(found)
