@@ -5,11 +5,16 @@ block of prose, gets a hash of its whole subtree (names, classes, text). Spark c
 hashes per host over pages of different content; subtrees that recur on ``min_pages`` pages
 or more of a host are its template and are deleted. Page furniture that differs from page to
 page (menus, headers, footers, adverts, forms and so on) can't recur, so it is told by
-element name, role, and words of class and id. What is left of the article elements (or of
-``main``, or else of the body) is the text.
+element name, role, and words of class and id. Such words don't count on an element that holds
+most of the page's prose (see ``_weigh``), so a wrapper or an article with such a class stays.
 
-Inside an article, prose (paragraphs, headings, quotations, lists, tables, and containers with
-a paragraph of 25 words or more) is never template, so passages that many pages share stay.
+Of what is left, the article elements are the text if they hold half of the words outside links
+or more, or else ``main`` if it does, or else the whole body.
+
+Inside an article that is the text, prose (paragraphs, headings, quotations, lists, tables, and
+containers with a paragraph or another run of text of 25 words or more, whatever inline elements
+it is in) is never template, so passages that many pages share stay. If the body is the text,
+articles in it (cards, teasers) and their prose may be template like all else.
 
 Hot hosts: occurrences are dealt by (host, hash) with partial counts, and meet the templates
 dealt over ``SALTS`` copies, so a host with a third of all pages is spread.
@@ -23,7 +28,7 @@ empty table gives none; other columns pass through.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from html import unescape
 
 import pandas as pd
@@ -64,6 +69,13 @@ FURNITURE_WORDS = set(
     "recommendations sidebar nav navbar topnav subnav sidenav navigation menu breadcrumb breadcrumbs pagination pager footer comment comments commentlist disqus reply "
     "replies respond widget toolbar copyright disclaimer login search skip masthead".split()
 )
+#: Those of them that tell comments, adverts and cookie boxes, however long these are.
+EXTRA_WORDS = set(
+    "comment comments commentlist disqus reply replies respond ad ads adv adbox adslot adunit adbanner advert adverts advertisement advertising adsense "
+    "adsbygoogle sponsor sponsored promo promotion cookie cookies consent gdpr cookiebar cookiebanner newsletter".split()
+)
+#: A class or id that begins so ("has-sidebar", "no-ads") tells how a page is laid out, not what an element is.
+STATES = set("has no not with without".split())
 #: And those that do so outside an article only.
 OUTSIDE_WORDS = set("header topbar".split())
 #: An open element of the key is ended by the start of one of the values.
@@ -81,12 +93,19 @@ SCOPE = set("article aside body div footer form header html main nav ol section
 class Element:
     name: str
     parent: Element | None
-    furniture: bool
-    article: bool  # an article or inside one
-    main: bool
     key: str  # name, classes and id, for the hash
+    words: set[str] = field(default_factory=set)  # of class and id
+    hard: bool = False  # furniture by name, role or being hidden, or inside such
+    extra: bool = False  # comments or adverts by class or id, or inside such
+    suspect: bool = False  # any furniture by class or id, or inside such
+    centre: bool = False  # article or main, or inside such
+    linked: bool = False
+    main: bool = False
+    furniture: bool = False
+    article: bool = False  # an article or inside one
     marks: list[str] = field(default_factory=list)  # texts and children's hashes
-    longest: int = 0  # words of the longest paragraph inside
+    longest: int = 0  # words of the longest paragraph or run of text inside
+    amounts: list[int] = field(default_factory=lambda: [0] * 5)  # see _weigh
     hash: int = 0
 
 
@@ -94,27 +113,68 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)} if text.strip(" /\t\n\r\f") else {}
 
 
-def _opened(name: str, attributes: dict[str, str], parent: Element | None) -> Element:
-    article = bool(parent and parent.article) or name == "article"
-    furniture = bool(parent and parent.furniture) or name in FURNITURE or (name == "header" and not article)
-    key = name
+def _opened(name: str, attributes: dict[str, str], up: Element) -> Element:
+    e = Element(name, up, name, hard=up.hard or name in FURNITURE, extra=up.extra, suspect=up.suspect, centre=up.centre or name in ("article", "main"), linked=up.linked or name == "a", main=up.main or name == "main")
     if attributes:
         label = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
-        words = set(_WORD.findall(label))
-        furniture = (
-            furniture or attributes.get("role", "").lower() in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+        e.key = f"{name} {label}"
+        for token in label.split():
+            words = _WORD.findall(token)
+            if words:
+                e.words.update(words)
+        role = attributes.get("role", "").lower()
+        e.hard = (
+            e.hard or role in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
             or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-            or name not in ("html", "body") and bool(words & FURNITURE_WORDS or not article and words & OUTSIDE_WORDS)
         )
-        key = f"{name} {label}"
-    main = bool(parent and parent.main) or name == "main" or attributes.get("role", "").lower() == "main"
-    return Element(name, parent, furniture, article and not furniture, main and not furniture, key)
+        e.extra = e.extra or bool(e.words & EXTRA_WORDS)
+        e.suspect = e.suspect or bool(e.words & FURNITURE_WORDS)
+        e.main, e.centre = e.main or role == "main", e.centre or role == "main"
+    return e
+
+
+def _weigh(elements: list[Element], pieces: list[tuple[str, Element]]) -> None:
+    """Sets what depends on whole subtrees: the longest run of words, furniture, article, main.
+
+    Furniture words of class and id don't count on an element that holds more than half of the
+    page's prose. That is, the first of these that the page has: long paragraphs outside comments
+    and adverts, words of article and main outside these, any long paragraphs, words not in
+    furniture, words.
+    """
+    root, n, held = elements[0], 0, []
+    for text, e in [*pieces, (None, elements[0])]:
+        if text is None:
+            if e.name == "br" or not held:
+                continue
+            for of, words in held:
+                if not of.hard:
+                    long = words if n >= LONG_PROSE else 0
+                    for k, amount in enumerate((long * (not of.extra), words * (of.centre and not of.extra), long, words * (not of.suspect), words)):
+                        of.amounts[k] += amount
+            n, held = 0, []
+        elif not text.isspace():
+            words = len(text.split())
+            n += words
+            held.append((e, words))
+    for e in reversed(elements[1:]):
+        up = e.parent
+        up.longest = max(up.longest, e.longest)
+        for k, amount in enumerate(e.amounts):
+            up.amounts[k] += amount
+    kind = next((k for k, amount in enumerate(root.amounts) if amount), 4)
+    for e in elements[1:]:
+        up = e.parent
+        inside = up.article or e.name == "article"
+        named = e.name not in ("html", "body") and bool(e.words & FURNITURE_WORDS or not inside and e.words & OUTSIDE_WORDS)
+        e.furniture = up.furniture or e.hard or e.name == "header" and not inside or named
+        e.article = inside and not e.furniture
+        e.main = e.main and not e.furniture
 
 
 def parse(html: str) -> list[tuple[str, Element]]:
     """The texts of a page in order, each with its element; ``None`` texts end blocks."""
-    root = Element("", None, False, False, False, "")
-    stack, pieces = [root], []
+    root = Element("", None, "")
+    stack, pieces, elements = [root], [], [root]
     at, end = 0, len(html)
 
     def say(text: str) -> None:
@@ -130,7 +190,6 @@ def parse(html: str) -> list[tuple[str, Element]]:
         stack[-1].marks.append(f"\x02{e.hash}")
         if e.name in PROSE:
             e.longest = max(e.longest, sum(len(m.split()) for m in e.marks if m[0] != "\x02"))
-        stack[-1].longest = max(stack[-1].longest, e.longest)
         if e.name in BLOCK:
             pieces.append((None, e))
 
@@ -168,6 +227,7 @@ def parse(html: str) -> list[tuple[str, Element]]:
                 stack[-1].marks.append(f"<{name}>")
             continue
         stack.append(e)
+        elements.append(e)
         if name in RAW:
             stop = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(html, at)
             e.marks.append(html[at : stop.start() if stop else end])
@@ -175,75 +235,124 @@ def parse(html: str) -> list[tuple[str, Element]]:
             close()
     while len(stack) > 1:
         close()
+    _weigh(elements, pieces)
     return pieces
 
 
-def _hashed(e: Element, article: bool) -> bool:
-    """Whether ``e`` may be template: see the module's docstring."""
-    if article and e.article:
-        return e.name in IN_ARTICLE and e.longest < LONG_PROSE
-    return e.name in CONTAINER or e.name in PROSE
+@dataclass
+class Block:
+    """Text with the hashes of what may be template around it.
 
+    ``hashes`` are those that count if the article is the text, ``more`` those that count
+    besides if the text is taken from the whole body.
+    """
 
-def blocks(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
-    """The article's blocks, each with the hashes of elements around it, and the page's hashes."""
+    text: str
+    hashes: list[int]
+    more: list[int]
+    article: bool
+    main: bool
+    prose: int  # words outside links
+
+
+def _around(e: Element) -> tuple[list[int], list[int]]:
+    """``hashes`` and ``more`` of a block with text of ``e``."""
+    hashes, more, up, inner = [], [], e, e.article
+    while up is not None and up.name not in ("main", "body", "html", ""):
+        if up.name == "article" and not e.article:
+            break
+        inner = inner and up.name != "article"
+        if up.name in IN_ARTICLE and up.longest < LONG_PROSE if up.article else up.name in CONTAINER or up.name in PROSE:
+            (hashes if inner or not e.article else more).append(up.hash)
+        elif up.name in CONTAINER or up.name in PROSE or up.name == "article":
+            more.append(up.hash)
+        up = up.parent
+    return hashes, more
+
+
+def _selected(found: list[Block]) -> list[Block]:
+    """What of the blocks left is the text: the article or main if it holds half of the prose."""
+    total = sum(b.prose for b in found)
+    for part in ([b for b in found if b.article], [b for b in found if b.main]):
+        if part and 2 * sum(b.prose for b in part) >= total:
+            return part
+    return found
+
+
+def page_blocks(html: str) -> tuple[list[Block], list[int]]:
+    """The blocks that may be the page's text, and the page's hashes.
+
+    Where the article holds half of the prose whatever is deleted, its blocks are the only ones.
+    """
     pieces = parse(html)
-    article = any(text and not text.isspace() and e.article for text, e in pieces)
-    main = not article and any(text and not text.isspace() and e.main for text, e in pieces)
-    out: list[tuple[str, list[int]]] = []
+    out: list[Block] = []
     hashes: dict[int, None] = {}
+    beyond: dict[int, None] = {}
     held: list[str] = []
-    around: list[int] = []
+    at: Block | None = None
 
     def flush() -> None:
+        nonlocal at
         text = " ".join("".join(held).split())
         if text:
-            if out and out[-1][1] == around:
-                out[-1] = (f"{out[-1][0]} {text}", around)
+            last = out[-1] if out else None
+            if last and (last.hashes, last.more, last.article, last.main) == (at.hashes, at.more, at.article, at.main):
+                last.text, last.prose = f"{last.text} {text}", last.prose + at.prose
             else:
-                out.append((text, around))
+                at.text = text
+                out.append(at)
         held.clear()
+        if at:
+            at = Block("", at.hashes, at.more, at.article, at.main, 0)
 
-    chains: dict[int, list[int]] = {}
+    chains: dict[int, tuple[list[int], list[int]]] = {}
     for text, e in pieces:
         if text is None:
             flush()
             continue
         if id(e) not in chains:
-            chain, up = [], e
-            while up is not None and up.name not in ("article", "main", "body", "html", ""):
-                if _hashed(up, article):
-                    chain.append(up.hash)
-                up = up.parent
-            chains[id(e)] = chain
-        chain = chains[id(e)]
+            chains[id(e)] = _around(e)
+        own, more = chains[id(e)]
         if not text.isspace():
-            hashes.update(dict.fromkeys(chain))
-        if e.furniture or article and not e.article or main and not e.main:
+            hashes.update(dict.fromkeys(own))
+            beyond.update(dict.fromkeys(more))
+        if e.furniture:
             continue
-        if chain != around:
+        if at is None or (own, more, e.article, e.main) != (at.hashes, at.more, at.article, at.main):
             flush()
-            around = chain
+            at = Block("", own, more, e.article, e.main, 0)
         held.append(text)
+        at.prose += 0 if e.linked else len(text.split())
     flush()
+    inside = [b for b in out if b.article]
+    if any(not b.hashes for b in inside) and sum(b.prose for b in inside if not b.hashes) >= sum(b.prose for b in out if not b.article):
+        out = [replace(b, more=[]) for b in inside]
+    else:
+        hashes.update(beyond)
     return out, list(hashes)
 
 
-PARSED = "blocks array<struct<text: string, hashes: array<long>>>, hashes array<long>, content long"
+def blocks(html: str) -> tuple[list[tuple[str, list[int]]], list[int]]:
+    """The text's blocks if nothing is template, each with the hashes of elements around it, and the page's hashes."""
+    found, hashes = page_blocks(html)
+    return [(b.text, b.hashes) for b in _selected(found)], hashes
+
+
+PARSED = "blocks array<struct<text: string, hashes: array<long>, more: array<long>, article: boolean, main: boolean, prose: long>>, hashes array<long>, content long"
 
 
 def _parsed(pages: pd.Series) -> pd.DataFrame:
     out = []
     for html in pages:
-        found, hashes = blocks(html or "")
-        content = xxhash.xxh64_intdigest("\x01".join(t for t, _ in found)) >> 1
-        out.append(([{"text": t, "hashes": h} for t, h in found], hashes, content))
+        found, hashes = page_blocks(html or "")
+        content = xxhash.xxh64_intdigest("\x01".join(b.text for b in _selected(found))) >> 1
+        out.append(([vars(b) for b in found], hashes, content))
     return pd.DataFrame(out, columns=["blocks", "hashes", "content"])
 
 
 def main_text(pages: DataFrame, min_pages: int = 10, html_col: str = "html", url_col: str = "url", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``pages`` without ``html_col``, with the main text of each and its code points."""
-    key, host, found, gone = (fresh(pages, c) for c in ("page_key", "page_host", "page_found", "page_gone"))
+    key, host, found, gone, left = (fresh(pages, c) for c in ("page_key", "page_host", "page_found", "page_gone", "page_left"))
     kept = [c for c in pages.columns if c.lower() not in (html_col.lower(), text_col.lower(), chars_col.lower())]
     parsed = pages.select(
         *others(pages, html_col, text_col, chars_col),
@@ -259,8 +368,8 @@ def main_text(pages: DataFrame, min_pages: int = 10, html_col: str = "html", url
         .select("host", "hash", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     )
     # only pages with deletable elements around their own text have to meet the templates
-    exposed = F.exists(F.col(found)["blocks"], lambda b: F.size(b["hashes"]) > 0)
-    around = F.array_distinct(F.flatten(F.transform(F.col(found)["blocks"], lambda b: b["hashes"])))
+    exposed = F.exists(F.col(found)["blocks"], lambda b: (F.size(b["hashes"]) > 0) | (F.size(b["more"]) > 0))
+    around = F.array_distinct(F.flatten(F.transform(F.col(found)["blocks"], lambda b: F.concat(b["hashes"], b["more"]))))
     deleted = (
         parsed.filter(exposed).select(F.col(key).alias("page"), F.col(host).alias("host"), F.explode(around).alias("hash"))
         .withColumn("salt", F.pmod("page", F.lit(SALTS)).cast("int"))
@@ -269,10 +378,21 @@ def main_text(pages: DataFrame, min_pages: int = 10, html_col: str = "html", url
         .select(F.col("page").alias(key), F.col("gone").alias(gone))
     )
 
-    def finished(rows: DataFrame, blocks_left: Column) -> DataFrame:
-        text = F.array_join(F.transform(blocks_left, lambda b: b["text"]), " ")
+    every, none = F.col(found)["blocks"], F.array().cast("array<bigint>")
+
+    def prose(of: Column) -> Column:
+        return F.aggregate(of, F.lit(0).cast("long"), lambda n, b: n + b["prose"])
+
+    def finished(rows: DataFrame, hit: Column) -> DataFrame:
+        """The same choice as ``_selected`` from what is left without the templates ``hit``."""
+        rows = rows.select(*(F.col(f"`{c}`") for c in kept), hit.alias(gone), F.filter(every, lambda b: ~F.arrays_overlap(b["hashes"], hit)).alias(left))
+        article, main = F.filter(left, lambda b: b["article"]), F.filter(left, lambda b: b["main"])
+        chosen = (
+            F.when((F.size(article) > 0) & (2 * prose(article) >= prose(F.col(left))), article)
+            .when((F.size(main) > 0) & (2 * prose(main) >= prose(F.col(left))), main)
+            .otherwise(F.filter(left, lambda b: ~F.arrays_overlap(b["more"], F.col(gone))))
+        )
+        text = F.array_join(F.transform(chosen, lambda b: b["text"]), " ")
         return rows.select(*(F.col(f"`{c}`") for c in kept), text.alias(text_col)).withColumn(chars_col, F.char_length(text_col).cast("long"))
 
-    every = F.col(found)["blocks"]
-    left = F.filter(every, lambda b: ~F.arrays_overlap(b["hashes"], F.coalesce(F.col(gone), F.array().cast("array<bigint>"))))
-    return finished(parsed.filter(~exposed), every).union(finished(parsed.filter(exposed).join(deleted, key, "left"), left))
+    return finished(parsed.filter(~exposed), none).union(finished(parsed.filter(exposed).join(deleted, key, "left"), F.coalesce(F.col(gone), none)))

@@ -65,3 +65,24 @@ def test_nulls_repeats_and_clashing_columns(spark):
     found = sorted((str(r.page_id), r.page_key, r.text, r.n_chars) for r in main_text(docs).collect())
     assert found == [("1", "k", "", 0), ("1", "k", "", 0), ("None", "l", "é x", 3)]
     assert main_text(pages(spark)).count() == 0
+
+
+LONG = "words of the page's own story that go on and on "
+
+
+def by_id(spark, rows):
+    return {r.page_id: r.text for r in main_text(pages(spark, *rows)).collect()}
+
+
+def test_article_that_is_only_a_card(spark):
+    card = "<article class='card'><h2>Read this next</h2><p>It is good</p></article>"
+    rows = [(i, "http://h.example/x", f"<body>{card}<div><p>{LONG * 3}number {i}</p></div></body>") for i in range(12)]
+    rows += [(100 + i, "http://m.example/x", f"<body>{card}<main><p>{LONG * 3}number {i}</p></main></body>") for i in range(12)]
+    rows += [(200, "http://one.example/x", rows[0][2])]
+    rows += [(300 + i, "http://a.example/x", f"<body><div>{'Site words ' * 40}</div><article><p>brief {i}</p></article><div>by {i}</div></body>") for i in range(12)]
+    rows += [(400, "http://b.example/x", f"<body><article><p>four words of news</p></article><div><a>{'more links ' * 40}</a></div></body>")]
+    found = by_id(spark, rows)
+    assert all(found[i] == found[100 + i] == f"{LONG * 3}number {i}" for i in range(12))  # the recurring card goes with the templates
+    assert found[200] == f"Read this next It is good {LONG * 3}number 0"
+    assert all(found[300 + i] == f"brief {i}" for i in range(12))  # the article holds half of what is left without the template
+    assert found[400] == "four words of news"
