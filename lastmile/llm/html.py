@@ -147,6 +147,7 @@ def _weigh(elements: list[Element], pieces: list[tuple[str, Element]]) -> None:
             if e.name == "br" or not held:
                 continue
             for of, words in held:
+                of.longest = max(of.longest, n)
                 if not of.hard:
                     long = words if n >= LONG_PROSE else 0
                     for k, amount in enumerate((long * (not of.extra), words * (of.centre and not of.extra), long, words * (not of.suspect), words)):

@@ -86,3 +86,12 @@ def test_article_that_is_only_a_card(spark):
     assert found[200] == f"Read this next It is good {LONG * 3}number 0"
     assert all(found[300 + i] == f"brief {i}" for i in range(12))  # the article holds half of what is left without the template
     assert found[400] == "four words of news"
+
+
+def test_shared_passages_in_any_element_stay(spark):
+    passage = LONG * 3 + "end"
+    forms = ["<div>{}</div>", "<section>{}</section>", "<div><p><b>{}</b></p></div>", "<div><p><span>{}</span></p></div>", "<div>words <i>{}</i></div>", "<div><p><b>a</b><br><i>{}</i></p></div>"]
+    rows = [(100 * k + i, f"http://h{k}.example/", f"<body><article><p>own {i}</p>{form.format(passage)}<div>Follow us</div></article></body>") for k, form in enumerate(forms) for i in range(12)]
+    found = by_id(spark, rows)
+    for i, _, html in rows:
+        assert found[i] == text(html).removesuffix(" Follow us") and passage in found[i] and "Follow" not in found[i]
