@@ -120,7 +120,7 @@ def _opened(name: str, attributes: dict[str, str], up: Element) -> Element:
         e.key = f"{name} {label}"
         for token in label.split():
             words = _WORD.findall(token)
-            if words:
+            if words and words[0] not in STATES:
                 e.words.update(words)
         role = attributes.get("role", "").lower()
         e.hard = (
@@ -167,7 +167,7 @@ def _weigh(elements: list[Element], pieces: list[tuple[str, Element]]) -> None:
         up = e.parent
         inside = up.article or e.name == "article"
         named = e.name not in ("html", "body") and bool(e.words & FURNITURE_WORDS or not inside and e.words & OUTSIDE_WORDS)
-        e.furniture = up.furniture or e.hard or e.name == "header" and not inside or named
+        e.furniture = up.furniture or e.hard or e.name == "header" and not inside or named and 2 * e.amounts[kind] <= root.amounts[kind]
         e.article = inside and not e.furniture
         e.main = e.main and not e.furniture
 

@@ -70,6 +70,23 @@ def test_nulls_repeats_and_clashing_columns(spark):
 LONG = "words of the page's own story that go on and on "
 
 
+def test_furniture_words_on_what_holds_the_prose_do_not_count():
+    prose = f"<p>{LONG * 4}</p><p>{LONG * 5}end</p>"
+    wanted = text(f"<article>{prose}</article>")
+    ad = '<div class="ad">buy</div><div class="related"><p>more</p></div>'
+    for page in (
+        '<body><div id="page" class="has-sidebar">{}</div></body>', '<body><div id="page" class="sidebar">{}</div></body>', '<main class="no-ads">{}</main>',
+        '<article class="post with-comments">{}</article>', '<article><section class="related">{}</section></article>', '<article><div class="notice">{}</div></article>',
+        '<div class="menu"><article>{}</article></div>',
+    ):
+        assert text(page.format(prose + ad)) == wanted, page
+        assert text(page.format("<p>short one</p><b>x y z</b>" + ad)) == "short one x y z", page
+    comments = f'<div id="comments"><p>{"I say so too " * 30}</p></div>' * 3
+    assert text(f"<article>{prose}</article>{comments}") == text(f"<article>{prose}{comments}</article>") == wanted
+    advert = f'<div class="ad"><p>{"buy this " * 30}</p></div>'
+    assert text(f"{advert}<article><p>brief</p></article>{comments}") == "brief"
+
+
 def by_id(spark, rows):
     return {r.page_id: r.text for r in main_text(pages(spark, *rows)).collect()}
 
