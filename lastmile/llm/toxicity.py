@@ -7,7 +7,7 @@ their states, and a logistic unit scores the window. A text is cut into windows
 by half, all of them are scored, and the highest one counts, on a scale fitted to texts.
 
 Training: labels are known per text, not per window. A bounded sample of labelled texts gives
-windows to the driver, which trains with Adam: first with the text's label for each window,
+all its windows to the driver, which trains with Adam: first with the text's label for each window,
 then with the windows of toxic texts that score highest there. The frozen network (under
 1 MB) is sent to the executors.
 
@@ -317,33 +317,25 @@ def _scaled(logits: np.ndarray, truth: np.ndarray, clean: float = 1.0) -> tuple[
     return float(max(a, 0.05)), float(b)
 
 
-def _training_windows(most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out = [[], [], []]
-            for part in words(batch.column(2)):
-                text, start, length = windows(part.bounds)
-                raw = part.data.tobytes()
-                for k in range(len(part.bounds) - 1):
-                    own = np.arange(*np.searchsorted(text, [k, k + 1]))
-                    if len(own) > most:  # spread over the whole text
-                        own = own[np.linspace(0, len(own) - 1, most).astype(int)]
-                    for i in own:
-                        a, b = start[i], start[i] + length[i] - 1
-                        out[0].append(names[part.first + k])
-                        out[1].append(labels[part.first + k])
-                        out[2].append(raw[part.starts[a] : part.ends[b]].decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())], names=["name", "label", "text"])
-
-    return run
-
-
-def train(docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_label: int = 800, per_text: int = 24) -> Network | float:
+def _training_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names, labels = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        for part in words(batch.column(2)):
+            text, start, length = windows(part.bounds)
+            raw = part.data.tobytes()
+            rows = (text + part.first).tolist()
+            own = [raw[part.starts[a] : part.ends[a + n - 1]].decode("utf-8", "replace") for a, n in zip(start.tolist(), length.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([names[k] for k in rows], pa.int64()), pa.array([labels[k] for k in rows], pa.int32()), pa.array(own, pa.string())], names=["name", "label", "text"]
+            )
+
+
+def train(docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", per_label: int = 800) -> Network | float:
     """A network of the labelled ``docs``; with one label only, the share of label 1.
 
-    Bounds: about ``per_label`` texts of each label, by a hash of id and text, and up to
-    ``per_text`` windows of each, spread over the whole text, reach the driver.
+    Bound: about ``per_label`` texts of each label, by a hash of id and text, with all their
+    windows reach the driver. So a toxic passage is met wherever it stands, and the scale is
+    fitted to the same maxima that ``score`` takes.
     """
     name = F.xxhash64(F.col(id_col), F.col(text_col))
     rows = docs.filter(F.col(label_col).isin(0, 1)).select(name.alias("name"), F.col(label_col).cast("int").alias("label"), F.col(text_col).alias("text"))
@@ -353,7 +345,7 @@ def train(docs: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", tex
     keep = F.lit(False)
     for label, n in counts.items():
         keep = keep | ((F.col("label") == label) & (F.pmod("name", F.lit(1 << 30)) < int(min(1.0, per_label / n) * (1 << 30))))
-    found = rows.filter(keep).mapInArrow(_training_windows(per_text), "name long, label int, text string").toPandas()
+    found = rows.filter(keep).mapInArrow(_training_windows, "name long, label int, text string").toPandas()
     found = found.sort_values(["name", "text"], kind="stable")
     if found["label"].nunique() < 2:
         return float(found["label"].max()) if len(found) else 0.0

@@ -82,3 +82,17 @@ def test_no_labels_one_label_and_clashing_columns(spark):
     (row,) = T.score(docs, 0.25).collect()
     assert (row.score, row.name) == (0.25, 3)
     assert T.score(frame(spark, []), 0.0).count() == 0
+
+
+def test_every_window_of_the_sampled_texts_is_trained_and_scales(spark, monkeypatch):
+    r = rng(32)
+    rows = [(i, " ".join(text(r, n).split()), i % 2) for i, n in enumerate((5, 30, 700, 2000, 1200, 1500))]
+    met = []
+    monkeypatch.setattr(T, "fit", lambda texts, group, label, clean: met.append((texts, group, label)) or T.new_network(np.zeros(0, np.uint64)))
+    T.train(frame(spark, rows))
+    (texts, group, label), = met
+    expected = []
+    for _, t, y in rows:
+        w = t.split()
+        expected += [(" ".join(w[a : a + n]), y) for a, n in zip(*T.windows(np.array([0, len(w)]))[1:])]
+    assert sorted(zip(texts, label.astype(int).tolist())) == sorted(expected) and len(np.unique(group)) == len(rows)
