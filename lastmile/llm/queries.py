@@ -13,6 +13,7 @@ from .common import LOWER, UPPER, crc_mod, table
 from .digest import edited_fingerprints
 from .html import main_text
 from .language import identify, train
+from .lexical import lexical_search
 from .licenses import TEMPLATES, bigrams, normalised_words, scan_licenses
 from .line_dedup import drop_common_lines
 from .maxent import lm_scores
@@ -85,6 +86,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_language_id": op4_language_id,
@@ -96,6 +101,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html_extraction": op10_html_extraction,
+    "op13_ranked_lexical_search": op13_ranked_lexical_search,
 }
 
 _BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -108,6 +114,31 @@ def _template_rows() -> str:
 
 
 ORACLE_SQL = {
+    "op13_ranked_lexical_search": f"""
+WITH tokens AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term FROM documents
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM tokens GROUP BY doc_id
+), corpus AS (
+    SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes
+), asked AS (
+    SELECT item_id, term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term FROM benchmark
+    ) GROUP BY item_id, term
+), counted AS (
+    SELECT doc_id, term, count(*) AS tf FROM tokens WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), corpus
+), factors AS (
+    SELECT doc_id, 100 - 75 + (75 * n * n_docs) // n_terms AS m FROM sizes, corpus
+), scored AS (
+    SELECT item_id, doc_id, CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+    FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN factors USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10""",
     "op8_license_scan": f"""
 WITH templates(license, found) AS (VALUES {_template_rows()}), split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
