@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import formatted_digests
 from .common import LOWER, UPPER, crc_mod, table
 from .digest import edited_fingerprints
 from .html import main_text
@@ -22,6 +23,7 @@ from .packing import pack
 from .tiling import overlaps
 from .toxicity import score as score_toxicity
 from .toxicity import train as train_toxicity
+from .vector_codes import compressed
 
 
 def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,6 +88,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op11_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = compressed(table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    added = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    return formatted_digests(turns.unionByName(added))
+
+
 def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
@@ -101,6 +115,8 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_html_extraction": op10_html_extraction,
+    "op11_vector_code_compression": op11_vector_code_compression,
+    "op12_chat_formatting": op12_chat_formatting,
     "op13_ranked_lexical_search": op13_ranked_lexical_search,
 }
 
@@ -113,7 +129,60 @@ def _template_rows() -> str:
     return ", ".join(f"('{name}', [{', '.join(repr(x) for x in pairs)}])" for name, pairs in sorted(found.items()))
 
 
+def _codes_sql(rounds: int = 4) -> str:
+    """The codes of ``embeddings``: codebooks from the 256 smallest ids, then ``rounds``."""
+    near = """near{r} AS MATERIALIZED (
+    SELECT vec_id, p, any_value(x) AS x, min({{'d': d, 'e': e}}) AS best FROM (
+        SELECT vec_id, p, x, e, CAST(list_sum([(x[i] - c[i]) * (x[i] - c[i]) for i in range(1, len(x) + 1)]) AS BIGINT) AS d
+        FROM parts JOIN book{r} USING (p)
+    ) GROUP BY vec_id, p
+)"""
+    book = """sums{r} AS MATERIALIZED (
+    SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM (
+        SELECT p, best.e AS e, i, sum(x[i]) AS s, count(*) AS n FROM near{q}, sizes, range(1, size + 1) AS g(i) GROUP BY p, best.e, i
+    ) GROUP BY p, e
+), book{r} AS MATERIALIZED (
+    SELECT book{q}.p, book{q}.e, coalesce(sums{r}.c, book{q}.c) AS c FROM book{q} LEFT JOIN sums{r} USING (p, e)
+)"""
+    steps = [near.format(r=0)]
+    for r in range(1, rounds + 1):
+        steps += [book.format(r=r, q=r - 1), near.format(r=r)]
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), sizes AS MATERIALIZED (
+    SELECT max(len(v)) // 4 AS size FROM kept
+), parts AS MATERIALIZED (
+    SELECT vec_id, p, v[p * size + 1 : (p + 1) * size] AS x FROM kept, sizes, range(4) AS t(p)
+), firsts AS MATERIALIZED (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 256
+), book0 AS MATERIALIZED (
+    SELECT p, e, x AS c FROM parts JOIN firsts USING (vec_id)
+), {", ".join(steps)}, coded AS MATERIALIZED (
+    SELECT vec_id, string_agg(lower(printf('%02x', best.e)), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
 ORACLE_SQL = {
+    "op12_chat_formatting": r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), escaped AS (
+    SELECT *, regexp_replace(regexp_replace(role, '(\\*)(### |</turn>|: )', '\1\1\\\2', 'g'), '(\\*)$', '\1\1') AS r,
+           regexp_replace(regexp_replace(text, '(\\*)(### |</turn>)', '\1\1\\\2', 'g'), '(\\*)$', '\1\1') AS t
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, md5(text))) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, md5(text)) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ' || r || ': ' || t || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM escaped GROUP BY conv_id""",
+    "op11_vector_code_compression": _codes_sql(),
     "op13_ranked_lexical_search": f"""
 WITH tokens AS (
     SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term FROM documents
