@@ -25,6 +25,21 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(entry.queries()) & set(entry.oracle_sql())
 
 
+@pytest.mark.parametrize("missing", ["lastmile.llm", "lastmile.llm.queries", "corpus_pipeline"])
+def test_the_other_queries_stay_if_an_import_of_the_optional_part_fails(monkeypatch, missing):
+    import importlib
+
+    for name in [n for n in sys.modules if n.startswith("lastmile.llm") or n == "corpus_pipeline"]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)  # importing it raises
+    try:
+        again = importlib.reload(entry)
+        assert set(again.queries()) == set(QUERIES) and set(again.oracle_sql()) == set(QUERIES)
+    finally:
+        monkeypatch.undo()
+        importlib.reload(entry)
+
+
 @pytest.fixture(scope="module")
 def con():
     return duck(SF_SMALL)
