@@ -30,13 +30,14 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn(_RN, F.expr(row_number_expr(keys, order))).filter(f"{_RN} = 1").drop(_RN)
 
 
-def first_per_spread_group(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def first_per_spread_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: list | None = None) -> DataFrame:
     """``first_per_group`` for keys whose first one may hold a large share of the rows.
 
     An input partitioned by the first key alone satisfies the window, so all rows of a hot
-    first key would stay in one task. They are found in a sample and dealt by all keys.
+    first key would stay in one task. They are found in a sample (or given, where the caller
+    knows the ``hot`` first keys) and dealt by all keys.
     """
-    hot = hot_keys(df, keys[:1], default_share(df))
+    hot = hot_keys(df, keys[:1], default_share(df)) if hot is None else hot
     if not hot:
         return first_per_group(df, keys, order)
     busy, ordinary = parted(df, keys[:1], hot)

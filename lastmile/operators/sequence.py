@@ -165,6 +165,7 @@ def number_within_groups(
     hot_share: float | str | None = "auto",
     sample_fraction: float = 0.01,
     min_sampled_rows: int = 50,
+    hot_first: list | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... per ``keys`` group in ``order``, keeping all rows.
 
@@ -173,7 +174,8 @@ def number_within_groups(
     number cannot be observed. ``hot_share=None`` sends every group down the split
     path. ``"auto"`` flags any group above a tenth of one partition's fair share
     (``min(1e-4, 0.1 / partitions)``), so the hot list is bounded by ten times the
-    partition count (or 10,000).
+    partition count (or 10,000). A caller that knows the hot first keys gives them as
+    ``hot_first``; then nothing is sampled unless there are some.
     """
     if hot_share is None:
         return number_split(df, keys, order, name, num_partitions)
@@ -181,7 +183,8 @@ def number_within_groups(
     keys = list(keys)
     window = F.expr(f"CAST({row_number_expr(keys, order)} AS BIGINT)")
     # what isn't hot by its first key is not hot by all of them
-    hot_first = hot_keys(df, keys[:1], share, sample_fraction, min_sampled_rows)
+    if hot_first is None:
+        hot_first = hot_keys(df, keys[:1], share, sample_fraction, min_sampled_rows)
     if not hot_first:
         return df.withColumn(name, window)
     busy, ordinary = parted(df, keys[:1], hot_first)

@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Groups in which the tasks' sketches are merged before they meet.
+MERGED_FIRST = 32
+
 
 def default_share(df: DataFrame, partitions: int | None = None) -> float:
     """A tenth of one partition's fair share of the rows, at most 1e-4."""
@@ -24,14 +27,25 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_share: float, sample_fracti
     """Keys with at least ``hot_share`` of a random sample (and ``min_sampled_rows`` in it).
 
     One pass over the key columns alone, at planning time. Rows are drawn independently of
-    what they hold, so equal rows count as often as others. At most ``1 / hot_share`` keys
-    can qualify; that bounds the list, which the driver gets.
+    what they hold, so equal rows count as often as others. The sample isn't grouped by key:
+    every task counts in a heavy-hitter sketch of a few times ``1 / hot_share`` keys, and the
+    sketches, not the keys, are shuffled and merged (in groups, then the groups). Keys above
+    the share are always in it; at most ``1 / hot_share`` keys can qualify, and that many
+    reach the driver. Counts are estimates, which only cost balance.
     """
-    counted = df.select(*keys).sample(sample_fraction, seed=7).groupBy(*keys).agg(F.expr("count(1)").alias("__n"))
-    rows = counted.filter(f"__n >= {int(min_sampled_rows)}").orderBy(F.desc("__n")).limit(math.ceil(1 / hot_share)).collect()
-    # every key that is hot by itself has at least that share of the sampled rows
-    total = df.select(*keys).sample(sample_fraction, seed=7).count() if rows else 0
-    return [tuple(r)[:-1] for r in rows if r["__n"] >= hot_share * total]
+    most = math.ceil(1 / hot_share)
+    tracked = min(max(4 * most, 64), 1_000_000)
+    key = f"to_json(struct({', '.join(f'`{k}`' for k in keys)}), map('ignoreNullFields', 'false'))"
+    sampled = df.select(*keys).sample(sample_fraction, seed=7)
+    counted = sampled.groupBy(F.expr(f"spark_partition_id() % {MERGED_FIRST}").alias("__group")).agg(
+        F.expr(f"approx_top_k_accumulate({key}, {tracked})").alias("__sketch"), F.expr("count(1)").alias("__rows")
+    )
+    # grouped by a constant, so that an empty sample gives no row
+    merged = counted.groupBy(F.lit(1)).agg(F.expr(f"approx_top_k_combine(__sketch, {tracked})").alias("__sketch"), F.sum("__rows").alias("__rows"))
+    found = merged.select("__rows", F.expr(f"inline(approx_top_k_estimate(__sketch, {most}))"))
+    hot = found.filter((F.col("count") >= min_sampled_rows) & (F.col("count") >= hot_share * F.col("__rows")))
+    schema = T.StructType([df.schema[k] for k in keys])
+    return [tuple(r["key"]) for r in hot.select(F.from_json("item", schema).alias("key"), "count").orderBy(F.desc("count")).collect()]
 
 
 def key_frame(df: DataFrame, keys: Sequence[str], values: list) -> DataFrame:

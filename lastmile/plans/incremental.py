@@ -17,7 +17,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from lastmile.operators.upsert import upsert
-from lastmile.plans.warehouse import BUILDERS, build_table
+from lastmile.plans.warehouse import BUILDERS, build_all, build_table
 from lastmile.schemas import warehouse_table
 from lastmile.sources.lake import slice_filter
 from lastmile.sources.store import read_table, write_table
@@ -29,8 +29,7 @@ def delta_table(raw: DataFrame, name: str, start, end) -> DataFrame:
 
 
 def delta_tables(raw: DataFrame, start, end) -> dict[str, DataFrame]:
-    sliced = raw.filter(slice_filter(start, end))
-    return {name: build(sliced) for name, build in BUILDERS.items()}
+    return build_all(raw.filter(slice_filter(start, end)))
 
 
 def stored_deltas(raw: DataFrame, start, end, folder: str) -> dict[str, DataFrame]:

@@ -185,14 +185,15 @@ def mart_products(
     assignments: DataFrame,
     stores: DataFrame,
     products: DataFrame,
+    hot: list | None = None,
 ) -> DataFrame:
     """One row per order item with its order's context, first driver and amounts.
 
     ``delivered_at`` here is the first driver's, unlike ``mart_orders`` which takes
     the latest delivery over all assignments.
 
-    Items of orders that hold very many of them (found in a sample of the order ids) don't
-    take part in the joins by order id: their few orders and first drivers, one row each,
+    Items of orders that hold very many of them (``hot``; found in a sample of the order ids
+    if the caller doesn't know them) don't take part in the joins by order id: their few orders and first drivers, one row each,
     are broadcast to them wherever they are.
     """
 
@@ -208,7 +209,8 @@ def mart_products(
         joined = with_order(items_enriched(items), orders_calendar(orders), first_driver(assignments))
         return finished(joined.join(stores.alias("s"), F.expr("o.store_id = s.store_id"), "left"), MART_PRODUCTS_SQL)
 
-    hot = hot_keys(order_items.filter("order_id IS NOT NULL"), ["order_id"], default_share(order_items))
+    if hot is None:
+        hot = hot_keys(order_items.filter("order_id IS NOT NULL"), ["order_id"], default_share(order_items))
     if not hot:
         return whole(order_items)
     busy, ordinary = parted(order_items, ["order_id"], hot)
@@ -220,8 +222,8 @@ def mart_products(
     return whole(ordinary).unionByName(finished(joined, by_order))
 
 
-def build_mart(name: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """Build a mart by name from a dict of warehouse tables."""
+def build_mart(name: str, tables: dict[str, DataFrame], hot: list | None = None) -> DataFrame:
+    """Build a mart by name from a dict of warehouse tables; ``hot`` as in ``mart_products``."""
     if name == "mart_orders":
         return mart_orders(tables["orders"], tables["order_items"], tables["order_driver_assignments"], tables["stores"])
     if name == "mart_products":
@@ -231,5 +233,6 @@ def build_mart(name: str, tables: dict[str, DataFrame]) -> DataFrame:
             tables["order_driver_assignments"],
             tables["stores"],
             tables["products"],
+            hot,
         )
     raise ValueError(f"Unknown mart type: {name!r}")

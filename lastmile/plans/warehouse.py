@@ -10,7 +10,7 @@ total order - the stated ordering first, then every kept column.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -18,6 +18,7 @@ from lastmile.functions.columns import assignment_id, order_item_id
 from lastmile.functions.conform import conform
 from lastmile.operators.dedupe import dedupe_by_key, first_per_group, first_per_spread_group
 from lastmile.operators.sequence import number_within_groups
+from lastmile.operators.skew import default_share, hot_keys
 from lastmile.schemas import (
     DRIVERS,
     ORDER_DRIVER_ASSIGNMENTS,
@@ -64,9 +65,15 @@ def orders(raw: DataFrame) -> DataFrame:
     return conform(picked, ORDERS.schema)
 
 
-def order_items(raw: DataFrame) -> DataFrame:
+def hot_orders(raw: DataFrame) -> list:
+    """Orders that hold a large share of the raw rows: found once, used by both facts."""
+    return hot_keys(raw.filter("order_id IS NOT NULL"), ["order_id"], default_share(raw))
+
+
+def order_items(raw: DataFrame, hot: list | None = None) -> DataFrame:
     """Every item row, keyed ``<order>_<item>_<n>``; n counts repeats of the item in the
-    order by ``created_at`` (nulls last)."""
+    order by ``created_at`` (nulls last). ``hot`` lists the orders of very many rows, if the
+    caller knows them."""
     value_cols = [c for c in ORDER_ITEMS.columns if c not in ("order_item_id", "order_id", "item_id")]
     rows = raw.filter("order_id IS NOT NULL AND item_id IS NOT NULL").select(
         "order_id", "item_id", "created_at", *value_cols
@@ -76,12 +83,14 @@ def order_items(raw: DataFrame) -> DataFrame:
         ["order_id", "item_id"],
         ["created_at ASC NULLS LAST", *_asc(value_cols)],
         name="row_num",
+        hot_first=hot,
     )
     return conform(numbered.withColumn("order_item_id", order_item_id()), ORDER_ITEMS.schema)
 
 
-def order_driver_assignments(raw: DataFrame) -> DataFrame:
-    """One row per (order, driver, delivery start); the latest raw row wins."""
+def order_driver_assignments(raw: DataFrame, hot: list | None = None) -> DataFrame:
+    """One row per (order, driver, delivery start); the latest raw row wins. ``hot`` as in
+    ``order_items``."""
     rows = raw.filter("order_id IS NOT NULL AND driver_id IS NOT NULL").select(
         "order_id", "driver_id", "delivery_started_at", "delivered_at", "created_at"
     )
@@ -89,6 +98,7 @@ def order_driver_assignments(raw: DataFrame) -> DataFrame:
         rows,
         ["order_id", "driver_id", "delivery_started_at"],
         ["created_at DESC NULLS LAST", "delivered_at ASC NULLS LAST"],
+        hot,
     )
     return conform(picked.withColumn("assignment_id", assignment_id()), ORDER_DRIVER_ASSIGNMENTS.schema)
 
@@ -104,12 +114,23 @@ BUILDERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+#: Tables whose groups lie within an order, which may hold very many rows.
+BY_ORDER = ("order_items", "order_driver_assignments")
+
+
 def build_table(raw: DataFrame, name: str) -> DataFrame:
     """Build one warehouse table by name; unknown names raise ``ValueError``."""
     warehouse_table(name)
     return BUILDERS[name](raw)
 
 
-def build_all(raw: DataFrame) -> dict[str, DataFrame]:
+def build_tables(raw: DataFrame, names: Sequence[str], hot: list | None = None) -> dict[str, DataFrame]:
+    """Several tables; the hot orders are looked for once, and only if a table needs them."""
+    if hot is None and any(n in BY_ORDER for n in names):
+        hot = hot_orders(raw)
+    return {n: BUILDERS[n](raw, hot) if n in BY_ORDER else BUILDERS[n](raw) for n in names}
+
+
+def build_all(raw: DataFrame, hot: list | None = None) -> dict[str, DataFrame]:
     """All seven tables, in foreign-key load order."""
-    return {name: build(raw) for name, build in BUILDERS.items()}
+    return build_tables(raw, tuple(BUILDERS), hot)
