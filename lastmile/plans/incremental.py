@@ -12,7 +12,9 @@ are never re-read.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import DataFrame
 
@@ -32,6 +34,13 @@ def delta_tables(raw: DataFrame, start, end) -> dict[str, DataFrame]:
     return build_all(raw.filter(slice_filter(start, end)))
 
 
+def concurrently(names: Iterable[str], run: Callable[[str], Any], at_once: int = 4) -> dict[str, Any]:
+    """``run`` for every name, a few at a time: small tables' jobs don't leave the cluster idle."""
+    names = list(names)
+    with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(names)))) as pool:
+        return dict(zip(names, pool.map(run, names)))
+
+
 def stored_deltas(raw: DataFrame, start, end, folder: str) -> dict[str, DataFrame]:
     """The slice's tables, written once under ``folder`` and read from there: a merge reads
     its delta more than once."""
@@ -39,11 +48,8 @@ def stored_deltas(raw: DataFrame, start, end, folder: str) -> dict[str, DataFram
 
 
 def stored(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    out = {}
-    for name, table in tables.items():
-        write_table(table, folder, name, warehouse_table(name).schema)
-        out[name] = read_table(table.sparkSession, folder, name, warehouse_table(name).schema)
-    return out
+    concurrently(tables, lambda n: write_table(tables[n], folder, n, warehouse_table(n).schema))
+    return {n: read_table(t.sparkSession, folder, n, warehouse_table(n).schema) for n, t in tables.items()}
 
 
 def merge_table(target: DataFrame, delta: DataFrame, name: str, max_broadcast_bytes: int = 0) -> DataFrame:

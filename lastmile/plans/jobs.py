@@ -13,18 +13,17 @@ are caller-supplied shared paths; nothing is kept on one machine.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lastmile.functions.conform import conform
 from lastmile.operators import checks
 from lastmile.plans import marts
-from lastmile.plans.incremental import merge_tables, stored_deltas
+from lastmile.plans.incremental import concurrently, merge_tables, stored_deltas
 from lastmile.plans.warehouse import build_all
 from lastmile.schemas import MARTS, WAREHOUSE
 from lastmile.sources import jdbc
-from lastmile.sources.store import read_table, write_table
+from lastmile.sources.store import read_table, write_observed, write_table
 
 MART_INPUTS = ("orders", "order_items", "order_driver_assignments", "stores", "products")
 
@@ -48,15 +47,24 @@ def validate_warehouse(spark: SparkSession, root: str, strict: bool = True, none
     return result
 
 
-def _write_all(tables: dict[str, DataFrame], root: str) -> dict[str, str]:
-    """Write the seven tables stage by stage. Tables of one stage are submitted as
-    concurrent Spark jobs, so small dimension jobs do not leave the cluster idle."""
+def _write_all(tables: dict[str, DataFrame], root: str, nonempty: bool = True) -> tuple[dict[str, str], list]:
+    """Write the seven tables stage by stage, those of one stage as concurrent Spark jobs;
+    returns their paths and what was counted of their rows on the way."""
     paths: dict[str, str] = {}
+    counted: list[tuple[str, str, int]] = []
     for stage in LOAD_STAGES:
-        with ThreadPoolExecutor(max_workers=len(stage)) as pool:
-            futures = {n: pool.submit(write_table, tables[n], root, n, WAREHOUSE[n].schema) for n in stage}
-            paths.update({n: f.result() for n, f in futures.items()})
-    return paths
+        written = concurrently(stage, lambda n: write_observed(tables[n], root, WAREHOUSE[n], nonempty))
+        for name, (path, rows) in written.items():
+            paths[name] = path
+            counted += rows
+    return paths, counted
+
+
+def _assert_written(spark: SparkSession, root: str, counted: list) -> None:
+    """Raise if a constraint is violated; only keys and references read the tables again."""
+    tables = read_warehouse(spark, root)
+    keys = [checks.check_primary_keys(tables, WAREHOUSE), checks.check_foreign_keys(tables, WAREHOUSE)]
+    checks.assert_checks_pass(checks.as_report(spark, counted, *keys))
 
 
 def full_load(spark: SparkSession, raw: DataFrame, warehouse_root: str, strict: bool = True) -> dict[str, str]:
@@ -65,9 +73,9 @@ def full_load(spark: SparkSession, raw: DataFrame, warehouse_root: str, strict:
     ``strict`` fails if a table is empty or breaks a key, reference or NOT NULL;
     otherwise ``validate_warehouse(..., strict=False)`` returns the counts.
     """
-    paths = _write_all(build_all(raw), warehouse_root)
+    paths, counted = _write_all(build_all(raw), warehouse_root)
     if strict:
-        validate_warehouse(spark, warehouse_root)
+        _assert_written(spark, warehouse_root, counted)
     return paths
 
 
@@ -92,21 +100,17 @@ def incremental_load(
     if current_root.rstrip("/") == new_root.rstrip("/"):
         raise ValueError("new_root must differ from current_root")
     deltas = stored_deltas(raw, start, end, f"{new_root.rstrip('/')}/_delta")
-    paths = _write_all(merge_tables(read_warehouse(spark, current_root), deltas, max_broadcast_bytes), new_root)
+    merged = merge_tables(read_warehouse(spark, current_root), deltas, max_broadcast_bytes)
+    paths, counted = _write_all(merged, new_root)
     if strict:
-        validate_warehouse(spark, new_root)
+        _assert_written(spark, new_root, counted)
     return paths
 
 
 def build_marts(spark: SparkSession, warehouse_root: str, mart_root: str) -> dict[str, str]:
     """Rebuild both marts from the warehouse; fail if either is empty."""
     tables = read_warehouse(spark, warehouse_root, MART_INPUTS)
-    with ThreadPoolExecutor(max_workers=len(MARTS)) as pool:
-        futures = {
-            name: pool.submit(write_table, marts.build_mart(name, tables), mart_root, name, schema)
-            for name, schema in MARTS.items()
-        }
-        paths = {name: f.result() for name, f in futures.items()}
+    paths = concurrently(MARTS, lambda name: write_table(marts.build_mart(name, tables), mart_root, name, MARTS[name]))
     written = {name: read_table(spark, mart_root, name) for name in MARTS}
     checks.assert_checks_pass(checks.check_nonempty(written))
     return paths

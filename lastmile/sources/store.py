@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lastmile.functions.conform import conform
+from lastmile.operators import checks
+from lastmile.schemas import TableSpec
+from lastmile.sources.manifest import list_folders
 
 
 def table_path(root: str, name: str) -> str:
@@ -32,3 +38,44 @@ def write_table(
     path = table_path(root, name)
     conform(df, schema).write.mode(mode).parquet(path)
     return path
+
+
+def write_observed(df: DataFrame, root: str, spec: TableSpec, nonempty: bool = True) -> tuple[str, list[tuple[str, str, int]]]:
+    """``write_table`` that also counts what the checks ask of single rows; returns the path
+    and those checks' rows."""
+    path = table_path(root, spec.name)
+    counted, seen = checks.observed(conform(df, spec.schema), spec)
+    counted.write.mode("overwrite").parquet(path)
+    return path, checks.observed_violations(spec, seen.get, nonempty)
+
+
+def write_parts(
+    df: DataFrame, root: str, spec: TableSpec, by: str, sort: str = "", buckets: int = 0, nonempty: bool = True
+) -> tuple[dict[str, str], list[tuple[str, str, int]]]:
+    """Write a table by the values of its column ``by``; returns the parts' folders and the
+    rows of the checks that were counted on the way.
+
+    ``rebalance`` clusters rows by part (and bucket) first, so the number of files follows the
+    data, not the tasks, and a part with very many rows is split over several of them. Files
+    are sorted by ``sort``; with ``buckets`` they are bucketed by it, which Spark writes only
+    as a table, so an external one stands in the catalog as long as that takes.
+    """
+    path = table_path(root, spec.name)
+    columns = [*spec.columns, by]
+    if buckets:
+        bucket = F.expr(f"pmod(hash({sort}), {buckets})")
+        dealt = df.withColumn("__bucket", bucket).hint("rebalance", by, "__bucket").select(*columns)
+    else:
+        dealt = df.select(*columns).hint("rebalance", by)
+        dealt = dealt.sortWithinPartitions(by, sort) if sort else dealt
+    counted, seen = checks.observed(dealt, spec)
+    if buckets:
+        name = f"lastmile_load_{uuid.uuid4().hex}"
+        try:
+            counted.write.format("parquet").partitionBy(by).bucketBy(buckets, sort).sortBy(sort).option("path", path).saveAsTable(name)
+        finally:
+            df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    else:
+        counted.write.partitionBy(by).parquet(path)
+    found = [f for f in list_folders(df.sparkSession, path) if f.startswith(f"{by}=")]
+    return {f.partition("=")[2]: f"{path}/{f}" for f in found}, checks.observed_violations(spec, seen.get, nonempty)
