@@ -160,23 +160,43 @@ def _project(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{sql} AS {name}" for name, sql in exprs.items()])
 
 
+def _apart(df: DataFrame, hot: list) -> tuple[DataFrame, DataFrame]:
+    """Rows of the hot orders, and the others. The hottest few are also named in a filter
+    that is pushed down, so whole row groups of theirs are skipped by the others' scan."""
+    busy, ordinary = parted(df, ["order_id"], hot)
+    named = ", ".join(str(int(k)) for (k,) in hot[:10])
+    return busy, ordinary.filter(f"order_id IS NULL OR order_id NOT IN ({named})")
+
+
 def mart_orders(
     orders: DataFrame,
     order_items: DataFrame,
     assignments: DataFrame,
     stores: DataFrame,
+    hot: list | None = None,
 ) -> DataFrame:
-    """One row per order with calendar, place, item totals, money and status flags."""
-    o = orders_calendar(orders).alias("o")
-    i = items_agg(items_enriched(order_items)).alias("i")
-    a = assignment_agg(assignments).alias("a")
-    s = stores.alias("s")
-    joined = (
-        o.join(i, F.expr("o.order_id = i.order_id"), "left")
-        .join(a, F.expr("o.order_id = a.order_id"), "left")
-        .join(s, F.expr("o.store_id = s.store_id"), "left")
-    )
-    return conform(_project(joined, MART_ORDERS_SQL), MART_ORDERS)
+    """One row per order with calendar, place, item totals, money and status flags.
+
+    Rows are combined by order before they are shuffled. Tables bucketed by order aren't
+    shuffled at all, so there the orders of very many rows, if the caller names them
+    (``hot``), are built apart, from scans that spread over tasks.
+    """
+
+    def built(orders: DataFrame, items: DataFrame, its_assignments: DataFrame) -> DataFrame:
+        o = orders_calendar(orders).alias("o")
+        i = items_agg(items_enriched(items)).alias("i")
+        a = assignment_agg(its_assignments).alias("a")
+        joined = (
+            o.join(i, F.expr("o.order_id = i.order_id"), "left")
+            .join(a, F.expr("o.order_id = a.order_id"), "left")
+            .join(stores.alias("s"), F.expr("o.store_id = s.store_id"), "left")
+        )
+        return conform(_project(joined, MART_ORDERS_SQL), MART_ORDERS)
+
+    if not hot:
+        return built(orders, order_items, assignments)
+    sides = [_apart(df, hot) for df in (orders, order_items, assignments)]
+    return built(*(ordinary for _, ordinary in sides)).unionByName(built(*(busy for busy, _ in sides)))
 
 
 def mart_products(
@@ -213,7 +233,7 @@ def mart_products(
         hot = hot_keys(order_items.filter("order_id IS NOT NULL"), ["order_id"], default_share(order_items))
     if not hot:
         return whole(order_items)
-    busy, ordinary = parted(order_items, ["order_id"], hot)
+    busy, ordinary = _apart(order_items, hot)
     # the store is joined to the few orders, not to their many items
     its_orders = orders_calendar(parted(orders, ["order_id"], hot)[0]).join(stores, "store_id", "left")
     its_drivers = first_driver(parted(assignments, ["order_id"], hot)[0])
@@ -223,9 +243,10 @@ def mart_products(
 
 
 def build_mart(name: str, tables: dict[str, DataFrame], hot: list | None = None) -> DataFrame:
-    """Build a mart by name from a dict of warehouse tables; ``hot`` as in ``mart_products``."""
+    """Build a mart by name from a dict of warehouse tables; ``hot`` lists
+    the orders of very many rows, if the caller knows them."""
     if name == "mart_orders":
-        return mart_orders(tables["orders"], tables["order_items"], tables["order_driver_assignments"], tables["stores"])
+        return mart_orders(tables["orders"], tables["order_items"], tables["order_driver_assignments"], tables["stores"], hot)
     if name == "mart_products":
         return mart_products(
             tables["orders"],

@@ -54,7 +54,7 @@ def _mart(name: str, inputs: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = raw_orders(spark, sf_dir)
         hot = hot_orders(raw)  # one pass for the numbering, the assignments and the mart
-        return marts.build_mart(name, build_tables(raw, inputs, hot), hot)
+        return marts.build_mart(name, build_tables(raw, inputs, hot), hot if name == "mart_products" else None)
 
     return run
 
