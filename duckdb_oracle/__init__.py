@@ -232,9 +232,9 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes) + "\n"
 
 
-def _merged(table: str) -> str:
+def _merged_rows(table: str, money: list[str]) -> str:
+    """SELECT of base rows ``b_*`` with the slice's ``d_*`` upserted; ``money`` as DOUBLE."""
     spec = WAREHOUSE[table]
-    money = MONEY.get(table, [])
     cols = []
     for c in spec.columns:
         if c == spec.pk:
@@ -244,10 +244,14 @@ def _merged(table: str) -> str:
         else:
             expr = f"CASE WHEN b.{spec.pk} IS NOT NULL THEN b.{c} ELSE d.{c} END"
         cols.append(f"CAST({expr} AS DOUBLE) AS {c}" if c in money else f"{expr} AS {c}")
-    return (
-        _with(RAW, SENT, _warehouse("sent_base", "b_"), _warehouse("sent_delta", "d_"))
-        + f"SELECT {', '.join(cols)} FROM b_{table} b FULL OUTER JOIN d_{table} d ON b.{spec.pk} = d.{spec.pk}"
-    )
+    return f"SELECT {', '.join(cols)} FROM b_{table} b FULL OUTER JOIN d_{table} d ON b.{spec.pk} = d.{spec.pk}"
+
+
+_MERGE_HEAD = (RAW, SENT, _warehouse("sent_base", "b_"), _warehouse("sent_delta", "d_"))
+
+
+def _merged(table: str) -> str:
+    return _with(*_MERGE_HEAD) + _merged_rows(table, MONEY.get(table, []))
 
 
 MART_CTES = """
@@ -462,5 +466,8 @@ def build() -> dict[str, str]:
     sql["first_driver"] = marts_head + "SELECT * FROM first_driver"
     sql["mart_orders"] = marts_head + MART_ORDERS
     sql["mart_products"] = marts_head + MART_PRODUCTS
+    merged_head = _with(*_MERGE_HEAD, *(f"w_{t} AS ({_merged_rows(t, [])})" for t in WAREHOUSE), MART_CTES)
+    sql["maintained_mart_orders"] = merged_head + MART_ORDERS
+    sql["maintained_mart_products"] = merged_head + MART_PRODUCTS
     sql.update(_checks())
     return sql

@@ -9,17 +9,19 @@ Slices used by the incremental queries (fixed values):
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lastmile.operators import checks
-from lastmile.plans import marts
+from lastmile.plans import marts, partitioned, stored_marts
 from lastmile.plans.incremental import delta_table, merge_table
 from lastmile.plans.warehouse import BUILDERS, BY_ORDER, build_table, build_tables, hot_orders
 from lastmile.schemas import WAREHOUSE
-from lastmile.sources.lake import ts_literal
+from lastmile.session import ensure_checkpoint_dir
+from lastmile.sources.lake import read_raw, ts_literal
 from lastmile.sources.testdata import flawed_rows, raw_from_tables, with_resent_rows
 
 SLICE_START = "2000-01-01 00:00:00"
@@ -83,6 +85,23 @@ mart_orders = _mart("mart_orders", ("orders", "order_items", "order_driver_assig
 mart_products = _mart("mart_products", ("orders", "order_items", "order_driver_assignments", "stores", "products"))
 
 
+def _maintained(name: str) -> Query:
+    """A mart that was built from the base slice and then followed the incremental load."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/maintained-{uuid.uuid4().hex}"
+        with_resent_rows(raw_orders(spark, sf_dir)).write.parquet(f"{root}/raw")
+        raw = read_raw(spark, f"{root}/raw")
+        # the checks are queries of their own
+        partitioned.full_load(spark, raw.filter(F.col("created_at") < ts_literal(SLICE_START)), f"{root}/dwh", strict=False)
+        stored_marts.build(spark, f"{root}/dwh", f"{root}/marts", [name])
+        partitioned.incremental_load(spark, raw, SLICE_START, SLICE_END, f"{root}/dwh", strict=False)
+        stored_marts.maintain(spark, f"{root}/dwh", f"{root}/marts", [name])
+        return stored_marts.read(spark, f"{root}/marts", name)
+
+    return run
+
+
 def flawed_tables(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """Tables that break every constraint: flawed rows, dimensions of the base slice alone,
     a ninth of the orders missing, and keys of a multiple of eleven twice."""
@@ -135,6 +154,8 @@ QUERIES.update(
         "first_driver": first_driver,
         "mart_orders": mart_orders,
         "mart_products": mart_products,
+        "maintained_mart_orders": _maintained("mart_orders"),
+        "maintained_mart_products": _maintained("mart_products"),
         "check_nonempty": check_nonempty,
         "check_primary_keys": check_primary_keys,
         "check_foreign_keys": check_foreign_keys,
