@@ -34,7 +34,7 @@ def delta_tables(raw: DataFrame, start, end) -> dict[str, DataFrame]:
     return build_all(raw.filter(slice_filter(start, end)))
 
 
-def concurrently(names: Iterable[str], run: Callable[[str], Any], at_once: int = 4) -> dict[str, Any]:
+def concurrently(names: Iterable[Any], run: Callable[[Any], Any], at_once: int = 4) -> dict[Any, Any]:
     """``run`` for every name, a few at a time: small tables' jobs don't leave the cluster idle."""
     names = list(names)
     with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(names)))) as pool:

@@ -47,24 +47,31 @@ def validate_warehouse(spark: SparkSession, root: str, strict: bool = True, none
     return result
 
 
-def _write_all(tables: dict[str, DataFrame], root: str, nonempty: bool = True) -> tuple[dict[str, str], list]:
-    """Write the seven tables stage by stage, those of one stage as concurrent Spark jobs;
-    returns their paths and what was counted of their rows on the way."""
-    paths: dict[str, str] = {}
-    counted: list[tuple[str, str, int]] = []
-    for stage in LOAD_STAGES:
-        written = concurrently(stage, lambda n: write_observed(tables[n], root, WAREHOUSE[n], nonempty))
-        for name, (path, rows) in written.items():
-            paths[name] = path
-            counted += rows
-    return paths, counted
+def _write_all(tables: dict[str, DataFrame], root: str, strict: bool) -> dict[str, str]:
+    """Write the seven tables stage by stage, those of one stage as concurrent Spark jobs.
 
+    ``strict`` raises if a constraint is violated. Single rows are counted while a table is
+    written; its keys and references (to tables of the stages before) are looked at as soon
+    as it stands, beside the other tables' writes.
+    """
 
-def _assert_written(spark: SparkSession, root: str, counted: list) -> None:
-    """Raise if a constraint is violated; only keys and references read the tables again."""
-    tables = read_warehouse(spark, root)
-    keys = [checks.check_primary_keys(tables, WAREHOUSE), checks.check_foreign_keys(tables, WAREHOUSE)]
-    checks.assert_checks_pass(checks.as_report(spark, counted, *keys))
+    def load(name: str) -> tuple[str, list]:
+        spark, spec = tables[name].sparkSession, WAREHOUSE[name]
+        path, counted = write_observed(tables[name], root, spec)
+        if strict:
+            written = read_warehouse(spark, root, [name, *dict.fromkeys(fk.parent for fk in spec.foreign_keys)])
+            frames = [checks.check_primary_keys({name: written[name]}, WAREHOUSE)]
+            if spec.foreign_keys:
+                frames.append(checks.check_foreign_keys({name: written[name]}, WAREHOUSE, written))
+            counted = counted + [r for rows in concurrently(range(len(frames)), lambda k: frames[k].collect()).values() for r in map(tuple, rows)]
+        return path, counted
+
+    found: dict[str, tuple[str, list]] = {}
+    for stage in LOAD_STAGES:
+        found |= concurrently(stage, load)
+    if strict:
+        checks.assert_counts_pass([r for _, rows in found.values() for r in rows])
+    return {n: path for n, (path, _) in found.items()}
 
 
 def full_load(spark: SparkSession, raw: DataFrame, warehouse_root: str, strict: bool = True) -> dict[str, str]:
@@ -73,10 +80,7 @@ def full_load(spark: SparkSession, raw: DataFrame, warehouse_root: str, strict:
     ``strict`` fails if a table is empty or breaks a key, reference or NOT NULL;
     otherwise ``validate_warehouse(..., strict=False)`` returns the counts.
     """
-    paths, counted = _write_all(build_all(raw), warehouse_root)
-    if strict:
-        _assert_written(spark, warehouse_root, counted)
-    return paths
+    return _write_all(build_all(raw), warehouse_root, strict)
 
 
 def incremental_load(
@@ -101,10 +105,7 @@ def incremental_load(
         raise ValueError("new_root must differ from current_root")
     deltas = stored_deltas(raw, start, end, f"{new_root.rstrip('/')}/_delta")
     merged = merge_tables(read_warehouse(spark, current_root), deltas, max_broadcast_bytes)
-    paths, counted = _write_all(merged, new_root)
-    if strict:
-        _assert_written(spark, new_root, counted)
-    return paths
+    return _write_all(merged, new_root, strict)
 
 
 def build_marts(spark: SparkSession, warehouse_root: str, mart_root: str) -> dict[str, str]:
