@@ -4,7 +4,8 @@ Seeds are the strings of ``min_tile`` tokens of the benchmark items. A document
 an item if the seeds that they share cover enough of the item; as every tile is made of seeds,
 this leaves out no document. Tiling marks the longest common token strings that are still
 unmarked on both sides first, found by running Karp-Rabin hashes of the item's and the
-document's strings at a falling length, until none of ``min_tile`` tokens is left. The share of the
+document's unmarked strings at a length found by bisection, until none of ``min_tile`` tokens
+is left. The share of the
 item's tokens that is marked is its coverage; reordered passages keep theirs, since tiles may
 stand in any order.
 
@@ -15,12 +16,14 @@ what their rows cost.
 
 Defined results: tokens are runs of letters, digits and bytes beyond ASCII, A-Z lower-cased.
 An item shorter than a seed is its own seed; items and documents without a token match
-nothing; null texts are empty. Repeated items are tiled once each, repeated rows get equal
+nothing; null texts are empty. Very long items and texts take time in proportion to their
+length for each length of a tile (and its bisection), not for each possible length. Repeated items are tiled once each, repeated rows get equal
 rows; an empty benchmark or table gives none; other columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -40,6 +43,7 @@ _U = np.uint64
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _BASE = constants(1, 91)[0]
+_INVERSE = pow(int(_BASE), -1, 1 << 64)
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,47 +68,85 @@ def rolling(tokens: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+class Strings:
+    """Karp-Rabin hashes of all strings of some tokens, of any length, from prefix sums."""
+
+    def __init__(self, tokens: np.ndarray) -> None:
+        self.size = len(tokens)
+        power, self.inverse = (np.multiply.accumulate(np.concatenate([np.ones(1, _U), np.full(self.size, b, _U)])) for b in (_BASE, _U(_INVERSE)))
+        self.sums = np.concatenate([np.zeros(1, _U), np.cumsum(tokens * power[:-1], dtype=_U)])
+
+    def hashes(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Those of ``length`` tokens from the places ``at`` on."""
+        return (self.sums[at + length] - self.sums[at]) * self.inverse[at]
+
+
+def _clear(taken: np.ndarray, length: int) -> np.ndarray:
+    """Places where ``length`` tokens stand of which none is taken."""
+    sums = np.concatenate([[0], np.cumsum(taken)])
+    return np.flatnonzero(sums[length:] == sums[: len(sums) - length]) if length < len(sums) else np.zeros(0, np.int64)
+
+
 def tile(item: np.ndarray, text: np.ndarray, min_tile: int = 3) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (place in the item, place in the text, length) of each tile.
 
     Of equally long matches the first in the item is marked first, at its first place in the
     text. Only text tokens that the item has can be in a tile, so the text is reduced to its
-    runs of those.
+    runs of those. The longest length at which unmarked strings still match is found by
+    bisection, all tiles of that length are marked, and the next one is looked for below it;
+    when nothing of ``min_tile`` unmarked tokens matches any more, that shows at once.
     """
     known = np.isin(text, item)
     edge = np.flatnonzero(np.diff(np.concatenate([[False], known, [False]]).astype(np.int8)))
     runs = [(int(a), int(b)) for a, b in zip(edge[::2], edge[1::2]) if b - a >= min_tile]
     if not runs or len(item) < min_tile:
         return []
-    where = np.concatenate([np.arange(a, b) for a, b in runs])
-    kept = text[where]
-    # runs are kept apart, and marked tokens taken out, by numbers that no token has
-    gap = np.zeros(len(where), bool)
-    gap[1:] = where[1:] != where[:-1] + 1
-    free_item, free_text = np.ones(len(item), bool), np.ones(len(where), bool)
-    tiles = []
-    length = min(len(item), max(b - a for a, b in runs))
-    while length >= min_tile:
-        in_text: dict[int, list[int]] = {}
-        blocked = np.cumsum(np.concatenate([[0], ~free_text]))
-        breaks = np.cumsum(np.concatenate([[0], gap]))
-        hashes = rolling(kept, length)
-        at = np.arange(len(hashes))
-        usable = (blocked[at + length] == blocked[at]) & (breaks[at + length] == breaks[at + 1])
-        own = rolling(item, length)
-        usable &= np.isin(hashes, own)
-        for p in np.flatnonzero(usable).tolist():
-            in_text.setdefault(int(hashes[p]), []).append(p)
-        if in_text:
-            for i, h in enumerate(own.tolist()):
-                for p in in_text.get(h, ()):
-                    if not free_item[i : i + length].all():
-                        break
-                    if free_text[p : p + length].all() and (item[i : i + length] == kept[p : p + length]).all():
-                        free_item[i : i + length] = False
-                        free_text[p : p + length] = False
-                        tiles.append((i, int(where[p]), length))
-        length -= 1
+    # a taken place stands between runs, so that no string spans two of them
+    where = np.concatenate([np.arange(a, b + 1) for a, b in runs])
+    kept = text[np.minimum(where, len(text) - 1)]
+    taken_item, taken_text = np.zeros(len(item), bool), np.zeros(len(where), bool)
+    taken_text[np.cumsum([b - a + 1 for a, b in runs]) - 1] = True
+    of_item, of_text = Strings(item), Strings(kept)
+
+    def matches(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        i, p = _clear(taken_item, length), _clear(taken_text, length)
+        if not len(i) or not len(p):
+            return None
+        h, g = of_item.hashes(i, length), of_text.hashes(p, length)
+        met, other = np.isin(h, g), np.isin(g, h)
+        return (i[met], h[met], p[other], g[other]) if met.any() else None
+
+    tiles, most = [], min(len(item), max(b - a for a, b in runs))
+    while most >= min_tile:
+        found, length = matches(most), most
+        if found is None:
+            found = matches(min_tile)
+            if found is None:
+                break
+            low, high = min_tile, most - 1
+            while low < high:
+                middle = (low + high + 1) // 2
+                longer = matches(middle)
+                if longer is None:
+                    high = middle - 1
+                else:
+                    low, found = middle, longer
+            length = low
+        places: dict[int, deque[int]] = {}
+        for p, g in zip(found[2].tolist(), found[3].tolist()):
+            places.setdefault(g, deque()).append(p)
+        for i, h in zip(found[0].tolist(), found[1].tolist()):
+            if taken_item[i : i + length].any():
+                continue
+            there = places[h]
+            while there and taken_text[there[0] : there[0] + length].any():
+                there.popleft()  # it will not be free again
+            for p in there:
+                if not taken_text[p : p + length].any() and (item[i : i + length] == kept[p : p + length]).all():
+                    taken_item[i : i + length] = taken_text[p : p + length] = True
+                    tiles.append((i, int(where[p]), length))
+                    break
+        most = length - 1
     return tiles
 
 

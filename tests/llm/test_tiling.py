@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -43,6 +45,23 @@ def test_tiles_equal_the_definition(item, doc, least):
         assert max(k for _, _, k in found) == expected[0]
 
 
+def test_long_copies_take_seconds_and_shuffled_pieces_come_back():
+    r = np.random.default_rng(3)
+    item = r.integers(1, 2**63, 20_000).astype(np.uint64)
+    began = time.monotonic()
+    assert tile(item, np.concatenate([item[:7], item, item[9:50]])) == [(0, 7, 20_000)]
+    cuts = np.sort(r.choice(np.arange(5, 19_995), 60, replace=False))
+    pieces = [p for p in np.split(item, cuts) if len(p) >= 3]
+    shuffled = np.concatenate([x for k in r.permutation(len(pieces)) for x in (pieces[k], r.integers(1, 2**63, 2).astype(np.uint64))])
+    found = tile(item, shuffled)
+    assert sum(k for _, _, k in found) == sum(map(len, pieces))
+    for i, j, k in found:
+        assert (item[i : i + k] == shuffled[j : j + k]).all()
+    same = np.full(5000, 7, np.uint64)
+    assert tile(same, np.full(20_000, 7, np.uint64)) == [(0, 0, 5000)]
+    assert time.monotonic() - began < 20
+
+
 def items(spark, *rows):
     return spark.createDataFrame(list(rows), "item_id long, text string")
 
