@@ -215,7 +215,9 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     classes = written(signed.filter("n > 0").groupBy("name").agg(F.min("id").alias("least"), F.first("n").alias("n")), "classes")
 
     first = classes.select("name", F.col("least").alias("id"))
-    band_rows = signed.select("name", "id", "n", "bands").join(first, ["name", "id"]).select(F.explode("bands").alias("bucket"), "name", "n")
+    # of repeated rows one, on the join's own partitioning
+    once = signed.select("name", "id", "n", "bands").join(first, ["name", "id"]).dropDuplicates(["name", "id"])
+    band_rows = once.select(F.explode("bands").alias("bucket"), "name", "n")
     shared = band_rows.groupBy("bucket").agg(F.min("name").alias("x"), F.max("name").alias("y")).filter("x < y").select("bucket")
     members = written(band_rows.join(written(shared, "shared"), "bucket"), "buckets")
 

@@ -4,6 +4,7 @@ from itertools import combinations
 import numpy as np
 
 from lastmile.llm.components import components
+from lastmile.llm import near_dup
 from lastmile.llm.near_dup import deduplicated, near_duplicates, parities, shingles, signatures
 
 from texts import rng, text, word
@@ -82,6 +83,23 @@ def test_repeated_and_null_ids(spark, documents):
     assert kept == sorted([(2, long), (2, "another text of its own here"), (None, "lonely"), (None, None), (8, None)], key=repr)
 
 
+def test_repeated_rows_are_one_class_in_the_buckets(spark, documents, monkeypatch):
+    sizes, real = {}, near_dup.written
+
+    def counted(df, name):
+        out = real(df, name)
+        sizes[name] = sizes.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(near_dup, "written", counted)
+    base = text(rng(7), 60).split(" ")
+    near = [" ".join([*base[:20], "other", *base[21:]]), " ".join([*base[:50], "word", *base[51:]])]
+    rows = [(1, " ".join(base))] * 2000 + [(2, near[0]), (3, near[1])]
+    found = near_duplicates(documents(*rows)).collect()
+    assert len(found) == 2002 and {r.component_id for r in found} == {1}
+    assert sizes["buckets"] <= 3 * near_dup.BANDS
+
+
 def test_deduplicated_keeps_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b", "x"), (2, "a b", "y"), (3, "c", None)], "doc_id long, text string, kept_id string").withColumnRenamed("kept_id", "own_hash")
     assert sorted(map(tuple, deduplicated(docs).collect())) == [(1, "a b", "x"), (3, "c", None)]
