@@ -58,10 +58,10 @@ IN_ARTICLE = CONTAINER - {"ul", "ol", "dl", "table"}
 PROSE = set("blockquote h1 h2 h3 h4 h5 h6 p pre li dd dt td th figcaption caption address".split())
 #: Elements that are never part of an article's text.
 FURNITURE = set(
-    "script style noscript template head title nav footer aside form button select option input textarea iframe svg object canvas "
+    "script style noscript template head title nav footer aside button select option input textarea iframe svg object canvas "
     "dialog menu noembed noframes audio video map datalist xmp".split()
 )
-ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split())
+ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 #: Words of class or id that tell furniture.
 FURNITURE_WORDS = set(
     "ad ads adv adbox adslot adunit adbanner advert adverts advertisement advertising adsense adsbygoogle sponsor sponsored promo promotion banner cookie cookies consent "
@@ -69,7 +69,9 @@ FURNITURE_WORDS = set(
     "recommendations sidebar nav navbar topnav subnav sidenav navigation menu breadcrumb breadcrumbs pagination pager footer comment comments commentlist disqus reply "
     "replies respond widget toolbar copyright disclaimer login search skip masthead".split()
 )
-#: Those of them that tell comments, adverts and cookie boxes, however long these are.
+#: Elements that are text themselves: within an article, only EXTRA_WORDS tell them apart.
+TEXTS = set("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
+#: Words of FURNITURE_WORDS that tell comments, adverts and cookie boxes, however long these are.
 EXTRA_WORDS = set(
     "comment comments commentlist disqus reply replies respond ad ads adv adbox adslot adunit adbanner advert adverts advertisement advertising adsense "
     "adsbygoogle sponsor sponsored promo promotion cookie cookies consent gdpr cookiebar cookiebanner newsletter".split()
@@ -95,7 +97,9 @@ class Element:
     parent: Element | None
     key: str  # name, classes and id, for the hash
     words: set[str] = field(default_factory=set)  # of class and id
-    hard: bool = False  # furniture by name, role or being hidden, or inside such
+    hard: bool = False  # furniture by name or role, or inside such
+    veil: bool = False  # a form, or hidden: furniture unless the page's words are in it
+    veiled: bool = False  # that, or inside such
     extra: bool = False  # comments or adverts by class or id, or inside such
     suspect: bool = False  # any furniture by class or id, or inside such
     centre: bool = False  # article or main, or inside such
@@ -105,7 +109,7 @@ class Element:
     article: bool = False  # an article or inside one
     marks: list[str] = field(default_factory=list)  # texts and children's hashes
     longest: int = 0  # words of the longest paragraph or run of text inside
-    amounts: list[int] = field(default_factory=lambda: [0] * 5)  # see _weigh
+    amounts: list[int] = field(default_factory=lambda: [0] * 6)  # see _amounts
     hash: int = 0
 
 
@@ -114,7 +118,7 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _opened(name: str, attributes: dict[str, str], up: Element) -> Element:
-    e = Element(name, up, name, hard=up.hard or name in FURNITURE, extra=up.extra, suspect=up.suspect, centre=up.centre or name in ("article", "main"), linked=up.linked or name == "a", main=up.main or name == "main")
+    e = Element(name, up, name, hard=up.hard or name in FURNITURE, veil=name == "form", extra=up.extra, suspect=up.suspect, centre=up.centre or name in ("article", "main"), linked=up.linked or name == "a", main=up.main or name == "main")
     if attributes:
         label = f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()
         e.key = f"{name} {label}"
@@ -123,34 +127,37 @@ def _opened(name: str, attributes: dict[str, str], up: Element) -> Element:
             if words and words[0] not in STATES:
                 e.words.update(words)
         role = attributes.get("role", "").lower()
-        e.hard = (
-            e.hard or role in ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true"
+        e.hard = e.hard or role in ROLES
+        e.veil = (
+            e.veil or role == "form" or "hidden" in attributes or attributes.get("aria-hidden") == "true"
             or "display:none" in attributes.get("style", "").replace(" ", "").lower()
         )
         e.extra = e.extra or bool(e.words & EXTRA_WORDS)
         e.suspect = e.suspect or bool(e.words & FURNITURE_WORDS)
         e.main, e.centre = e.main or role == "main", e.centre or role == "main"
+    e.veiled = up.veiled or e.veil
     return e
 
 
-def _weigh(elements: list[Element], pieces: list[tuple[str, Element]]) -> None:
-    """Sets what depends on whole subtrees: the longest run of words, furniture, article, main.
+def _amounts(elements: list[Element], pieces: list[tuple[str, Element]], veiled: bool) -> list[int]:
+    """Sets every element's ``longest`` and ``amounts``, and returns those of the page.
 
-    Furniture words of class and id don't count on an element that holds more than half of the
-    page's prose. That is, the first of these that the page has: long paragraphs outside comments
-    and adverts, words of article and main outside these, any long paragraphs, words not in
-    furniture, words.
+    Amounts are words in long paragraphs outside comments and adverts, words of article and
+    main outside these, words in any long paragraphs, words not in furniture, words, and words
+    in links. Hard furniture counts nothing, nor does what is veiled unless ``veiled``.
     """
     root, n, held = elements[0], 0, []
+    for e in elements:
+        e.amounts = [0] * 6
     for text, e in [*pieces, (None, elements[0])]:
         if text is None:
             if e.name == "br" or not held:
                 continue
             for of, words in held:
                 of.longest = max(of.longest, n)
-                if not of.hard:
+                if not of.hard and (veiled or not of.veiled):
                     long = words if n >= LONG_PROSE else 0
-                    for k, amount in enumerate((long * (not of.extra), words * (of.centre and not of.extra), long, words * (not of.suspect), words)):
+                    for k, amount in enumerate((long * (not of.extra), words * (of.centre and not of.extra), long, words * (not of.suspect), words, words * of.linked)):
                         of.amounts[k] += amount
             n, held = 0, []
         elif not text.isspace():
@@ -162,12 +169,37 @@ def _weigh(elements: list[Element], pieces: list[tuple[str, Element]]) -> None:
         up.longest = max(up.longest, e.longest)
         for k, amount in enumerate(e.amounts):
             up.amounts[k] += amount
-    kind = next((k for k, amount in enumerate(root.amounts) if amount), 4)
+    return root.amounts
+
+
+def _weigh(elements: list[Element], pieces: list[tuple[str, Element]]) -> None:
+    """Sets what depends on whole subtrees: the longest run of words, furniture, article, main.
+
+    Furniture words of class and id don't count on an element that holds more than half of the
+    page's prose, that is, of the first kind of ``_amounts`` that the page has. Within an
+    article, words that tell neither comments nor adverts count only for containers without
+    prose: not for headings and paragraphs, nor where a long paragraph stands and most words
+    are outside links.
+
+    Forms and hidden elements are furniture. But if not a tenth of the page's words stands
+    outside them (a form around the whole page, a body shown by a script), they are it only
+    where they don't hold more than half of the prose.
+    """
+    root = elements[0]
+    every = _amounts(elements, pieces, True)[4] if any(e.veil for e in elements) else 0
+    within = 10 * _amounts(elements, pieces, False)[4] < every
+    if within:
+        _amounts(elements, pieces, True)
+    kind = next((k for k, amount in enumerate(root.amounts[:5]) if amount), 4)
     for e in elements[1:]:
         up = e.parent
         inside = up.article or e.name == "article"
         named = e.name not in ("html", "body") and bool(e.words & FURNITURE_WORDS or not inside and e.words & OUTSIDE_WORDS)
-        e.furniture = up.furniture or e.hard or e.name == "header" and not inside or named and 2 * e.amounts[kind] <= root.amounts[kind]
+        if named and up.article and not e.words & EXTRA_WORDS:
+            named = e.name not in TEXTS and (e.longest < LONG_PROSE or 2 * e.amounts[5] >= e.amounts[4])
+        little = 2 * e.amounts[kind] <= root.amounts[kind]
+        hidden = e.veil and little if within else e.veiled
+        e.furniture = up.furniture or e.hard or hidden or e.name == "header" and not inside or named and little
         e.article = inside and not e.furniture
         e.main = e.main and not e.furniture
 

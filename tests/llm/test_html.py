@@ -112,3 +112,28 @@ def test_shared_passages_in_any_element_stay(spark):
     found = by_id(spark, rows)
     for i, _, html in rows:
         assert found[i] == text(html).removesuffix(" Follow us") and passage in found[i] and "Follow" not in found[i]
+
+
+LONG = " ".join(f"word{k}" for k in range(40))
+
+
+def test_prose_stays_in_forms_hidden_wrappers_and_named_parts_of_an_article():
+    body = f'<nav><a href="/">menu</a></nav><article><h1>Title</h1><p>{LONG}</p><p>end</p></article>'
+    want = f"Title {LONG} end"
+    assert text(f"<body>{body}</body>") == want
+    # the whole page in a form, or shown by a script
+    for wrapper in ('<form id="aspnetForm" method="post">', '<form role="form">', '<div style="display: none">', "<div hidden>", '<div aria-hidden="true">'):
+        name = "form" if "form" in wrapper else "div"
+        assert text(f"<body>{wrapper}{body}</{name}></body>") == want, wrapper
+        box = '<div style="display:none"><p>subscribe now</p></div><form><p>your name</p></form>'
+        assert text(f"<body>{wrapper}{body}{box}</{name}></body>") == want
+    # but not a hidden box or a form beside the text, however long
+    for box in (f"<div hidden><p>{LONG}</p></div>", f"<form><p>{LONG}</p></form>"):
+        assert text(f"<body>{body}{box}</body>") == want
+    # headings, paragraphs and sections with prose
+    inner = f'<h2 id="related-work">Related work</h2><p class="notice">{LONG}</p><h2 id="search">Search</h2><section id="related-work"><p>{LONG}</p></section>'
+    assert text(f"<body><article><p>{LONG} {LONG} {LONG}</p>{inner}</article></body>") == f"{LONG} {LONG} {LONG} Related work {LONG} Search {LONG}"
+    # lists of links, short boxes, comments and adverts are furniture still
+    links = '<section class="related"><ul>' + f'<li><a href="/x">{LONG}</a>' * 3 + "</ul></section>"
+    extra = f'{links}<div class="share">share this</div><p class="advert">{LONG}</p><section class="comments"><p>{LONG}</p></section>'
+    assert text(f"<body><article><p>{LONG} {LONG} {LONG} {LONG} {LONG}</p>{extra}</article></body>") == " ".join([LONG] * 5)
