@@ -26,6 +26,8 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
+# Names, types, keys, updatable columns and references of the raw rows, the
+# warehouse tables and the marts below are the contract that all loads and checks share.
 RAW = _struct(
     ("order_id", LONG),
     ("user_id", LONG),
