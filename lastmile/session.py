@@ -40,7 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured and fallback is None and not sc.master.startswith("local"):
+    if not configured and fallback is None and sc.master != "local" and not sc.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an object store)")
     path = configured or fallback or tempfile.mkdtemp(prefix="lastmile-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
