@@ -1,3 +1,4 @@
+import os
 import re
 import sys
 
@@ -5,11 +6,15 @@ import numpy as np
 import pytest
 
 from lastmile.llm.common import written
+from lastmile.llm.queries import ORACLE_SQL, QUERIES
 
 from texts import rng, text
 
 import corpus_pipeline
 
+ROOT = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 @pytest.fixture
 def tables(spark, documents, tmp_path):
@@ -62,5 +67,17 @@ def test_registered():
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    assert "pipeline" in names and {f"op{k}" for k in range(1, 11)} == {n.split("_")[0] for n in names if re.match(r"op\d", n)}
-    assert {"op7_line_dedup", "op8_license_scan"} <= set(entry.oracle_sql()) and sys.modules["corpus_pipeline"] is corpus_pipeline
+    assert "pipeline" in names and {f"op{k}" for k in range(1, 14)} == {n.split("_")[0] for n in names if re.match(r"op\d", n)}
+    assert {"op7_line_dedup", "op8_license_scan", "op11_vector_code_compression", "op12_chat_formatting", "op13_ranked_lexical_search"} <= set(entry.oracle_sql()) and sys.modules["corpus_pipeline"] is corpus_pipeline
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_match_their_sql(spark, name):
+    sys.path.insert(0, os.path.join(ROOT, "tools"))
+    from compare_oracle import digest, duck
+
+    df = QUERIES[name](spark, SF_SMALL)
+    found = duck(SF_SMALL).execute(ORACLE_SQL[name])
+    columns, rows = [c[0] for c in found.description], found.fetchall()
+    assert sorted(columns) == sorted(df.columns)
+    assert digest(df.columns, [tuple(r) for r in df.collect()])[0] == digest(columns, rows)[0]
