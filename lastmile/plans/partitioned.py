@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from lastmile.operators import checks
 from lastmile.operators.skew import default_share, hot_keys
-from lastmile.plans.incremental import concurrently, merge_table, stored_deltas
+from lastmile.plans.incremental import concurrently, merge_table, stored, stored_deltas
 from lastmile.plans.warehouse import build_all
 from lastmile.schemas import WAREHOUSE
 from lastmile.sources import catalog
@@ -271,11 +271,31 @@ def incremental_load(
     constraint raises before anything is published: single rows and keys in all that is
     written, keys against overlapping months that aren't, references of the slice's rows.
     """
+    folder = manifests.new_folder(root)
+    return upsert(spark, stored_deltas(raw, start, end, f"{folder}/delta"), folder, root, strict, max_broadcast_bytes)
+
+
+def upsert_batch(
+    spark: SparkSession, batch: DataFrame, batch_id: int, root: str, stream: str = "incremental-load", strict: bool = True, max_broadcast_bytes: int = BROADCAST_BYTES
+) -> list[str]:
+    """Upsert one micro-batch of raw rows, once: the manifest that publishes it records its
+    number, so a batch that is sent again changes nothing."""
+    done = manifests.current(spark, root).info.get("streams", {})
+    if batch.isEmpty() or done.get(stream, -1) >= batch_id:
+        return []
+    folder = manifests.new_folder(root)
+    deltas = stored(build_all(batch), f"{folder}/delta")
+    return upsert(spark, deltas, folder, root, strict, max_broadcast_bytes, {"streams": done | {stream: batch_id}})
+
+
+def upsert(
+    spark: SparkSession, deltas: dict[str, DataFrame], folder: str, root: str, strict: bool, max_broadcast_bytes: int, more: dict[str, Any] | None = None
+) -> list[str]:
+    """Merge tables stored under ``folder/delta`` into the published version and publish the
+    next one, with ``more`` in its info; returns the rewritten months."""
     published = manifests.current(spark, root)
     if "dimension_buckets" not in published.info:
         published.info |= {"buckets": 0, "dimension_buckets": DIMENSION_BUCKETS}
-    folder = manifests.new_folder(root)
-    deltas = stored_deltas(raw, start, end, f"{folder}/delta")
     months = touched_months(spark, published, deltas["orders"])
     gone = {n: months for n in FACTS} | concurrently(DIMENSIONS, lambda n: touched_buckets(published, n, deltas[n]))
 
@@ -283,7 +303,7 @@ def incremental_load(
     paths, counted = _write_tables(spark, merged, folder, published.info, nonempty=False)
     written = {n: _resolved(spark, paths, n) for n in WAREHOUSE}
     bounds = concurrently(FACTS, lambda n: month_bounds(spark, paths[n]))
-    info = {"delta": f"{folder}/delta", "full": False}
+    info: dict[str, Any] = {"delta": f"{folder}/delta", "full": False} | (more or {})
     known = published.info.get("bounds", {})
     info["bounds"] = {n: {m: b for m, b in known.get(n, {}).items() if m not in months} | bounds[n] for n in FACTS}
     info["hot_orders"] = _hot(deltas["order_items"], deltas["order_driver_assignments"], known=published.info.get("hot_orders", []))

@@ -243,3 +243,25 @@ def test_writers_of_one_version_dont_share_a_draft(spark, tmp_path, monkeypatch)
     with pytest.raises(RuntimeError, match="published already"):
         manifest.publish(spark, root, manifest.Manifest(1, {"b": {"": "y"}}))
     assert os.listdir(f"{root}/{manifest.FOLDER}").count(real(1)) == 1 and len([f for f in os.listdir(f"{root}/{manifest.FOLDER}") if f.startswith("_")]) == 0
+
+
+def test_a_stream_rewrites_what_its_batches_touch_and_takes_each_once(spark, make_raw, tmp_path):
+    from lastmile.streaming.incremental import start_partitioned_stream
+
+    root, lake = str(tmp_path / "wh"), str(tmp_path / "lake")
+    partitioned.full_load(spark, make_raw([good_row(i, created_at=f"2000-0{1 + i % 3}-05 00:00:00") for i in range(30)]), root)
+    before = manifest.current(spark, root)
+    for k in (1, 2):
+        make_raw([good_row(100 + k, created_at="2000-03-06 00:00:00"), good_row(2, address_text=f"batch {k}", created_at="2000-03-07 00:00:00")]).coalesce(1).write.mode("append").parquet(lake)
+    q = start_partitioned_stream(spark, lake, root, checkpoint_location=str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    after = manifest.current(spark, root)
+    assert after.version == before.version + 2 and after.info["streams"] == {"incremental-load": 1}
+    assert after.paths["orders"]["2000-01-01"] == before.paths["orders"]["2000-01-01"]
+    orders = {r.order_id: r.address_text for r in partitioned.read_tables(spark, root)["orders"].collect()}
+    assert len(orders) == 32 and orders[2].startswith("batch")
+    # a batch that is sent again, and an empty one
+    again = make_raw([good_row(500, created_at="2000-03-06 00:00:00")])
+    assert partitioned.upsert_batch(spark, again, 1, root) == [] and partitioned.upsert_batch(spark, again.limit(0), 2, root) == []
+    assert manifest.current(spark, root) == after
