@@ -125,8 +125,8 @@ _BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
 def _template_rows() -> str:
-    found = {name: bigrams(normalised_words(text)) for name, text in TEMPLATES.items()}
-    return ", ".join(f"('{name}', [{', '.join(repr(x) for x in pairs)}])" for name, pairs in sorted(found.items()))
+    words = {name: normalised_words(text) for name, text in sorted(TEMPLATES.items())}
+    return ", ".join(f"('{name}', {len(w) - 1}, [{', '.join(repr(x) for x in bigrams(w))}])" for name, w in words.items())
 
 
 def _codes_sql(rounds: int = 4) -> str:
@@ -209,20 +209,21 @@ WITH tokens AS (
 )
 SELECT * FROM ranked WHERE rank <= 10""",
     "op8_license_scan": f"""
-WITH templates(license, found) AS (VALUES {_template_rows()}), split AS (
-    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
-), lines AS (
-    SELECT doc_id, unnest(ls) AS t, generate_subscripts(ls, 1) - 1 AS line FROM split
-), worded AS (
-    SELECT doc_id, line, [x FOR x IN string_split(regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') IF x <> ''] AS w FROM lines
+WITH templates(license, span, found) AS (VALUES {_template_rows()}), worded AS (
+    SELECT row_number() OVER () AS r, doc_id, [x FOR x IN string_split(regexp_replace(lower(text), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' ') IF x <> ''] AS w FROM documents
 ), paired AS (
-    SELECT doc_id, line, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS pairs FROM worded
+    SELECT r, doc_id, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))] AS pairs FROM worded
+), placed AS (
+    SELECT r, unnest(pairs) AS pair, unnest(range(len(pairs))) AS start FROM paired
+), hits AS (
+    SELECT r, license, start FROM placed JOIN (SELECT license, unnest(found) AS pair FROM templates) USING (pair)
+), windows AS (
+    SELECT r, doc_id, license, start, found, pairs[start + 1 : start + span] AS own FROM hits JOIN templates USING (license) JOIN paired USING (r)
 ), scored AS (
-    SELECT doc_id, line, license, 2.0::DOUBLE * len(list_intersect(pairs, found)) / (len(pairs) + len(found)) AS dice
-    FROM paired JOIN templates ON len(pairs) >= len(found) * 0.75 / 1.25 AND len(pairs) <= len(found) * 1.25 / 0.75
+    SELECT r, doc_id, license, start, len(own) + 1 AS n_words, 2.0::DOUBLE * len(list_intersect(own, found)) / (len(list_distinct(own)) + len(found)) AS dice FROM windows
 )
-SELECT doc_id, CAST(line AS INT) AS line, 1 AS n_lines, license, dice FROM scored WHERE dice >= 0.75
-QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, license) = 1""",
+SELECT doc_id, license, CAST(start AS INT) AS start, CAST(n_words AS INT) AS n_words, dice FROM scored WHERE dice >= 0.75
+QUALIFY row_number() OVER (PARTITION BY r, license ORDER BY dice DESC, start) = 1""",
     "op7_line_dedup": f"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
