@@ -1,14 +1,19 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
-Units: the ``VOCABULARY`` most frequent training words (the end of a text is one) and, for all
-other words, a group by the word's last two bytes. Classes: runs of ``WIDTH`` vocabulary words
-by frequency, and each group. The model is a class-factored softmax over hashed features of
-the units before: the last one, the last two together, and skips to the second and third last.
+Vocabulary: training words counted at least ``MIN_COUNT`` times (the end of a text is one); it
+grows with the corpus up to the ``VOCABULARY`` most frequent, which bounds the broadcast. Every
+word belongs to a group by its last two bytes, and a group's words outside the vocabulary are
+one leaf of it. Classes: a tree over the groups, and in each group one over its leaves, both by
+frequency (frequent ones near the root). The model is a class-factored softmax: at each node of
+the tree a softmax between its two classes, over hashed features of the history: the word before
+and, down to the group, the group before, the two groups before together, and a skip to the
+second last group.
 
-    p(word | history) = p(class | history) * p(word | class, history)      vocabulary words
-                      = p(group | history) * (c + 1) / (N_group + V_group + 1)     other words
+    p(word | history) = product over the nodes above it of p(class | node, history)
+                        * (c + 1) / (N_group + V_group + 1)     for words outside the vocabulary
 
-where c, N and V are counts over all training texts, so every word of the corpus counts.
+where c, N and V are counts over all training texts, so every word of the corpus counts. Without
+weights a node's softmax gives the shares of its classes in the corpus.
 
 Corpus counts: documents are dealt to blocks by hash. A block sends its distinct word hashes,
 packed, to ``part``s by hash range; a part adds up the blocks' counts and sends each block
@@ -16,8 +21,9 @@ the corpus count of its words, in the order in which they came. A frequent word
 a block, so no key is hot; only fixed-size statistics reach the driver.
 
 Training: every partition of training texts runs AdaGrad over mini-batches from the shared
-weights, and the weights are averaged by tokens: first over a quarter of the texts, then,
-from there, over the others. Scoring runs in numpy batches beside the counts of its block.
+weights; then each weight is averaged over the partitions by its squared slopes there, so that
+what few partitions saw isn't thinned: first over a quarter of the texts, then, from there, over
+the others. Scoring runs in numpy batches beside the counts of its block.
 
 Defined results: null and empty texts are the end token alone; without training texts all
 counts are 0; words are runs of non-blanks with A-Z lower-cased, told apart by 64-bit hashes;
@@ -26,8 +32,9 @@ equal rows get equal rows; an empty table gives none; other columns are not read
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +44,10 @@ from pyspark.sql import functions as F
 from .common import written
 from .tokens import LOWERED, HashIndex, Words, constants, mixed, words
 
-VOCABULARY, WIDTH, GROUPS = 256, 16, 16
-WORD_CLASSES = VOCABULARY // WIDTH
-CLASSES = WORD_CLASSES + GROUPS
-BUCKETS = 1 << 14
-FEATURES = 4
-START = VOCABULARY + GROUPS  # the unit before a text
+VOCABULARY, MIN_COUNT, GROUPS = 1 << 16, 4, 1024
+BITS = 20
+BUCKETS = 1 << BITS
+CHUNKS = 16
 BLOCK_DOCS = 2048
 
 _U = np.uint64
@@ -57,7 +62,7 @@ def _groups(part: Words) -> np.ndarray:
     """The group of each word, by its last two bytes."""
     last = LOWERED[part.data[part.ends - 1]].astype(_U)
     before = np.where(part.ends - part.starts > 1, LOWERED[part.data[np.maximum(part.ends - 2, 0)]], 0).astype(_U)
-    return (mixed(last * _MIX[6] + before * _MIX[7]) % _U(GROUPS)).astype(np.uint8)
+    return (mixed(last * _MIX[6] + before * _MIX[7]) % _U(GROUPS)).astype(np.uint16)
 
 
 def _tokens(part: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -108,205 +113,234 @@ COUNTED = "block int, part int, counts binary, word long, grp int, n long, v lon
 def _count(table: pa.Table) -> pa.Table:
     """Corpus counts back to the blocks; per group its words and tokens; the part's top words."""
     join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    hashes, groups = join("hashes", _U), join("groups", np.uint8)
+    hashes, groups = join("hashes", _U), join("groups", np.uint16)
     found, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
     c = np.bincount(inverse, join("counts", np.int32), len(found)).astype(np.int64)
     each = np.cumsum([0] + [len(x) // 8 for x in table.column("hashes").to_pylist()])
     back = c[inverse]
     blocks = table.column("block").to_pylist()
     part = table.column("part")[0].as_py()
-    rows = [(b, part, _bytes(back[s:e]), None, None, None, None) for b, s, e in zip(blocks, each[:-1], each[1:])]
     group = groups[first]
     n, v = np.bincount(group, c, GROUPS).astype(np.int64), np.bincount(group[c > 0], minlength=GROUPS)
-    rows += [(None, part, None, None, g, int(n[g]), int(v[g])) for g in range(GROUPS)]
     top = np.lexsort((found, -c))[:VOCABULARY]
-    rows += [(None, part, None, int(found[k].view(np.int64)), int(group[k]), int(c[k]), None) for k in top if c[k]]
-    kinds = [pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-    return pa.table([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=["block", "part", "counts", "word", "grp", "n", "v"])
+    top = top[c[top] >= MIN_COUNT]
+    kinds = {"block": pa.int32(), "part": pa.int32(), "counts": pa.binary(), "word": pa.int64(), "grp": pa.int32(), "n": pa.int64(), "v": pa.int64()}
+
+    def rows(many: int, **columns) -> pa.Table:
+        return pa.table([pa.array(columns[k], t) if k in columns else pa.nulls(many, t) for k, t in kinds.items()], names=list(kinds))
+
+    sent = rows(len(blocks), block=blocks, part=[part] * len(blocks), counts=[_bytes(back[s:e]) for s, e in zip(each[:-1], each[1:])])
+    stats = rows(GROUPS, part=[part] * GROUPS, grp=np.arange(GROUPS), n=n, v=v)
+    return pa.concat_tables([sent, stats, rows(len(top), part=[part] * len(top), word=found[top].view(np.int64), grp=group[top], n=c[top])])
 
 
 # -- the model --------------------------------------------------------------------------------
 
 
+def _merged(items: list[tuple[float, int]], parent: np.ndarray, side: np.ndarray, node: int) -> tuple[float, int, int]:
+    """The two lightest are made one, again and again: the last one's mass and number, the next node."""
+    heap = list(items)
+    heapq.heapify(heap)
+    while len(heap) > 1:
+        a, i = heapq.heappop(heap)
+        b, j = heapq.heappop(heap)
+        parent[i] = parent[j] = node
+        side[j] = 1
+        heapq.heappush(heap, (a + b, node))
+        node += 1
+    return *heap[0], node
+
+
+@dataclass
+class Tree:
+    """Classes of classes: the nodes above each leaf, and the side it lies on."""
+
+    starts: np.ndarray  # of each leaf's path, and the end
+    nodes: np.ndarray
+    sides: np.ndarray
+    bias: np.ndarray  # of each node: log of the mass on side 1 over that on side 0
+    low: int  # nodes from here on are above the groups
+
+    @classmethod
+    def of(cls, mass: np.ndarray, group: np.ndarray) -> Tree:
+        """From the leaves' masses and groups; every group has a leaf."""
+        n = len(mass)
+        parent, side = np.zeros(2 * n - 1, np.int64), np.zeros(2 * n - 1, np.int8)
+        order = np.argsort(group, kind="stable")
+        cuts = np.searchsorted(group[order], np.arange(GROUPS + 1))
+        node, tops = n, []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            *top, node = _merged(list(zip(mass[order[a:b]].tolist(), order[a:b].tolist())), parent, side, node)
+            tops.append(tuple(top))
+        low = node - n
+        _merged(tops, parent, side, node)
+        root, total, right = 2 * n - 2, np.concatenate([mass, np.zeros(n - 1)]), np.zeros(n - 1)
+        depth = np.zeros(2 * n - 1, np.int64)
+        for k in range(root):  # children have lower numbers
+            total[parent[k]] += total[k]
+            right[parent[k] - n] += total[k] * side[k]
+        for k in range(root - 1, -1, -1):
+            depth[k] = depth[parent[k]] + 1
+        starts = np.concatenate([[0], np.cumsum(depth[:n])])
+        nodes, sides = np.empty(starts[-1], np.int32), np.empty(starts[-1], np.int8)
+        at, live = np.arange(n), np.arange(n)
+        for level in range(int(depth[:n].max())):
+            nodes[starts[live] + level], sides[starts[live] + level] = parent[at[live]] - n, side[at[live]]
+            at[live] = parent[at[live]]
+            live = live[at[live] != root]
+        return cls(starts, nodes, sides, np.log(right / (total[n:] - right)).astype(np.float32), low)
+
+
 @dataclass
 class Model:
-    """Vocabulary hashes by frequency, log probabilities without history, and weights."""
+    """Vocabulary hashes by frequency, the classes, and weights of hashed features."""
 
     vocabulary: np.ndarray
-    class_bias: np.ndarray
-    word_bias: np.ndarray  # class, place in it
-    group_mass: np.ndarray  # log10(N + V + 1) of each group
+    tree: Tree
+    group_mass: np.ndarray  # log10(N + V + 1) of each group's words outside the vocabulary
     tokens: int
     distinct: int
-    class_weights: np.ndarray
-    word_weights: np.ndarray
+    weights: np.ndarray
 
     def __post_init__(self) -> None:
         self.index = HashIndex(10)
         self.index.add(self.vocabulary, np.arange(len(self.vocabulary), dtype=np.int32))
+        self.node_hashes = mixed(np.arange(len(self.tree.bias), dtype=_U) * _MIX[0] + _MIX[5])
 
-    def units(self, hashes: np.ndarray, groups: np.ndarray) -> np.ndarray:
+    def leaves(self, hashes: np.ndarray, groups: np.ndarray) -> np.ndarray:
+        """The vocabulary's words in order, then the groups."""
         found = self.index.find(hashes)
-        return np.where(found >= 0, found, VOCABULARY + groups.astype(np.int32))
-
-
-def _features(units: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Hashes of the features of every token, one row for each."""
-    starts = np.repeat(bounds[:-1], np.diff(bounds))
-    place = np.arange(len(units)) - starts
-    back = [np.where(place >= k, np.concatenate([np.full(k, START, units.dtype), units[:-k]]) if len(units) > k else np.full(len(units), START, units.dtype), START).astype(_U) for k in (1, 2, 3)]
-    return mixed(np.stack([back[0] * _MIX[0], (back[0] << _U(20) | back[1]) * _MIX[1], back[1] * _MIX[2], back[2] * _MIX[3]]))
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(1, keepdims=True)
-    return x
-
+        return np.where(found >= 0, found, len(self.vocabulary) + groups.astype(np.int32))
 
-def _classes(units: np.ndarray) -> np.ndarray:
-    return np.where(units < VOCABULARY, units // WIDTH, units - VOCABULARY + WORD_CLASSES)
 
+def _before(values: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
+    """The value ``k`` tokens before, 0 where the text begins."""
+    moved = np.zeros_like(values)
+    moved[k:] = values[: max(0, len(values) - k)]
+    moved[place < k] = 0
+    return moved
 
-def _class_rows(features: np.ndarray) -> np.ndarray:
-    return (features % _U(BUCKETS)).astype(np.int64)
 
+def _features(hashes: np.ndarray, groups: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Hashes of the features of every token, one row for each."""
+    place = np.arange(len(hashes)) - np.repeat(bounds[:-1], np.diff(bounds))
+    word, (one, two) = _before(hashes, place, 1), (_before(groups.astype(_U) + _U(1), place, k) for k in (1, 2))
+    return mixed(np.stack([word * _MIX[0] + _MIX[4], one * _MIX[1], (one << _U(20) | two) * _MIX[2], two * _MIX[3]]))
 
-def _word_rows(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    return (mixed(features + classes.astype(_U) * _MIX[5]) % _U(BUCKETS)).astype(np.int64)
 
+def _paths(model: Model, features: np.ndarray, leaves: np.ndarray) -> tuple:
+    """Nodes and sides above the leaves, the features' buckets there, and where each path begins.
 
-def _summed(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    x = weights[rows[0]]
-    for r in rows[1:]:
-        x += weights[r]
+    The first feature counts at every node, the others at those above the groups (``top``).
+    """
+    tree = model.tree
+    begin = tree.starts[leaves]
+    length = tree.starts[leaves + 1] - begin
+    ends = np.cumsum(length)
+    token = np.repeat(np.arange(len(leaves)), length)
+    at = np.arange(len(token)) + np.repeat(begin - ends + length, length)
+    nodes = tree.nodes[at]
+    top = np.flatnonzero(nodes >= tree.low)
+    salt = model.node_hashes[nodes]
+    bucket = lambda x: ((x * _MIX[7]) >> _U(64 - BITS)).view(np.int64)
+    salt_top, token_top = salt[top], token[top]
+    buckets = [bucket(features[0][token] ^ salt)] + [bucket(f[token_top] ^ salt_top) for f in features[1:]]
+    return nodes, tree.sides[at], buckets, top, ends - length
+
+
+def _logits(model: Model, weights: np.ndarray, nodes: np.ndarray, buckets: list[np.ndarray], top: np.ndarray) -> np.ndarray:
+    x = model.tree.bias[nodes] + weights[buckets[0]]
+    above = x[top]
+    for b in buckets[1:]:
+        above += weights[b]
+    x[top] = above
     return x
 
 
-def log_probabilities(model: Model, units: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """log10 p(class | history), with log10 p(word | class, history) for vocabulary words."""
-    features = _features(units, bounds)
-    out = np.empty(len(units))
-    for lo in range(0, len(units), 1 << 14):
-        f, u = features[:, lo : lo + (1 << 14)], units[lo : lo + (1 << 14)]
-        classes = _classes(u)
-        p = _softmax(_summed(model.class_weights, _class_rows(f)) + model.class_bias)
-        found = p[np.arange(len(u)), classes].astype(float)
-        known = np.flatnonzero(u < VOCABULARY)
-        if len(known):
-            k = classes[known]
-            p = _softmax(_summed(model.word_weights, _word_rows(f[:, known], k)) + model.word_bias[k])
-            found[known] *= p[np.arange(len(known)), u[known] % WIDTH]
-        out[lo : lo + (1 << 14)] = np.log10(np.maximum(found, 1e-30))
+def log_probabilities(model: Model, hashes: np.ndarray, groups: np.ndarray, leaves: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """log10 p(leaf | history) of every token."""
+    features, out = _features(hashes, groups, bounds), np.empty(len(leaves))
+    for lo in range(0, len(leaves), 1 << 13):
+        cut = slice(lo, lo + (1 << 13))
+        nodes, sides, buckets, top, begin = _paths(model, features[:, cut], leaves[cut])
+        x = _logits(model, model.weights, nodes, buckets, top)
+        out[cut] = -np.add.reduceat(np.logaddexp(0, np.where(sides > 0, -x, x)), begin, dtype=float) / np.log(10)
     return out
 
 
-def _step(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, slope: np.ndarray, rate: float) -> None:
-    """One AdaGrad step: ``slope`` holds a row for each token, ``rows`` its features' buckets."""
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    ranked = flat[order]
-    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
-    total = np.add.reduceat(slope[order % rows.shape[1]], first, axis=0)
-    at = ranked[first]
-    squares[at] += total * total
-    weights[at] -= rate * total / np.sqrt(squares[at])
-
-
-def learn(model: Model, class_weights: np.ndarray, word_weights: np.ndarray, squares: list[np.ndarray], units: np.ndarray, bounds: np.ndarray, rate: float, batch: int) -> None:
-    features = _features(units, bounds)
-    for lo in range(0, len(units), batch):
-        f, u = features[:, lo : lo + batch], units[lo : lo + batch]
-        classes = _classes(u)
-        rows = _class_rows(f)
-        slope = _softmax(_summed(class_weights, rows) + model.class_bias)
-        slope[np.arange(len(u)), classes] -= 1
-        _step(class_weights, squares[0], rows, slope, rate)
-        known = np.flatnonzero(u < VOCABULARY)
-        if len(known):
-            k = classes[known]
-            rows = _word_rows(f[:, known], k)
-            slope = _softmax(_summed(word_weights, rows) + model.word_bias[k])
-            slope[np.arange(len(known)), u[known] % WIDTH] -= 1
-            _step(word_weights, squares[1], rows, slope, rate)
+def learn(model: Model, weights: np.ndarray, squares: np.ndarray, hashes: np.ndarray, groups: np.ndarray, leaves: np.ndarray, bounds: np.ndarray, rate: float, batch: int) -> None:
+    """AdaGrad steps over mini-batches of tokens."""
+    features = _features(hashes, groups, bounds)
+    for lo in range(0, len(leaves), batch):
+        nodes, sides, buckets, top, _ = _paths(model, features[:, lo : lo + batch], leaves[lo : lo + batch])
+        x = _logits(model, weights, nodes, buckets, top)
+        slope = 1 / (1 + np.exp(np.minimum(-x, 80))) - sides
+        for k, b in enumerate(buckets):
+            s = slope if k == 0 else slope[top]
+            np.add.at(squares, b, s * s)
+            np.add.at(weights, b, -rate * s / np.sqrt(squares[b]))
+
+
+UPDATES = "chunk int, weights binary, squares binary"
 
 
 def _train_partition(sent, rate: float, batch: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
-        own = [model.class_weights.copy(), model.word_weights.copy()]
-        squares = [np.full_like(w, 1.0) for w in own]
-        seen = 0
+        own, squares, seen = model.weights.copy(), np.ones(BUCKETS, np.float32), False
         for records in batches:
             for part in words(records.column(0)):
                 hashes, groups, bounds = _tokens(part)
-                learn(model, *own, squares, model.units(hashes, groups), bounds, rate, batch)
-                seen += len(hashes)
+                learn(model, own, squares, hashes, groups, model.leaves(hashes, groups), bounds, rate, batch)
+                seen = True
         if seen:
-            flat = np.concatenate([w.ravel() for w in own])
-            chunks = np.array_split(flat, 16)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(16), pa.int32()), pa.array([seen] * 16, pa.int64()), pa.array([_bytes(c) for c in chunks], pa.binary())], names=["chunk", "seen", "weights"]
-            )
+            shares = np.minimum(squares - 1, 60_000).astype(np.float16)
+            for k, (w, q) in enumerate(zip(np.array_split(own, CHUNKS), np.array_split(shares, CHUNKS))):
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([_bytes(w)], pa.binary()), pa.array([_bytes(q)], pa.binary())], names=["chunk", "weights", "squares"])
 
     return run
 
 
 def _average(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total, seen = 0.0, 0
+    """Means by squared slopes; not a number where no partition moved a weight."""
+    total, share = 0.0, 0.0
     for records in batches:
-        for n, w in zip(records.column("seen").to_pylist(), records.column("weights").to_pylist()):
-            total = total + n * np.frombuffer(w, np.float32).astype(np.float64)
-            seen += n
-    mean = (total / seen).astype(np.float32)
+        for w, q in zip(records.column("weights"), records.column("squares")):
+            q = np.frombuffer(q.as_py(), np.float16).astype(np.float64)
+            total, share = total + q * np.frombuffer(w.as_py(), np.float32), share + q
+    with np.errstate(invalid="ignore"):
+        mean = (total / share).astype(np.float32)
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([_bytes(mean)], pa.binary())], names=["chunk", "weights"])
 
 
-def trained(model: Model, texts: DataFrame, rate: float = 0.1, batch: int = 2048) -> Model:
+def trained(model: Model, texts: DataFrame, rate: float = 0.2, batch: int = 4096) -> Model:
     """The model after two rounds of distributed updates over ``texts`` (one column)."""
     spark = texts.sparkSession
     first = F.pmod(F.xxhash64(texts.columns[0]), F.lit(4)) == 0
     for round_ in (texts.filter(first), texts.filter(~first)):
         sent = spark.sparkContext.broadcast(model)
-        updates = round_.mapInArrow(_train_partition(sent, rate, batch), "chunk int, seen long, weights binary")
+        updates = round_.mapInArrow(_train_partition(sent, rate, batch), UPDATES)
         means = updates.groupBy("chunk").applyInArrow(_average, "chunk int, weights binary").collect()
         if means:
-            flat = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(means, key=lambda r: r["chunk"])])
-            cut = model.class_weights.size
-            model = Model(
-                model.vocabulary, model.class_bias, model.word_bias, model.group_mass, model.tokens, model.distinct,
-                flat[:cut].reshape(model.class_weights.shape).copy(), flat[cut:].reshape(model.word_weights.shape).copy(),
-            )
+            mean = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(means, key=lambda r: r["chunk"])])
+            model = replace(model, weights=np.where(np.isnan(mean), model.weights, mean))
         sent.unpersist()
     return model
 
 
 def _untrained(counted: DataFrame) -> Model:
-    """Vocabulary and probabilities without history, from the counted statistics."""
+    """Vocabulary, classes and their shares, from the counted statistics."""
     stats = counted.filter("word IS NULL AND grp IS NOT NULL").groupBy("grp").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
-    top = counted.filter("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word", "grp", "n").collect()
+    top = counted.filter("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(VOCABULARY).select("word", "grp", "n").toArrow()
     n, v = np.zeros(GROUPS), np.zeros(GROUPS)
     for r in stats:
         n[r["grp"]], v[r["grp"]] = r["n"], r["v"]
     tokens, distinct = int(n.sum()), int(v.sum())
-    vocabulary = np.array([r["word"] for r in top], np.int64).view(_U)
-    if END not in vocabulary:  # no training text, or a vocabulary of longer texts' words alone
-        vocabulary = np.append(vocabulary[: VOCABULARY - 1], END)
-        top = top[: VOCABULARY - 1]
-    counts = np.zeros(VOCABULARY)
-    for k, r in enumerate(top):
-        counts[k] = r["n"]
-        n[r["grp"]] -= r["n"]
-        v[r["grp"]] -= 1
-    counts[: len(vocabulary)] += 1
-    by_class = counts.reshape(WORD_CLASSES, WIDTH)
-    with np.errstate(divide="ignore"):
-        word_bias = np.where(by_class > 0, np.log(by_class / np.maximum(by_class.sum(1, keepdims=True), 1)), -30.0)
-    mass = np.concatenate([by_class.sum(1), n + v + 1])
-    class_bias = np.log(np.maximum(mass, 1e-9) / mass.sum())
-    zeros = lambda width: np.zeros((BUCKETS, width), np.float32)
-    return Model(vocabulary, class_bias.astype(np.float32), word_bias.astype(np.float32), np.log10(n + v + 1), tokens, distinct, zeros(CLASSES), zeros(WIDTH))
+    word, group, count = (top.column(k).to_numpy() for k in ("word", "grp", "n"))
+    n -= np.bincount(group, count, GROUPS)
+    v -= np.bincount(group, minlength=GROUPS)
+    tree = Tree.of(np.concatenate([count + 1.0, n + v + 1]), np.concatenate([group, np.arange(GROUPS)]))
+    return Model(word.view(_U), tree, np.log10(n + v + 1), tokens, distinct, np.zeros(BUCKETS, np.float32))
 
 
 SCORED = "{id} {id_type}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -329,9 +363,9 @@ def _score(sent, id_col: str):
             hashes, groups, bounds = _tokens(part)
             c = corpus[index.find(hashes)].astype(float)
             logs = np.log10(c + 1)
-            units = model.units(hashes, groups)
-            p = log_probabilities(model, units, bounds)
-            p += np.where(units < VOCABULARY, 0.0, logs - model.group_mass[groups])
+            leaves = model.leaves(hashes, groups)
+            p = log_probabilities(model, hashes, groups, leaves, bounds)
+            p += np.where(leaves < len(model.vocabulary), 0.0, logs - model.group_mass[groups])
             for column, values in zip(out, (np.ones(len(c)), c > 0, logs - every, p)):
                 column.append(np.add.reduceat(values, bounds[:-1], dtype=float))
         n, known, base, score = (np.concatenate(x) for x in out)

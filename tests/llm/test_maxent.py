@@ -57,43 +57,80 @@ def test_repeated_rows_null_ids_and_no_training(spark, documents):
     assert lm_scores(documents(), F.lit(True)).count() == 0
 
 
-def test_probabilities_of_all_classes_and_words_sum_to_one():
-    r = np.random.default_rng(1)
-    counted = maxent.Model(
-        np.arange(1, maxent.VOCABULARY + 1, dtype=np.uint64), r.normal(size=maxent.CLASSES).astype(np.float32),
-        r.normal(size=(maxent.WORD_CLASSES, maxent.WIDTH)).astype(np.float32), np.zeros(maxent.GROUPS), 1, 1,
-        r.normal(size=(maxent.BUCKETS, maxent.CLASSES)).astype(np.float32), r.normal(size=(maxent.BUCKETS, maxent.WIDTH)).astype(np.float32),
-    )
-    history = [5, 260, 17]
-    total = 0.0
-    for unit in range(maxent.VOCABULARY + maxent.GROUPS):
-        total += 10 ** maxent.log_probabilities(counted, np.array([*history, unit], np.int32), np.array([0, 4]))[-1]
+def small_model(words=300, seed=1, weights=True):
+    """Words 1 to ``words``, word k in group k % 40 and counted about ``1000 / k`` times."""
+    r = np.random.default_rng(seed)
+    vocabulary = np.arange(1, words + 1, dtype=np.uint64)
+    tree = maxent.Tree.of(np.concatenate([1000.0 / vocabulary + 1, np.ones(maxent.GROUPS)]), np.concatenate([vocabulary.astype(int) % 40, np.arange(maxent.GROUPS)]))
+    drawn = r.normal(size=maxent.BUCKETS).astype(np.float32) if weights else np.zeros(maxent.BUCKETS, np.float32)
+    return maxent.Model(vocabulary, tree, np.zeros(maxent.GROUPS), 1, 1, drawn)
+
+
+def sequence(model, hashes):
+    hashes = np.array(hashes, np.uint64)
+    groups = (hashes % np.uint64(40)).astype(np.uint16)
+    return hashes, groups, model.leaves(hashes, groups)
+
+
+def test_probabilities_of_all_leaves_sum_to_one():
+    model = small_model()
+    hashes, groups, leaves = sequence(model, [5, 299, 100_000, 17])
+    every = np.arange(len(model.vocabulary) + maxent.GROUPS)
+    total = sum(10 ** maxent.log_probabilities(model, hashes, groups, np.append(leaves[:3], leaf), np.array([0, 4]))[-1] for leaf in every)
     assert abs(total - 1) < 1e-4
 
 
+def test_without_weights_leaves_have_their_shares_and_frequent_ones_short_paths():
+    model = small_model(weights=False)
+    mass = np.concatenate([1000.0 / model.vocabulary + 1, np.ones(maxent.GROUPS)])
+    hashes, groups, leaves = sequence(model, np.arange(1, 301))
+    assert np.allclose(10 ** maxent.log_probabilities(model, hashes, groups, leaves, np.array([0, 300])), (mass / mass.sum())[:300], rtol=1e-4)
+    assert np.diff(model.tree.starts)[0] < np.diff(model.tree.starts)[299]
+
+
+def test_a_score_equals_a_plain_walk_of_the_tree():
+    model, tree = small_model(), small_model().tree
+    hashes, groups, leaves = sequence(model, [5, 7, 7, 100_000, 3, 44])
+    bounds, features = np.array([0, 2, 6]), maxent._features(hashes, groups, np.array([0, 2, 6]))
+    expected = []
+    for t, leaf in enumerate(leaves):
+        p = 1.0
+        for k in range(tree.starts[leaf], tree.starts[leaf + 1]):
+            node, x = int(tree.nodes[k]), float(tree.bias[tree.nodes[k]])
+            for f in range(4 if node >= tree.low else 1):
+                key = (int(features[f, t]) ^ int(model.node_hashes[node])) * int(maxent._MIX[7]) % 2**64
+                x += float(model.weights[key >> (64 - maxent.BITS)])
+            p *= 1 / (1 + math.exp(-x if tree.sides[k] else x))
+        expected.append(math.log10(p))
+    assert np.allclose(maxent.log_probabilities(model, hashes, groups, leaves, bounds), expected, rtol=1e-4)
+
+
 def test_updates_lower_the_loss():
     r = np.random.default_rng(2)
-    units = np.tile(np.array([3, 200, 260, 7], np.int32), 500)
-    units[r.random(len(units)) < 0.1] = 9
-    zeros = lambda *shape: np.zeros(shape, np.float32)
-    model = maxent.Model(
-        np.arange(1, 257, dtype=np.uint64), zeros(maxent.CLASSES), zeros(maxent.WORD_CLASSES, maxent.WIDTH), np.zeros(maxent.GROUPS), 1, 1,
-        zeros(maxent.BUCKETS, maxent.CLASSES), zeros(maxent.BUCKETS, maxent.WIDTH),
-    )
-    before = maxent.log_probabilities(model, units, np.array([0, len(units)])).sum()
-    squares = [np.ones_like(model.class_weights), np.ones_like(model.word_weights)]
-    maxent.learn(model, model.class_weights, model.word_weights, squares, units, np.array([0, len(units)]), 0.1, 256)
-    assert maxent.log_probabilities(model, units, np.array([0, len(units)])).sum() > 0.5 * before
+    model = small_model(weights=False)
+    hashes = np.tile(np.array([3, 200, 260, 7]), 500)
+    hashes[r.random(len(hashes)) < 0.1] = 9
+    given, bounds = sequence(model, hashes), np.array([0, len(hashes)])
+    before = maxent.log_probabilities(model, *given, bounds).sum()
+    maxent.learn(model, model.weights, np.ones(maxent.BUCKETS, np.float32), *given, bounds, 0.2, 256)
+    assert maxent.log_probabilities(model, *given, bounds).sum() > 0.5 * before
+
+
+def test_weights_are_averaged_where_they_moved():
+    rows = lambda w, q: pa.record_batch([pa.array([0], pa.int32()), pa.array([np.array(w, np.float32).tobytes()]), pa.array([np.array(q, np.float16).tobytes()])], names=["chunk", "weights", "squares"])
+    out = next(maxent._average((pa.scalar(0),), iter([rows([1, 5, 0], [1, 0, 0]), rows([3, 2, 0], [3, 2, 0])])))
+    mean = np.frombuffer(out.column("weights")[0].as_py(), np.float32)
+    assert mean[:2].tolist() == [2.5, 2.0] and np.isnan(mean[2])
 
 
 def test_features_stop_at_the_start_of_a_text():
-    units = np.array([1, 2, 3, 4], np.int32)
-    both = maxent._features(np.concatenate([units, units]), np.array([0, 4, 8]))
+    hashes, groups = np.array([1, 2, 3, 4] * 2, np.uint64), np.array([1, 2, 3, 4] * 2, np.uint16)
+    both = maxent._features(hashes, groups, np.array([0, 4, 8]))
     assert (both[:, :4] == both[:, 4:]).all()
 
 
 def test_counts_beyond_32_bits_reach_the_blocks():
-    most, hashes, groups = 2**31 - 1, np.array([7], np.uint64).tobytes(), np.zeros(1, np.uint8).tobytes()
+    most, hashes, groups = 2**31 - 1, np.array([7], np.uint64).tobytes(), np.zeros(1, np.uint16).tobytes()
     counts = np.array([most], np.int32).tobytes()
     packs = pa.table({"block": pa.array([0, 1], pa.int32()), "part": pa.array([0, 0], pa.int32()), "hashes": [hashes] * 2, "counts": [counts] * 2, "groups": [groups] * 2})
     found = maxent._count(packs).to_pylist()
