@@ -48,6 +48,7 @@ VOCABULARY, MIN_COUNT, GROUPS = 1 << 16, 4, 1024
 BITS = 20
 BUCKETS = 1 << BITS
 CHUNKS = 16
+TASK_TOKENS = 4_000_000  # training tokens for each copy of the weights that is sent
 BLOCK_DOCS = 2048
 
 _U = np.uint64
@@ -316,10 +317,11 @@ def _average(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def trained(model: Model, texts: DataFrame, rate: float = 0.2, batch: int = 4096) -> Model:
     """The model after two rounds of distributed updates over ``texts`` (one column)."""
     spark = texts.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-model.tokens // TASK_TOKENS))
     first = F.pmod(F.xxhash64(texts.columns[0]), F.lit(4)) == 0
     for round_ in (texts.filter(first), texts.filter(~first)):
         sent = spark.sparkContext.broadcast(model)
-        updates = round_.mapInArrow(_train_partition(sent, rate, batch), UPDATES)
+        updates = round_.coalesce(tasks).mapInArrow(_train_partition(sent, rate, batch), UPDATES)
         means = updates.groupBy("chunk").applyInArrow(_average, "chunk int, weights binary").collect()
         if means:
             mean = np.concatenate([np.frombuffer(r["weights"], np.float32) for r in sorted(means, key=lambda r: r["chunk"])])
