@@ -4,18 +4,26 @@
 their keys, nation through the customer), one raw row per line item. The column
 rules are fixed so the DuckDB oracle can rebuild the same table (see FIXTURES.md §4).
 
-Join shape: lines meet orders first (sort-merge on the order key); customers (with
-nation and region), parts and suppliers join afterwards. Spark broadcasts each
-dimension only when its size estimate is under the broadcast threshold.
+Join shape: what belongs to a line (part, supplier) joins the lines and what belongs to an
+order (customer) joins the orders, so no dimension makes the widest rows move. Then lines meet
+orders, sort-merged on the order key, and nation and region join where the rows are. Spark
+broadcasts nation and region only when their size estimate is under the broadcast threshold,
+and suppliers' keys are broadcast when, counted, they take at most ``BROADCAST_BYTES``.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lastmile.functions.conform import conform
+from lastmile.operators.skew import default_share, hot_keys
 from lastmile.schemas import RAW
+from lastmile.session import ensure_checkpoint_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
@@ -89,32 +97,106 @@ RAW_EXPRESSIONS = {
 }
 
 
-def raw_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: Lines of one task in the join by order id, whatever the input's size.
+LINES_PER_TASK = 250_000
+#: Suppliers' keys of at most so many bytes (24 a row) are broadcast.
+BROADCAST_BYTES = 64 << 20
+#: Raw columns that only an item's part knows.
+ITEM_NAMES = ("item_title", "item_category")
+
+
+def hot_order_ids(spark: SparkSession, sf_dir: str) -> list:
+    """Orders that hold a large share of the lines, or are there very often: found in the key
+    columns of the two tables, before any join."""
     t = read_tables(spark, sf_dir)
-    part_count = t["part"].select(F.count(F.lit(1))).scalar()
-
-    customers = (
-        t["customer"]
-        .join(t["nation"], F.expr("c_nationkey = n_nationkey"))
-        .join(t["region"], F.expr("n_regionkey = r_regionkey"))
-        .select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "n_name", "r_name")
-    )
-    # Lines and orders are the two fact-sized tables: they are sort-merge joined on the
-    # order key (the plan Spark picks for them at scale anyway, stated as a hint so
-    # small inputs get it too). The rows come out hash-partitioned by order id, which
-    # the order-keyed windows and aggregations downstream reuse without a re-shuffle.
-    # The string-heavy dimensions join afterwards (broadcast when Spark's size check
-    # allows, sort-merge otherwise).
-    rows = (
-        t["lineitem"]
-        .join(t["orders"].hint("merge"), F.expr("l_orderkey = o_orderkey"))
-        .join(customers, F.expr("o_custkey = c_custkey"))
-        .join(t["part"], F.expr("l_partkey = p_partkey"))
-        .join(t["supplier"], F.expr("l_suppkey = s_suppkey"))
-        .withColumn("__part_count", part_count)
-    )
-    raw = rows.selectExpr(*[f"{RAW_EXPRESSIONS[f.name]} AS {f.name}" for f in RAW.fields])
-    return conform(raw, RAW)
+    keys = [t["lineitem"].selectExpr("l_orderkey AS order_id"), t["orders"].selectExpr("o_orderkey AS order_id")]
+    return list(dict.fromkeys(k for df in keys for k in hot_keys(df.filter("order_id IS NOT NULL"), ["order_id"], default_share(df))))
+
+
+def order_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks of the join by order id: as many as the lines fill, and one for each core."""
+    lines = read_tables(spark, sf_dir)["lineitem"].count()
+    return max(spark.sparkContext.defaultParallelism, math.ceil(lines / LINES_PER_TASK))
+
+
+def joined_rows(spark: SparkSession, sf_dir: str, tasks: int = 0, item_names: bool = True) -> DataFrame:
+    """The source columns of one raw row each; with ``tasks``, dealt by order id to so many.
+
+    Parts and customers, the smaller sides, are hashed, so the lines and orders that meet them
+    aren't sorted. The two fact-sized tables are sort-merge joined on the order key (the plan Spark picks
+    for them at scale anyway, stated as a hint so small inputs get it too). The rows come
+    out hash-partitioned by order id, which the order-keyed windows and aggregations
+    downstream reuse without a re-shuffle.
+    """
+    t = read_tables(spark, sf_dir)
+    suppliers = t["supplier"].select("s_suppkey")
+    if 24 * suppliers.count() <= BROADCAST_BYTES:
+        suppliers = F.broadcast(suppliers)
+    parts = t["part"] if item_names else t["part"].drop("p_name", "p_type")
+    lines = t["lineitem"].join(suppliers, F.expr("l_suppkey = s_suppkey")).join(parts.hint("shuffle_hash"), F.expr("l_partkey = p_partkey"))
+    placed = t["orders"].join(t["customer"].hint("shuffle_hash"), F.expr("o_custkey = c_custkey"))
+    if tasks:
+        lines, placed = lines.repartition(tasks, "l_orderkey"), placed.repartition(tasks, "o_orderkey")
+    rows = lines.join(placed.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+    # one after the other: Spark takes the size of two tables' join for the product of theirs
+    return rows.join(t["nation"], F.expr("c_nationkey = n_nationkey")).join(t["region"], F.expr("n_regionkey = r_regionkey"))
+
+
+def _raw_of(rows: DataFrame, part: DataFrame) -> DataFrame:
+    """Raw rows from their source columns (without the item's names, if those lack them)."""
+    named = {"p_name", "p_type"} <= set(rows.columns)
+    schema = T.StructType([f for f in RAW.fields if named or f.name not in ITEM_NAMES])
+    counted = rows.withColumn("__part_count", part.select(F.count(F.lit(1))).scalar())
+    return conform(counted.selectExpr(*[f"{RAW_EXPRESSIONS[f.name]} AS {f.name}" for f in schema.fields]), schema)
+
+
+def raw_from_tables(spark: SparkSession, sf_dir: str, hot: list | None = None) -> DataFrame:
+    """The raw rows, derived when they are read. ``hot`` lists the orders of very many lines,
+    if the caller knows them: with some, adaptive execution sizes and splits the join's tasks."""
+    hot = hot_order_ids(spark, sf_dir) if hot is None else hot
+    rows = joined_rows(spark, sf_dir, 0 if hot else order_tasks(spark, sf_dir))
+    return _raw_of(rows, read_tables(spark, sf_dir)["part"])
+
+
+#: What raw rows are made from (the keys that equal another one aren't stored twice).
+_STORED = {
+    "o_orderkey": "o_orderkey", "o_custkey": "o_custkey", "c_custkey": "o_custkey", "c_name": "c_name", "c_nationkey": "c_nationkey",
+    "c_mktsegment": "c_mktsegment", "o_orderstatus": "o_orderstatus", "o_orderdate": "o_orderdate", "o_orderpriority": "o_orderpriority",
+    "n_name": "n_name", "r_name": "r_name", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey", "s_suppkey": "l_suppkey",
+    "l_linenumber": "l_linenumber", "l_quantity": "l_quantity", "l_discount": "l_discount", "l_returnflag": "l_returnflag",
+    "l_linestatus": "l_linestatus", "l_shipdate": "l_shipdate", "p_retailprice": "p_retailprice", "p_name": "p_name", "p_type": "p_type",
+}
+
+
+def stored_raw(spark: SparkSession, sf_dir: str, item_names: bool = True) -> DataFrame:
+    """The raw rows for work that reads them more than once: joined once, and written under
+    the checkpoint folder in buckets of the order id.
+
+    Every read takes the columns it needs, and order-keyed work on them needs no shuffle.
+    Without ``item_names`` the rows lack the title and category that ``raw_items`` gives.
+    Spark writes buckets only as a table, so an external one stands in the catalog until the
+    rows are read from its files.
+    """
+    tasks = order_tasks(spark, sf_dir)
+    name = f"lastmile_rows_{uuid.uuid4().hex}"
+    columns = [c for c in dict.fromkeys(_STORED.values()) if item_names or c not in ("p_name", "p_type")]
+    rows = joined_rows(spark, sf_dir, tasks, item_names).select(*columns)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+    try:
+        rows.write.format("parquet").bucketBy(tasks, "o_orderkey").sortBy("o_orderkey").option("path", path).saveAsTable(name)
+        found = spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    found = found.selectExpr(*[f"{stored} AS {column}" for column, stored in _STORED.items() if stored in columns])
+    return _raw_of(found, read_tables(spark, sf_dir)["part"])
+
+
+def raw_items(spark: SparkSession, sf_dir: str, raw: DataFrame) -> DataFrame:
+    """(item_id, item_title, item_category) of the items in ``raw``: of each, every variant
+    that raw rows show, once for each of its rows in ``part``."""
+    found = raw.select("item_id").distinct()
+    items = read_tables(spark, sf_dir)["part"].join(found, F.expr("p_partkey = item_id"), "left_semi")
+    return items.selectExpr("p_partkey AS item_id", *[f"{RAW_EXPRESSIONS[c]} AS {c}" for c in ITEM_NAMES])
 
 
 # Rows of the slice as a later run would send them (FIXTURES.md §4): attributes of
@@ -154,13 +236,21 @@ def _replaced(raw: DataFrame, rules: dict[str, str], when: str | None = None) ->
             return name
         return f"{rules[name]} AS {name}" if when is None else f"CASE WHEN {when} THEN {rules[name]} ELSE {name} END AS {name}"
 
-    return conform(raw.selectExpr(*[sql(f.name) for f in RAW.fields]), RAW)
+    schema = T.StructType([f for f in RAW.fields if f.name in raw.columns])
+    others = [c for c in raw.columns if c not in RAW.names]
+    replaced = raw.selectExpr(*others, *[sql(f.name) for f in schema.fields])
+    return replaced if others else conform(replaced, schema)
 
 
 def with_resent_rows(raw: DataFrame) -> DataFrame:
-    """``raw`` with the slice's attributes changed and earlier orders sent again in it."""
-    earlier = raw.filter("created_at < TIMESTAMP_NTZ'2000-01-01 00:00:00' AND order_id % 10 = 0")
-    return _replaced(raw.unionByName(_replaced(earlier, RESENT)), CHANGED, IN_SLICE)
+    """``raw`` with the slice's attributes changed and earlier orders sent again in it.
+
+    A row that is sent again becomes two where it is, so ``raw`` is read once and stays
+    partitioned as it was.
+    """
+    again = "created_at < TIMESTAMP_NTZ'2000-01-01 00:00:00' AND order_id % 10 = 0"
+    sent = raw.withColumn("__again", F.expr(f"explode(CASE WHEN {again} THEN array(false, true) ELSE array(false) END)"))
+    return _replaced(conform(_replaced(sent, RESENT, "__again").drop("__again"), raw.schema), CHANGED, IN_SLICE)
 
 
 def flawed_rows(raw: DataFrame) -> DataFrame:
