@@ -9,7 +9,8 @@ a block keeps padding. Nothing is shuffled; hot sources or keys play no part.
 
 Tokens: white space separates words before the tokenizer does anything that could join
 them, so a text's ids are those of its words. Each worker keeps a bounded table of the words
-it has met.
+it has met; when that is full, words that were met once go. New words are encoded some at a
+time, joined by spaces, and told apart by the ids' offsets.
 
 Defined results: null and empty texts are the end token alone; documents longer than the
 capacity become several pieces; equal rows are packed as separate documents; an empty table
@@ -30,33 +31,72 @@ from pyspark.sql import DataFrame
 
 from .tokens import HashIndex, Words, words
 
+_U = np.uint64
+
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, cost double"
 
 
 class WordIds:
     """Token ids of words, each distinct word encoded once while the table has room."""
 
+    JOINED = 64  # words encoded as one text
+
     def __init__(self, path: str, most: int = 1 << 20) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most, self.index = Tokenizer.from_file(path), most, HashIndex()
-        self._forget()
+        self._keep(np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.uint32))
 
-    def _forget(self) -> None:
+    def _keep(self, hashes: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        """The table holds these words and no others."""
+        n = len(hashes)
         self.index.clear()
-        self.at, self.pool = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.index.add(hashes, np.arange(n, dtype=np.int32))
+        self.hashes, self.lengths, self.pool, self.filled = hashes.copy(), lengths.copy(), ids.copy(), len(ids)
+        self.starts, self.again = np.cumsum(lengths) - lengths, np.zeros(n, bool)
+
+    def _forget(self) -> None:
+        """Words that were met again stay, as long as they leave half of the room."""
+        kept = np.flatnonzero(self.again[: self.index.count])[: self.most // 2]
+        self._keep(self.hashes[kept], self.lengths[kept], self._ids(kept))
+
+    def _ids(self, n: np.ndarray) -> np.ndarray:
+        """The ids of words by their numbers, one after the other."""
+        lengths = np.take(self.lengths, n)
+        ends = np.cumsum(lengths)
+        at = np.arange(ends[-1] if len(ends) else 0)
+        at += np.repeat(np.take(self.starts, n) - (ends - lengths), lengths)
+        return np.take(self.pool, at)
+
+    def _encoded(self, said: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Each word's number of ids, and the ids."""
+        joined = [said[k : k + self.JOINED] for k in range(0, len(said), self.JOINED)]
+        ids, word, base = [], [], 0
+        for some, e in zip(joined, self.tokenizer.encode_batch([" ".join(x) for x in joined], add_special_tokens=False)):
+            begin = np.cumsum([0] + [len(w) + 1 for w in some[:-1]])
+            ids += e.ids
+            word.append(base + np.searchsorted(begin, [a for a, _ in e.offsets], "right") - 1)
+            base += len(some)
+        return np.bincount(np.concatenate(word), minlength=len(said)), np.array(ids, np.uint32)
 
     def _learn(self, part: Words, hashes: np.ndarray, missing: np.ndarray) -> None:
-        new, first = np.unique(hashes[missing], return_index=True)
+        new, first, times = np.unique(hashes[missing], return_index=True, return_counts=True)
         where = missing[first]
         raw = part.data.tobytes()
-        said = [raw[s:e].decode("utf-8", "replace") for s, e in zip(part.starts[where], part.ends[where])]
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(said, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.index.add(new, np.arange(self.index.count, self.index.count + len(new), dtype=np.int32))
-        self.pool = np.concatenate([self.pool, np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(lengths)])
+        said = [raw[s:e].decode("utf-8", "replace") for s, e in zip(part.starts[where].tolist(), part.ends[where].tolist())]
+        lengths, ids = self._encoded(said)
+        n, filled = self.index.count, self.filled
+        self.index.add(new, np.arange(n, n + len(new), dtype=np.int32))
+        for name, at, x in (
+            ("hashes", n, new),
+            ("lengths", n, lengths),
+            ("starts", n, filled + np.cumsum(lengths) - lengths),
+            ("again", n, times > 1),
+            ("pool", filled, ids),
+        ):
+            setattr(self, name, _put(getattr(self, name), at, x))
+        self.filled += len(ids)
 
     def encode(self, part: Words) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the part's words, and where each document's begin (one more than documents)."""
@@ -66,14 +106,20 @@ class WordIds:
             self._forget()
         n = self.index.find(hashes)
         missing = np.flatnonzero(n < 0)
+        self.again[n[n >= 0] if len(missing) else n] = True
         if len(missing):
             self._learn(part, hashes, missing)
             n[missing] = self.index.find(hashes[missing])
-        lengths = self.at[n + 1] - self.at[n]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.arange(total) + np.repeat(self.at[n] - (ends - lengths), lengths)]
-        return ids, np.concatenate([[0], ends])[part.bounds]
+        ends = np.cumsum(np.take(self.lengths, n))
+        return self._ids(n), np.concatenate([[0], ends])[part.bounds]
+
+
+def _put(held: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
+    """``held`` with ``new`` from ``at`` on; it doubles as it fills."""
+    if at + len(new) > len(held):
+        held = np.concatenate([held[:at], np.zeros(max(at, 1024) + len(new), held.dtype)])
+    held[at : at + len(new)] = new
+    return held
 
 
 _coders: dict[str, WordIds] = {}  # one for each file and Python worker

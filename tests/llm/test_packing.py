@@ -1,9 +1,11 @@
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lastmile.llm.packing import pack, pack_lengths
+from lastmile.llm.packing import WordIds, pack, pack_lengths
 from lastmile.llm.queries import tokenizer_path
+from lastmile.llm.tokens import words
 
 from texts import rng, text
 
@@ -57,5 +59,33 @@ def test_blocks_and_repeats(spark, documents):
         assert o2 == (o + n if q2 == q else 0)
 
 
+class Counting:
+    """A tokenizer that counts the texts and the words it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts, self.words = tokenizer, 0, 0
+
+    def encode_batch(self, texts, **options):
+        self.texts += len(texts)
+        self.words += sum(len(t.split(" ")) for t in texts)
+        return self.tokenizer.encode_batch(texts, **options)
+
+
+def test_new_words_are_encoded_together_and_those_met_again_stay():
+    coder = WordIds(tokenizer_path(), most=100)
+    counting = coder.tokenizer = Counting(coder.tokenizer)
+    plain = counting.tokenizer
+    common = [f"common{chr(97 + k)}" for k in range(20)] + ["\u0301a", "İß", "\u00a0", "<|endoftext|>x", "It's", "e\u0301", "ᄀ", "ᅡ"]
+    met = 0
+    for k in range(6):
+        said = 2 * common + [f"rare{k}x{j}" for j in range(80)]
+        part = next(words(pa.array([" ".join(said)])))
+        ids, _ = coder.encode(part)
+        assert ids.tolist() == [i for w in said for i in plain.encode(w, add_special_tokens=False).ids]
+        met += len(said)
+    assert counting.words == len(common) + 6 * 80 < met
+    assert counting.texts < counting.words / 20
+
+
 def test_empty_table(spark, documents):
     assert pack(documents(), tokenizer_path()).count() == 0
