@@ -79,7 +79,7 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
         h = np.take(sums, e)
         h -= np.take(sums, s)
         h *= np.take(inverse, s)
-        h += (e - s).view(_U)
+        h += (e - s).astype(_U)
         out[at:to] = mixed(h)
         at = to
     return out
