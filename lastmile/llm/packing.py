@@ -8,9 +8,11 @@ them. A piece that fits nowhere is cut at the roomiest sequence, so only the las
 a block keeps padding. Nothing is shuffled; hot sources or keys play no part.
 
 Tokens: white space separates words before the tokenizer does anything that could join
-them, so a text's ids are those of its words. Each worker keeps a bounded table of the words
-it has met; when that is full, words that were met once go. New words are encoded some at a
-time, joined by spaces, and told apart by the ids' offsets.
+them, so a text's ids are those of its words. If the tokenizer lower-cases and then cuts words
+into runs of letters, digits and runs of marks, words of ASCII and of the letters À to ÿ are
+cut and lower-cased here, and its model sees each distinct piece; other words stay whole. Each
+worker keeps a bounded table of what it has met; when that is full, pieces and words met once
+go. New words are encoded some at a time, joined by spaces, and told apart by the ids' offsets.
 
 Defined results: null and empty texts are the end token alone; documents longer than the
 capacity become several pieces; equal rows are packed as separate documents; an empty table
@@ -21,6 +23,7 @@ the input is split; that every id lies in exactly one piece doesn't.
 from __future__ import annotations
 
 import heapq
+import json
 import os
 from collections.abc import Iterator
 
@@ -29,19 +32,83 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .tokens import HashIndex, Words, words
+from .tokens import LOWERED, HashIndex, Words, words
 
 _U = np.uint64
 
 PIECES = "doc_id {id}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, cost double"
 
 
+#: What a tokenizer does to a text before its model sees it, for ``pieces`` to do the same.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+#: Kinds of bytes. Words with an ``OTHER`` one stay whole: ``'`` may begin a contraction and ``<`` a special token.
+BLANK, LETTER, DIGIT, MARK, OTHER = range(5)
+_KIND = np.full(256, OTHER, np.uint8)
+_KIND[33:127] = MARK
+_KIND[[39, 60]] = OTHER
+_KIND[48:58] = DIGIT
+_KIND[65:91] = _KIND[97:123] = LETTER
+_KIND[[32, *range(9, 14)]] = BLANK
+_LATIN = 0xC3  # first byte of À to ÿ
+#: The character by which byte-level tokenizers show each byte.
+BYTE_CHARS = np.arange(256, dtype="<u4")
+_HIDDEN = [b for b in range(256) if b < 33 or 127 <= b < 161 or b == 173]
+BYTE_CHARS[_HIDDEN] = 256 + np.arange(len(_HIDDEN))
+
+
+def pieces(part: Words) -> tuple[Words, np.ndarray]:
+    """The words cut into runs of letters, digits and runs of marks, lower-cased; words with
+    other bytes whole and as they are, and which those are."""
+    data, starts, ends = part.data, part.starts, part.ends
+    if not len(starts):
+        return part, np.zeros(0, bool)
+    kind = np.take(_KIND, data)
+    second = np.flatnonzero(data[:-1] == _LATIN) + 1
+    after = data[second]
+    second = second[(after & 0xC0 == 0x80) & (after != 0x97) & (after != 0xB7)]  # not × and ÷
+    kind[second] = kind[second - 1] = LETTER
+    begin = part.offsets[(part.offsets > 0) & (part.offsets < len(data))]
+    begin = begin[data[begin] & 0xC0 == 0x80]  # broken characters
+    kind[begin] = kind[begin - 1] = OTHER
+
+    whole = np.maximum.reduceat(kind, starts) == OTHER
+    lowered = np.take(LOWERED, data)
+    second = second[data[second] < 0x9F]
+    lowered[second] += 0x20
+    if whole.any():
+        step = np.zeros(len(data) + 1, np.int8)
+        step[starts[whole]] += 1
+        step[ends[whole]] -= 1
+        inside = np.cumsum(step[:-1], dtype=np.int8).view(bool)
+        kind[inside] = OTHER
+        np.copyto(lowered, data, where=inside)
+
+    first = np.zeros(len(data), bool)
+    first[1:] = (kind[1:] != BLANK) & ((kind[1:] != kind[:-1]) | (kind[1:] == DIGIT))
+    first[starts] = True
+    last = np.zeros(len(data) + 1, bool)
+    last[1:-1] = first[1:] & (kind[:-1] != BLANK)
+    last[ends] = True
+    starts = np.flatnonzero(first)
+    cut = Words(part.first, lowered, part.offsets, starts, np.flatnonzero(last), np.searchsorted(starts, part.offsets))
+    return cut, kind[starts] == OTHER
+
+
 class WordIds:
     """Token ids of words, each distinct word encoded once while the table has room."""
 
     JOINED = 64  # words encoded as one text
 
-    def __init__(self, path: str, most: int = 1 << 20) -> None:
+    def __init__(self, path: str, most: int = 1 << 19) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -80,12 +147,12 @@ class WordIds:
             base += len(some)
         return np.bincount(np.concatenate(word), minlength=len(said)), np.array(ids, np.uint32)
 
-    def _learn(self, part: Words, hashes: np.ndarray, missing: np.ndarray) -> None:
+    def _learn(self, part: Words, hashes: np.ndarray, missing: np.ndarray, encoded=None) -> None:
         new, first, times = np.unique(hashes[missing], return_index=True, return_counts=True)
         where = missing[first]
         raw = part.data.tobytes()
         said = [raw[s:e].decode("utf-8", "replace") for s, e in zip(part.starts[where].tolist(), part.ends[where].tolist())]
-        lengths, ids = self._encoded(said)
+        lengths, ids = (encoded or self._encoded)(said)
         n, filled = self.index.count, self.filled
         self.index.add(new, np.arange(n, n + len(new), dtype=np.int32))
         for name, at, x in (
@@ -114,6 +181,41 @@ class WordIds:
         return self._ids(n), np.concatenate([[0], ends])[part.bounds]
 
 
+class PieceIds(WordIds):
+    """The same for a tokenizer that cuts words as ``pieces`` does: each distinct piece is encoded once."""
+
+    def suits(self) -> bool:
+        steps = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        return all(steps) and [json.loads(x.__getstate__()) for x in steps] == [NORMALIZER, PRE_TOKENIZER] and all("<" in x.content for x in special)
+
+    def _modelled(self, said: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encoded``, of pieces that only the model is left to see."""
+        tokenize, ids, lengths = self.tokenizer.model.tokenize, [], []
+        joined = np.frombuffer(" ".join(said).encode(), np.uint8)
+        shown = np.take(BYTE_CHARS, joined).tobytes().decode("utf-32-le")
+        for x in shown.split(chr(BYTE_CHARS[32])):
+            found = tokenize(x)
+            ids += [t.id for t in found]
+            lengths.append(len(found))
+        return np.array(lengths, np.int64), np.array(ids, np.uint32)
+
+    def _learn(self, part: Words, hashes: np.ndarray, missing: np.ndarray, encoded=None) -> None:
+        whole = self.whole[missing]
+        for some, encoded in ((missing[~whole], self._modelled), (missing[whole], self._encoded)):
+            if len(some):
+                super()._learn(part, hashes, some, encoded)
+
+    def encode(self, part: Words) -> tuple[np.ndarray, np.ndarray]:
+        part, self.whole = pieces(part)
+        return super().encode(part)
+
+
+def coder(path: str) -> WordIds:
+    found = PieceIds(path)
+    return found if found.suits() else WordIds(path)
+
+
 def _put(held: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
     """``held`` with ``new`` from ``at`` on; it doubles as it fills."""
     if at + len(new) > len(held):
@@ -189,15 +291,15 @@ def pack(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _coders:
-            _coders[tokenizer] = WordIds(tokenizer)
-        coder = _coders[tokenizer]
+            _coders[tokenizer] = coder(tokenizer)
+        known = _coders[tokenizer]
         first = TaskContext.get().partitionId() << 32
         keys: list[pa.Array] = []
         ids: list[np.ndarray] = []
         held = 0
         for batch in batches:
             for part in words(batch.column(1)):
-                found, at = coder.encode(part)
+                found, at = known.encode(part)
                 keys.append(batch.column(0).slice(part.first, len(at) - 1))
                 ids += [np.append(found[a:b], np.uint32(end_id)) for a, b in zip(at[:-1], at[1:])]
                 held += len(found) + len(at) - 1

@@ -3,7 +3,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from lastmile.llm.packing import WordIds, pack, pack_lengths
+from lastmile.llm.packing import PieceIds, WordIds, coder, pack, pack_lengths
 from lastmile.llm.queries import tokenizer_path
 from lastmile.llm.tokens import words
 
@@ -87,5 +87,56 @@ def test_new_words_are_encoded_together_and_those_met_again_stay():
     assert counting.texts < counting.words / 20
 
 
+def test_each_piece_is_encoded_once_whatever_its_case_and_marks():
+    known = coder(tokenizer_path())
+    said = ["été", "garden", "Ärger", "x"]
+    marked = [w.title() + m if n % 2 else w + m for w in said for n, m in enumerate(["", ",", ".", "!", ")", "(7)"])]
+    (part,) = words(pa.array([" ".join(marked)]))
+    ids, _ = known.encode(part)
+    assert ids.tolist() == known.tokenizer.encode(" ".join(marked), add_special_tokens=False).ids
+    assert known.index.count == len(said) + len([",", ".", "!", ")", "(", "7"])
+
+
+def test_pieces_give_the_tokenizers_ids():
+    known = PieceIds(tokenizer_path(), most=500)
+    parts = [*map(chr, range(1, 0x180)), *" aÀÉéßÿÞ×÷09.,'<" * 8, "<|endoftext|>", "'s", "e\u0301", "\u0323", "\u0085", "\u2028", "Σ", "中文", "\U0001f600"]
+    r = rng(5)
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(40))) for _ in range(1500)]
+    for part in words(pa.array(texts), 2000):
+        ids, at = known.encode(part)
+        for k, (a, b) in enumerate(zip(at[:-1], at[1:])):
+            assert ids[a:b].tolist() == known.tokenizer.encode(texts[part.first + k], add_special_tokens=False).ids
+
+
+def test_broken_characters_stay_whole():
+    known = coder(tokenizer_path())
+    raw = [b"ab\xc3", b"\xa9t\xc3\xa9 \xc3", b"x"]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    column = pa.Array.from_buffers(pa.string(), 3, [None, pa.py_buffer(np.array([0, 3, 9, 10], np.int32)), pa.py_buffer(data)])
+    (part,) = words(column)
+    ids, at = known.encode(part)
+    for k, x in enumerate(raw):
+        assert ids[at[k] : at[k + 1]].tolist() == known.tokenizer.encode(x.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+
+def test_another_tokenizer_gets_whole_words(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    other = Tokenizer(models.WordLevel({"Up": 1, "up,": 2, "?": 3}, unk_token="?"))
+    other.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    other.save(path := str(tmp_path / "other.json"))
+    (part,) = words(pa.array(["Up up, up", None]))
+    assert coder(path).encode(part)[0].tolist() == [1, 2, 3]
+
+
+def test_a_worker_holds_little_between_tasks():
+    known = coder(tokenizer_path())
+    for k in range(0, 200_000, 50_000):
+        for part in words(pa.array([" ".join(map(str, range(k, k + 50_000)))])):
+            known.encode(part)
+    assert known.index.count == 10  # the digits
+    assert known.most <= 1 << 19
+
+
 def test_empty_table(spark, documents):
     assert pack(documents(), tokenizer_path()).count() == 0
