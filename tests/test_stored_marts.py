@@ -1,7 +1,9 @@
 """Bucketed catalog tables, marts built from them without a shuffle by order, and marts
 that follow incremental loads."""
 
+import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from conftest import SF_SMALL
 from lastmile.functions.conform import decimals_as_double
 from lastmile.operators import skew
 from lastmile.plans import marts, partitioned, stored_marts
-from lastmile.plans.queries import SLICE_END, SLICE_START
+from lastmile.plans.queries import QUERIES, SLICE_END, SLICE_START
 from lastmile.schemas import MARTS, WAREHOUSE
 from lastmile.sources import catalog, manifest
 from lastmile.sources.lake import ts_literal
@@ -207,3 +209,113 @@ def test_a_failed_maintenance_changes_nothing(spark, make_raw, small, monkeypatc
     assert manifest.current(spark, mart_root) == before
     assert stored_marts.maintain(spark, root, mart_root)["mart_orders"] == ["2000-05-01"]
     assert same(stored_marts.read(spark, mart_root, "mart_orders"), rebuilt(spark, root, "mart_orders"))
+
+
+def test_order_slices_part_all_rows(spark, monkeypatch):
+    ids = spark.range(1000).selectExpr("CASE WHEN id % 100 = 7 THEN NULL WHEN id < 300 THEN 5 ELSE id * 3 END AS order_id")
+    assert partitioned.order_slices(ids) == ["true"]
+    monkeypatch.setattr(partitioned, "ORDERS_AT_ONCE", 100)
+    slices = partitioned.order_slices(ids)
+    counts = [ids.filter(s).count() for s in slices]
+    assert 5 < len(slices) <= 10 and sum(counts) == 1000 and sum(sorted(counts)[:-1]) <= 7 * 110
+    beyond = spark.createDataFrame([(-(10**15),), (10**15,), (None,)], "order_id long")
+    assert sum(beyond.filter(s).count() for s in slices) == 3
+    assert partitioned.order_slices(ids.filter("order_id IS NULL").crossJoin(spark.range(90).drop("id"))) == ["true"]
+
+
+def written(monkeypatch):
+    """Rows of every write of a fact or mart, by table."""
+    from lastmile.operators import checks
+
+    seen, real = {}, checks.observed
+
+    def observed(df, spec):
+        out = real(df, spec)
+        seen.setdefault(spec.name, []).append(out[1])
+        return out
+
+    monkeypatch.setattr(checks, "observed", observed)
+    return lambda name: [int(o.get["rows"]) for o in seen.get(name, [])]
+
+
+def test_facts_and_marts_are_written_by_slices_of_the_orders(spark, make_raw, tmp_path, monkeypatch):
+    rows = [row(i, item_id=k, driver_id=k, created_at=f"2000-0{1 + i % 3}-05 00:00:00") for i in range(40) for k in (1, 2)]
+    rows += [row(7, item_id=k, item_discount="2") for k in range(30, 40)]  # more than others, and not allowed
+    again = [row(i, item_id=2, item_quantity=9, item_title="new", created_at="2000-05-20 10:00:00") for i in range(0, 60, 5)]
+    tables = {}
+    for at_once in (1000, 30):
+        monkeypatch.setattr(partitioned, "ORDERS_AT_ONCE", at_once)
+        root, mart_root = str(tmp_path / f"w{at_once}"), str(tmp_path / f"m{at_once}")
+        rows_of = written(monkeypatch)
+        report = partitioned.full_load(spark, make_raw(rows), root, strict=False)
+        assert [r.violations for r in report.filter("constraint_name LIKE 'range%'").collect()] == [10]
+        stored_marts.build(spark, root, mart_root)
+        partitioned.incremental_load(spark, make_raw(again), "2000-05-20", "2000-05-21", root, strict=False, max_broadcast_bytes=0)
+        stored_marts.maintain(spark, root, mart_root)
+        for name in ("order_items", "order_driver_assignments", *MARTS):
+            counts = rows_of(name)
+            assert len(counts) == 2 if at_once == 1000 else len(counts) == 4 and max(counts) <= 75, (name, counts)
+        for name in MARTS:
+            assert same(stored_marts.read(spark, mart_root, name), rebuilt(spark, root, name)), name
+        tables[at_once] = partitioned.read_tables(spark, root)
+        monkeypatch.undo()
+    for name in WAREHOUSE:
+        assert same(tables[30][name], tables[1000][name]), name
+
+
+@pytest.mark.parametrize("buckets", [0, 3])
+def test_parts_written_in_slices(spark, tmp_path, buckets):
+    from lastmile.sources.store import write_parts
+
+    df = spark.range(60).selectExpr("concat('k', id) AS order_item_id", "id AS order_id", "id % 7 AS item_id", "1 AS item_quantity", "CAST(1 AS DECIMAL(12,2)) AS item_price", "NULL AS item_canceled_quantity",
+                                    "CAST(CASE WHEN id % 20 = 0 THEN 2 END AS DECIMAL(5,4)) AS item_discount", "NULL AS item_replaced_id", "DATE'2000-01-01' + CAST(31 * (id % 2) AS INT) AS order_month")
+    slices = (df.filter(s) for s in ("order_id < 25", "order_id >= 25 AND order_id < 50", "order_id >= 50", "order_id > 99"))
+    parts, counted = write_parts(slices, str(tmp_path), WAREHOUSE["order_items"], "order_month", "order_id", buckets)
+    assert sorted(parts) == ["2000-01-01", "2000-02-01"] and ("order_items", "non_empty", 0) in counted
+    assert ("order_items", "range_item_discount_0_1", 3) in counted
+    assert sorted(r.order_id for r in spark.read.parquet(*parts.values()).collect()) == list(range(60))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("lastmile_load_")]
+
+
+def shuffle_files(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    blocks = env.blockManager().diskBlockManager().getAllBlocks()
+    names = (blocks.apply(i).name() for i in range(blocks.size()))
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("name", ["mart_products"])
+def test_a_maintained_mart_leaves_only_what_is_published(spark, tmp_path, monkeypatch, name):
+    """Shuffle files go with their action, the raw rows and replaced facts when they have been read."""
+    from lastmile.plans import queries
+
+    monkeypatch.setattr(queries, "ensure_checkpoint_dir", lambda _: str(tmp_path))
+    codec = "spark.sql.parquet.compression.codec"
+    settings = {k: spark.conf.get(k, None) for k in ("spark.sql.classic.shuffleDependency.fileCleanup.enabled", codec)}
+    before = shuffle_files(spark)
+    df = QUERIES[f"maintained_{name}"](spark, SF_SMALL)
+    until = time.time() + 10
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)  # they are removed beside the work
+    assert not left
+    (root,) = (str(p) for p in tmp_path.iterdir())
+    assert sorted(os.listdir(root)) == ["dwh", "marts"]
+    versions = [manifest.read(spark, f"{root}/dwh", v) for v in (1, 2)]
+    for table in WAREHOUSE:
+        for part, path in versions[0].paths[table].items():
+            assert os.path.isdir(path) == (table not in partitioned.FACTS or versions[1].paths[table].get(part) == path), path
+    assert manifest.current(spark, f"{root}/marts").info["delta"]  # maintained, not built again
+    assert same(df, rebuilt(spark, f"{root}/dwh", name))
+    assert {k: spark.conf.get(k, None) for k in settings} == settings
+
+
+def test_the_raw_rows_are_given_up_once_the_slice_is_stored(spark, make_raw, small):
+    root, mart_root = small
+    make_raw([row(100, created_at="2000-05-20 10:00:00")]).write.parquet(f"{root}/raw")
+    partitioned.incremental_load(spark, spark.read.parquet(f"{root}/raw"), "2000-05-20", "2000-05-21", root, raw_read=lambda: manifest.delete(spark, f"{root}/raw"))
+    assert not os.path.exists(f"{root}/raw")
+    assert partitioned.read_tables(spark, root)["orders"].filter("order_id = 100").count() == 1
+    gone = manifest.release(spark, root, 1, partitioned.FACTS)
+    assert len(gone) == 3 and not any(os.path.exists(f) for f in gone) and manifest.release(spark, root, 2, partitioned.FACTS) == []
+    assert stored_marts.maintain(spark, root, mart_root)["mart_orders"] == ["2000-05-01"]
+    assert same(stored_marts.read(spark, mart_root, "mart_products"), rebuilt(spark, root, "mart_products"))

@@ -1,5 +1,6 @@
 """Raw rows from source tables with missing, null and repeated keys: what moves, and what comes."""
 
+import os
 import re
 
 import pytest
@@ -89,3 +90,16 @@ def test_resent_rows_keep_the_partitioning(spark, tables, sized):
     assert raw.columns == RAW.names
     plan = raw.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("FileScan") <= 2, plan  # the rows once, and the count of parts
+
+
+def test_raw_rows_stored_in_rounds_fill_the_same_buckets(spark, tables, tmp_path, monkeypatch):
+    monkeypatch.setattr(testdata, "LINES_PER_TASK", 200)
+    found = {}
+    for at_once in (0, 500):
+        path = str(tmp_path / f"raw{at_once}")
+        raw = testdata.stored_raw(spark, tables, path=path, at_once=at_once)
+        files = [f for f in os.listdir(path) if f.startswith("part-")]
+        found[at_once] = raw, len({f.split("-", 2)[2].split(".")[0].split("_")[0] for f in files}), {f.rpartition("_")[2][:5] for f in files}
+        assert len(files) == len({f.rpartition("_")[2][:5] for f in files})  # a bucket is one file
+    assert found[0][0].exceptAll(found[500][0]).isEmpty() and found[500][0].exceptAll(found[0][0]).isEmpty()
+    assert found[0][0].count() > 0 and found[0][1] == 1 and found[500][1] > 3 and found[0][2] == found[500][2]
