@@ -284,7 +284,7 @@ def shuffle_files(spark):
     return {n for n in names if n.startswith("shuffle_")}
 
 
-@pytest.mark.parametrize("name", ["mart_products"])
+@pytest.mark.parametrize("name", ["mart_orders", "mart_products"])
 def test_a_maintained_mart_leaves_only_what_is_published(spark, tmp_path, monkeypatch, name):
     """Shuffle files go with their action, the raw rows and replaced facts when they have been read."""
     from lastmile.plans import queries
